@@ -117,7 +117,11 @@ def parse_money(text: Column) -> Column:
 def show_money(value: Column) -> Column:
     """Billions, millions, thousands or plain; a dash when there is nothing."""
     def scaled(size: float, places: int, unit: str) -> Column:
-        return F.concat(F.lit("$"), F.format_string(f"%.{places}f", value / F.lit(size)), F.lit(unit))
+        part = value / F.lit(size)
+        # format_number rounds the binary value half-even; an exact tie goes up here
+        tie = (part * F.lit(4 if places else 2)) % 2 == 1
+        part = F.when(tie, part + F.lit(0.01 if places else 0.1)).otherwise(part)
+        return F.concat(F.lit("$"), F.replace(F.format_number(part, places), F.lit(","), F.lit("")), F.lit(unit))
 
     plain = F.regexp_replace(F.format_number(value, 3), r"\.?0+$", "")
     return (

@@ -11,14 +11,14 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oppflow.fixed_values import (
     MAX_DOCUMENT_SHARE, MIN_DOCUMENTS_PER_TERM, MIN_GROUP_ROWS, STOP_WORDS, TOP_TERMS,
     TOP_TERMS_PER_GROUP, VOCABULARY_SIZE,
 )
-from oppflow.functions.text import alpha_tokens, combined_text, unigrams_and_bigrams
+from oppflow.functions.text import alpha_tokens, combined_text, runs, unigrams_and_bigrams
 from oppflow.operators.ranking import ranked, top_per_group
 
 
@@ -100,6 +100,19 @@ def fit(docs: DataFrame) -> TfidfModel:
     return TfidfModel(docs.sparkSession, [r.term for r in rows], [r.idf for r in rows], n_docs)
 
 
+def weights(docs: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
+    """The same weights as rows ``(key, term, weight)`` for a given vocabulary table.
+
+    Terms are counted inside the row; the vocabulary (at most 5000 rows) is broadcast.
+    """
+    counted = docs.select(key, F.inline(runs(F.col("terms"))))
+    raw = counted.join(F.broadcast(vocab.select("term", "idf")), "term").select(
+        key, "term", (F.col("n") * F.col("idf")).alias("raw")
+    )
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
+    return raw.select(key, "term", (F.col("raw") / norm).alias("weight"))
+
+
 def _score(score: str = "score") -> Column:
     return F.round(F.col(score), 6)
 

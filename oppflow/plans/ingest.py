@@ -59,13 +59,12 @@ def typed_dates(rfps: DataFrame) -> DataFrame:
     return rfps.withColumn("posted_ts", parsed("posted_date")).withColumn("close_ts", parsed("close_date"))
 
 
-def date_windows(day: Column, total: int, chunk: int, spark) -> DataFrame:
-    """Backward windows of ``chunk`` days over ``total`` days; neighbours share a day."""
+def windows_back(days: DataFrame, day: str, total: int, chunk: int) -> DataFrame:
+    """Windows of ``chunk`` days going back ``total`` days; neighbours share a day."""
     offsets = F.sequence(F.lit(0), F.lit(total - 1), F.lit(chunk))
-    rows = spark.range(1).select(F.posexplode(offsets).alias("chunk", "start"))
     layout = "MM/dd/yyyy"
-    return rows.select(
-        "chunk",
+    return days.select(day, F.posexplode(offsets).alias("chunk", "start")).select(
+        day, "chunk",
         F.date_format(F.date_sub(day, F.least(F.col("start") + chunk, F.lit(total))), layout).alias("from_date"),
         F.date_format(F.date_sub(day, F.col("start")), layout).alias("to_date"),
     )
