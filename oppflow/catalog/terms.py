@@ -273,7 +273,8 @@ def _(spark, d):
 @query("e18_rising_terms", with_sql(*_TWO_RUNS, select="""
 select row_number() over (order by round((c.score - o.score) / o.score, 6) desc, term) as rank, term,
   o.score as old_score, c.score as new_score, round((c.score - o.score) / o.score, 6) as gain
-from c_top c join o_top o using (term) where o.score > 0 and (c.score - o.score) / o.score > 0.10 qualify rank <= 15"""))
+from c_top c join o_top o using (term) where o.score > 0 and (c.score - o.score) / o.score > 0.10
+order by gain desc, term limit 15"""))
 def _(spark, d):
     return drift.rising_terms(*_two(spark, d, _terms_only))
 

@@ -19,8 +19,13 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def strip(column: Column | str) -> Column:
-    """Trim any whitespace, not only spaces."""
-    return F.regexp_replace(column, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    """Trim any whitespace, not only spaces.
+
+    Few texts start or end with whitespace; the others are only looked at.
+    """
+    text = F.col(column) if isinstance(column, str) else column
+    edges = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))
+    return F.when(edges.rlike(r"[\s\p{Z}]"), F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")).otherwise(text)
 
 
 def match_text(title="title", description="description", agency="agency") -> Column:

@@ -113,5 +113,5 @@ def effective_patterns(members: DataFrame, folded: DataFrame) -> DataFrame:
 
 def merge_lists(base: Column, additions: Column, removals: Column) -> Column:
     """The same rule on the short arrays of one member, sorted."""
-    lowered = F.transform(base, F.lower)
+    lowered = F.transform(base, lambda p: F.lower(p))
     return F.array_sort(F.array_except(F.array_union(lowered, additions), removals))

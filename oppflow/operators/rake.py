@@ -3,40 +3,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oppflow.fixed_values import MIN_GROUP_ROWS, MIN_PHRASE_TEXT, STOP_WORDS, TOP_PHRASES
-from oppflow.functions.text import combined_text
+from oppflow.functions.text import bind, combined_text
 from oppflow.operators.matching import join_hot
 from oppflow.operators.ranking import ranked
 
-# a word, or a run of characters that ends a phrase
-_PIECES = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
-
-
 def candidate_phrases(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
-    """Word runs of one text as array<array<string>>, two to four words each."""
-    pieces = F.regexp_extract_all(F.lower(text), F.lit(_PIECES), F.lit(0))
-    marked = F.transform(
-        pieces,
-        lambda w: F.when(w.isin(stop_words) | ~w.rlike(r"^[\p{L}\p{N}_]"), "|").otherwise(w),
+    """Word runs of one text, two to four words each, as array<string>."""
+    marked = F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_\s]+", " | "), r"\s+")
+    broken = F.transform(marked, lambda w: F.when(w.isin(stop_words), "|").otherwise(w))
+    spans = F.transform(F.split(F.array_join(broken, " "), r"\|"), lambda s: F.trim(s))
+    return F.filter(
+        spans,
+        lambda p: (p != "") & F.length(F.translate(p, " ", "")).between(F.length(p) - 3, F.length(p) - 1),
     )
-    spans = F.split(F.array_join(marked, " "), r"\s*\|\s*")
-    words = F.transform(spans, lambda s: F.filter(F.split(s, " "), lambda w: w != ""))
-    return F.filter(words, lambda p: (F.size(p) >= 2) & (F.size(p) <= 4))
-
-
-def text_rich(rfps: DataFrame) -> DataFrame:
-    """``(text)`` of records long enough to hold phrases; none where fewer than five are."""
-    texts = rfps.select(combined_text().alias("text")).filter(F.length("text") >= MIN_PHRASE_TEXT)
-    enough = texts.limit(MIN_GROUP_ROWS).agg(F.count("*")).scalar() >= MIN_GROUP_ROWS
-    return texts.filter(enough)
 
 
 def phrases(rfps: DataFrame, stop_words: list[str] = STOP_WORDS) -> DataFrame:
-    """``(phrase, words, n)``: every distinct phrase with its number of occurrences."""
-    each = text_rich(rfps).select(F.explode(candidate_phrases(F.col("text"), stop_words)).alias("words"))
-    counted = each.select(F.array_join("words", " ").alias("phrase")).groupBy("phrase").agg(
-        F.count("*").alias("n")
+    """``(phrase, n)``: every distinct phrase with its number of occurrences.
+
+    Only texts of 80 characters or more are read, and none where fewer than five
+    records have such a text.
+    """
+    rich = F.length("text") >= MIN_PHRASE_TEXT
+    texts = rfps.select(combined_text().alias("text"))
+    enough = texts.filter(rich).limit(MIN_GROUP_ROWS).agg(F.count("*") >= MIN_GROUP_ROWS).scalar()
+    found = bind(
+        combined_text(),
+        lambda t: F.when(F.length(t) >= MIN_PHRASE_TEXT, candidate_phrases(t, stop_words)),
     )
-    return counted.select("phrase", F.split("phrase", " ").alias("words"), "n")
+    each = rfps.filter(enough).select(F.explode(found).alias("phrase"))
+    return each.groupBy("phrase").agg(F.count("*").alias("n"))
 
 
 def word_scores(counted: DataFrame) -> DataFrame:
@@ -45,7 +41,8 @@ def word_scores(counted: DataFrame) -> DataFrame:
     Degree over frequency is that mean, so one aggregation over the distinct
     phrases, weighted by their counts, replaces the co-occurrence matrix.
     """
-    words = counted.select("n", F.size("words").alias("len"), F.explode("words").alias("word"))
+    split = counted.select("n", F.split("phrase", " ").alias("words"))
+    words = split.select("n", F.size("words").alias("len"), F.explode("words").alias("word"))
     return words.groupBy("word").agg(
         F.sum("n").alias("freq"), (F.sum(F.col("n") * F.col("len")) / F.sum("n")).alias("score")
     )

@@ -15,7 +15,7 @@ def excluded(text: Column, exclusions: list[str] = EXCLUSIONS) -> Column:
 def keywords_in(text: Column, keywords: list[str]) -> Column:
     """Distinct keywords in order of appearance, lower case, leftmost and non-overlapping."""
     found = F.regexp_extract_all(text, F.lit(phrase_pattern(keywords)), F.lit(0))
-    return F.array_distinct(F.transform(found, F.lower))
+    return F.array_distinct(F.transform(found, lambda k: F.lower(k)))
 
 
 def tag(df: DataFrame, keywords: list[str], exclusions: list[str] = EXCLUSIONS) -> DataFrame:

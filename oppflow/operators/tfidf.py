@@ -31,17 +31,15 @@ def with_terms(rfps: DataFrame, stop_words: list[str] = STOP_WORDS, *keep: str)
 def term_counts(docs: DataFrame) -> DataFrame:
     """``(term, tf, df)`` over all documents, one shuffle of term totals.
 
-    Each term is sent once per occurrence and once more per document, told apart by
-    a flag, so both totals come from the same partial aggregation.
+    A document becomes two rows, all its terms and its distinct terms, so both
+    totals come from the same partial aggregation.
     """
-    occurrences = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("doc")))
-    per_document = F.transform(
-        F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("doc"))
-    )
-    exploded = docs.select(F.inline(F.concat(occurrences, per_document)))
-    return exploded.groupBy("term").agg(
-        F.sum(1 - F.col("doc")).alias("tf"), F.sum("doc").alias("df")
+    lists = F.array(
+        F.struct(F.col("terms").alias("t"), F.lit(0).alias("doc")),
+        F.struct(F.array_distinct("terms").alias("t"), F.lit(1).alias("doc")),
     )
+    each = docs.select(F.inline(lists)).select("doc", F.explode("t").alias("term"))
+    return each.groupBy("term").agg(F.sum(1 - F.col("doc")).alias("tf"), F.sum("doc").alias("df"))
 
 
 def vocabulary(docs: DataFrame, n_docs: Column | int) -> DataFrame:
