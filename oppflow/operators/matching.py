@@ -26,11 +26,11 @@ def phrase_hits(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> Da
     finds every candidate and the literal test settles it.
     """
     if fits(phrases, "phrase"):
-        return _hits_in_row(texts, key, text, phrases)
-    return _hits_by_gram(texts, key, text, phrases)
+        return hits_in_row(texts, key, text, phrases)
+    return hits_by_gram(texts, key, text, phrases)
 
 
-def _hits_in_row(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
+def hits_in_row(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
     dictionary = phrases.agg(F.collect_list("phrase").alias("d")).scalar()
     return (
         texts.select(key, text)
@@ -42,7 +42,7 @@ def _hits_in_row(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> D
     )
 
 
-def _hits_by_gram(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
+def hits_by_gram(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
     keyed = phrases.filter("phrase <> ''").withColumn("gram", F.left("phrase", F.lit(GRAM)))
     short = keyed.filter(F.length("phrase") < GRAM).agg(F.count("*")).first()[0]
     sizes = range(1, GRAM + 1) if short else [GRAM]

@@ -11,13 +11,13 @@ FORM_SCHEMA = ", ".join(f"`{c}` string" for c in FORM_COLUMNS)
 TIMESTAMP_FORMATS = ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss"]
 
 
-def read_responses(spark: SparkSession, path: str) -> DataFrame:
+def read_responses(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """The form export; rows with fewer than six fields are dropped.
 
     An empty field stays an empty text, so only a field that is not there is null.
     """
     raw = spark.read.csv(
-        path, schema=FORM_SCHEMA, header=True, multiLine=True, escape='"',
+        path, schema=FORM_SCHEMA, header=header, multiLine=True, escape='"',
         nullValue="\u0000", emptyValue="", mode="PERMISSIVE", enforceSchema=True,
     )
     return raw.filter(F.col("remove").isNotNull()).withColumn("seq", F.monotonically_increasing_id())
