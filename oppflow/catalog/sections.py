@@ -1,4 +1,5 @@
 """Dashboard sections, listings and interactive questions."""
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from oppflow.catalog.base import (
@@ -26,12 +27,11 @@ POPULATION = "v_pop as (select 'NATION_' || i as state, 0.5 + i * 1.25 as millio
 
 @query("keywords_by_state", with_sql(TAGGED, select="""
 select state, keyword, n, total, round_even(n * 100.0 / total, 1) as share from (
-  select state, unnest(matched_kw) as keyword, count(*) as n from v_tag group by all)
+  select state, keyword, count(*) as n from (select state, unnest(matched_kw) as keyword from v_tag) group by state, keyword)
 join (select state, count(*) as total from v_tag group by state) using (state)"""))
 def _(spark, d):
     """How often each keyword is matched in each state, and in what share of its records."""
-    from pyspark.sql import Window
-    rows = stored(spark, d).select("state", F.explode_outer("matched_kw").alias("keyword"), (F.size("matched_kw") > 1).alias("many"), "matched_kw")
+    rows = stored(spark, d).select("state", F.explode_outer("matched_kw").alias("keyword"), "matched_kw")
     counted = rows.groupBy("state", "keyword").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("keyword").isNull() | (F.col("keyword") == F.get("matched_kw", 0))).alias("first"),

@@ -46,13 +46,8 @@ def hits_by_gram(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> D
     keyed = phrases.filter("phrase <> ''").withColumn("gram", F.left("phrase", F.lit(GRAM)))
     short = keyed.filter(F.length("phrase") < GRAM).agg(F.count("*")).first()[0]
     sizes = range(1, GRAM + 1) if short else [GRAM]
-    grams = [
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(text) - F.lit(n - 1), F.lit(1))),
-            lambda i, n=n: F.substr(F.col(text), i, F.lit(n)),
-        )
-        for n in sizes
-    ]
+    # the empty match moves on by one character, so every start position is seen
+    grams = [F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes]
     # one row per distinct piece of a text; only pieces that start a phrase are kept
     pieces = texts.select(key, F.explode(F.array_distinct(F.concat(*grams))).alias("gram"))
     # a piece can be in every text, so its rows are cut into slices by text
