@@ -19,13 +19,18 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def strip(column: Column | str) -> Column:
-    """Trim any whitespace, not only spaces.
+    """Trim any whitespace, not only spaces."""
+    return F.regexp_replace(column, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
 
-    Few texts start or end with whitespace; the others are only looked at.
-    """
-    text = F.col(column) if isinstance(column, str) else column
-    edges = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))
-    return F.when(edges.rlike(r"[\s\p{Z}]"), F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")).otherwise(text)
+
+def strip_long(text: Column) -> Column:
+    """``strip`` for whole texts: only one that starts or ends with whitespace is scanned."""
+    return bind(
+        text,
+        lambda t: F.when(
+            F.concat(F.left(t, F.lit(1)), F.right(t, F.lit(1))).rlike(r"[\s\p{Z}]"), strip(t)
+        ).otherwise(t),
+    )
 
 
 def match_text(title="title", description="description", agency="agency") -> Column:
@@ -36,8 +41,8 @@ def match_text(title="title", description="description", agency="agency") -> Col
 def combined_text(title="title", description="description", agency="agency") -> Column:
     """The text terms are mined from; a description that repeats the title is left out."""
     t, d, a = (F.coalesce(F.col(c), F.lit("")) for c in (title, description, agency))
-    repeated = F.lower(strip(d)) == F.lower(strip(t))
-    return strip(F.concat_ws(" ", t, F.when(repeated, "").otherwise(d), a))
+    repeated = F.lower(strip_long(d)) == F.lower(strip(t))
+    return strip_long(F.concat_ws(" ", t, F.when(repeated, "").otherwise(d), a))
 
 
 def tokens(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
