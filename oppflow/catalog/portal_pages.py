@@ -8,8 +8,6 @@ from oppflow.operators.identity import first_wins
 from oppflow.session import spread
 from oppflow.sources import pages as P
 
-# parts of link targets that occur on the synthetic pages
-FRAGMENTS = ["an", "th", "e"]
 _BASE = "https://p.example.org/bids/list"
 
 
@@ -45,19 +43,6 @@ def _(spark, d):
     return first_wins(rows, ["page_id", "href"], ["item_ord"]).withColumn("item_ord", F.col("item_ord").cast("bigint"))
 
 
-_CARDS = r"""
-select page_id, trim(regexp_replace(replace(replace(regexp_replace(
-    coalesce(nullif(regexp_extract(art, '(?s)<(?:h2|h3|h4|a)(?: [^>]*)?>(.*?)</(?:h2|h3|h4|a)>', 1), ''),
-             regexp_extract(art, '(?s)<(?:strong|b)(?: [^>]*)?>(.*?)</(?:strong|b)>', 1)),
-    '<[^>]*>', '', 'g'), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g')) as title
-from (select page_id, regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1) as art from pages)"""
-
-
-@query("b12_cards_on_pages")
-def _(spark, d):
-    return P.portal_cards(captured(spark, d)).select("page_id", "title", "url")
-
-
 # --------------------------------------------------- pages made from orders
 def _order_pages(spark, d, html, url=f"'{_BASE}?o=1'"):
     return table(spark, d, "orders").selectExpr(
@@ -142,12 +127,12 @@ def _(spark, d):
     return P.texas_esbd(_order_pages(spark, d, _BLOCK)).select("page_id", "id", "title", "agency", "status", "close_date", "url", "amount")
 
 
+_CARDS = """concat('<div class="card wide"><div><h3>Bridge repair ', o_custkey, '</h3></div><a href="/p/', o_orderkey, '">More</a></div>',
+    '<div class="card"><strong>Bus fleet order ', o_custkey, '</strong></div><div class="card"><h3>Too short</h3></div>')"""
+_LINKED = """concat('<nav><a href="/home">Home</a></nav><table><tr><td>layout</td></tr></table><a href="docs/bid-', o_orderkey, '.html">Road salt supply ', o_custkey,
+    '</a><a href="docs/bid-', o_orderkey, '.html">the same target</a><a href="/rfp/short">short</a>')"""
 # a table, links or cards, depending on the page
-_MIXED = f"""case o_orderkey % 3 when 0 then {_TABLE}
-  when 1 then concat('<nav><a href="/home">Home</a></nav><table><tr><td>layout</td></tr></table><a href="docs/bid-', o_orderkey, '.html">Road salt supply ', o_custkey,
-    '</a><a href="docs/bid-', o_orderkey, '.html">the same target</a><a href="/rfp/short">short</a>')
-  else concat('<div class="card wide"><div><h3>Bridge repair ', o_custkey, '</h3></div><a href="/p/', o_orderkey, '">More</a></div>',
-    '<div class="card"><strong>Bus fleet order ', o_custkey, '</strong></div><div class="card"><h3>Too short</h3></div>') end"""
+_MIXED = f"case o_orderkey % 3 when 0 then {_TABLE} when 1 then {_LINKED} else {_CARDS} end"
 
 
 @query("b13_strategy_per_page", f"""
@@ -160,11 +145,17 @@ def _(spark, d):
     return P.state_portals(_order_pages(spark, d, _MIXED)).select("page_id", "id", "title", "url")
 
 
+@query("b12_cards", """
+select o_orderkey as page_id, cast(o_orderkey as varchar) as id, 'Bridge repair ' || o_custkey as title, 'https://p.example.org/p/' || o_orderkey as url from orders
+union all select o_orderkey, '', 'Bus fleet order ' || o_custkey, '' from orders""")
+def _(spark, d):
+    return P.portal_cards(_order_pages(spark, d, _CARDS)).select("page_id", "id", "title", "url")
+
+
 @query("b11_portal_links", """
-select o_orderkey as page_id, 'bid-' || o_orderkey || '.html' as id, 'Road salt supply ' || o_custkey as title from orders where o_orderkey % 3 = 1""")
+select o_orderkey as page_id, 'bid-' || o_orderkey || '.html' as id, 'Road salt supply ' || o_custkey as title from orders""")
 def _(spark, d):
-    pages = _order_pages(spark, d, _MIXED).filter("page_id % 3 = 1")
-    return P.portal_links(pages).select("page_id", "id", "title")
+    return P.portal_links(_order_pages(spark, d, _LINKED)).select("page_id", "id", "title")
 
 
 _NY = """case o_orderkey % 4
@@ -193,7 +184,7 @@ _SPARK_SLUG = "element_at(split('" + ",".join(_SLUG_NAMES) + "', ','), cast(o_or
 
 @query("b12_aggregator_cards", "with " + _SLUGS_SQL + """
 select o_orderkey as page_id, state, cast(o_orderkey as varchar) as id, 'Card ' || o_custkey as title, 'Unit ' || o_custkey as agency, '1/5/2024' as close_date, '$7' as amount,
-  'https://www.bidnetdirect.com/solicitations/' || o_orderkey as url from orders join v_slug on i = o_orderkey % 50 where o_orderkey % 2 = 0
+  'https://www.bidnetdirect.com/solicitations/' || o_orderkey || '/' as url from orders join v_slug on i = o_orderkey % 50 where o_orderkey % 2 = 0
 union all select o_orderkey, state, cast(o_orderkey as varchar), 'Linked bid ' || o_custkey, '', '', '', 'https://www.bidnetdirect.com/solicitations/' || o_orderkey
   from orders join v_slug on i = o_orderkey % 50 where o_orderkey % 2 = 1""")
 def _(spark, d):

@@ -102,16 +102,22 @@ def element_text(html: Column, tags: list[str] = (), classes: list[str] = (), pa
     return visible(F.regexp_extract(html, rf"(?is)<({'|'.join(names)})\b[^>]*>(.*?)</\1\s*>", 2))
 
 
-def labelled(html: Column, label: str) -> Column:
+def paragraphs(html: Column) -> Column:
+    """Paragraphs with bold parts, as array<struct<names, text>>; names are lower case."""
+    bold = F.lit(r"(?is)<strong\b[^>]*>(.*?)</strong\s*>")
+    return F.transform(
+        F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>(.*?)</p\s*>"), F.lit(1)),
+        lambda p: F.struct(
+            F.transform(F.regexp_extract_all(p, bold, F.lit(1)), lambda b: F.lower(joined_text(b))).alias("names"),
+            joined_text(p).alias("text"),
+        ),
+    )
+
+
+def labelled(parts: Column, label: str) -> Column:
     """``Label: value`` of the first paragraph whose bold text names the label."""
-    paragraphs = F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>(.*?)</p\s*>"), F.lit(1))
-    bold = r"(?is)<strong\b[^>]*>(.*?)</strong\s*>"
     named = F.filter(
-        paragraphs,
-        lambda p: F.exists(
-            F.regexp_extract_all(p, F.lit(bold), F.lit(1)),
-            lambda b: F.contains(F.lower(joined_text(b)), F.lit(label.lower())),
-        ),
+        parts, lambda p: F.exists(p["names"], lambda b: F.contains(b, F.lit(label.lower())))
     )
-    value = F.regexp_extract(joined_text(F.get(named, 0)), rf"(?is)\Q{label}\E[: ]*(.*)$", 1)
+    value = F.regexp_extract(F.get(named, 0)["text"], rf"(?is)\Q{label}\E[: ]*(.*)$", 1)
     return F.coalesce(strip(value), F.lit(""))

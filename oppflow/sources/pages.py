@@ -12,7 +12,7 @@ from oppflow.fixed_values import (
 )
 from oppflow.functions import html as H
 from oppflow.functions.scalars import (
-    absolute_url, bid_id_from_url, contains_any, event_id_from_url, first_nonempty, id_from_url,
+    absolute_url, bid_id_from_url, blank_to_null, contains_any, event_id_from_url, first_nonempty, id_from_url,
     last_segment, looks_like_amount, looks_like_date, DATE_LIKE, DOLLARS,
 )
 from oppflow.functions.text import bind, strip
@@ -254,34 +254,34 @@ def jaggaer(pages: DataFrame) -> DataFrame:
 def texas_esbd(pages: DataFrame) -> DataFrame:
     """Result blocks with ``Label: value`` paragraphs."""
 
-    def build(block: Column) -> Column:
-        link = H.first_link(F.regexp_extract(block, r"(?is)esbd-result-title[^>]*>(.*)$", 1))
-        due, clock = H.labelled(block, "Due Date"), H.labelled(block, "Due Time")
-        member = H.labelled(block, "Agency/Texas SmartBuy Member Number")
+    def build(link: Column, parts: Column) -> Column:
+        due, clock = H.labelled(parts, "Due Date"), H.labelled(parts, "Due Time")
+        member = H.labelled(parts, "Agency/Texas SmartBuy Member Number")
         amount = first_nonempty(*[
-            H.labelled(block, label)
+            H.labelled(parts, label)
             for label in ("Estimated Amount", "Estimated Value", "Amount", "Value", "Budget")
         ])
-        return bind(
-            link,
-            lambda x: F.when(
-                x.isNotNull(),
-                _record(
-                    id=first_nonempty(
-                        H.labelled(block, "Solicitation ID"), F.replace(x["href"], F.lit("/esbd/"), F.lit(""))
-                    ),
-                    title=x["text"],
-                    agency=F.when(member != "", F.concat(F.lit("Agency #"), member)),
-                    status=H.labelled(block, "Status"), posted_date=H.labelled(block, "Posting Date"),
-                    close_date=F.when(due != "", strip(F.concat_ws(" ", due, clock))),
-                    url=F.when(x["href"] != "", F.concat(F.lit("https://www.txsmartbuy.gov"), x["href"])),
-                    amount=amount,
+        return F.when(
+            link.isNotNull(),
+            _record(
+                id=first_nonempty(
+                    H.labelled(parts, "Solicitation ID"), F.replace(link["href"], F.lit("/esbd/"), F.lit(""))
                 ),
+                title=link["text"],
+                agency=F.concat(F.lit("Agency #"), blank_to_null(member)),
+                status=H.labelled(parts, "Status"), posted_date=H.labelled(parts, "Posting Date"),
+                close_date=strip(F.concat(blank_to_null(due), F.lit(" "), clock)),
+                url=F.concat(F.lit("https://www.txsmartbuy.gov"), blank_to_null(link["href"])),
+                amount=amount,
             ),
         )
 
+    def from_block(block: Column) -> Column:
+        link = H.first_link(F.regexp_extract(block, r"(?is)esbd-result-title[^>]*>(.*)$", 1))
+        return bind(link, lambda x: bind(H.paragraphs(block), lambda parts: build(x, parts)))
+
     found = F.filter(
-        F.transform(H.blocks(F.col("html"), ["esbd-result-row"]), build), lambda r: r.isNotNull()
+        F.transform(H.blocks(F.col("html"), ["esbd-result-row"]), from_block), lambda r: r.isNotNull()
     )
     return _explode(pages, found, F.lit("TX"), F.lit("TX ESBD"))
 
