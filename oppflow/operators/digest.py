@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from oppflow.fixed_values import DIGEST_ORDER, STATES
 from oppflow.functions.text import match_text
-from oppflow.operators.matching import phrase_hits
+from oppflow.operators.matching import phrase_hits, small
 from oppflow.schema import or_empty
 
 DASH = "—"
@@ -118,7 +118,8 @@ def personal_hits(rfps: DataFrame, key: str, patterns: DataFrame) -> DataFrame:
     lowered = patterns.select("email", F.lower("pattern").alias("phrase")).filter("phrase <> ''").distinct()
     texts = rfps.select(key, F.lower(match_text()).alias("text"))
     hits = phrase_hits(texts, key, "text", lowered.select("phrase").distinct())
-    return hits.join(lowered, "phrase").select("email", key).distinct()
+    # many records can share a phrase; the list of patterns is sent to them where it is small
+    return hits.join(small(lowered, "phrase"), "phrase").select("email", key).distinct()
 
 
 def first_name(name: Column) -> Column:
@@ -138,7 +139,7 @@ def personal_headers(hits: DataFrame, rfps: DataFrame, key: str, members: DataFr
     """One header per member with matches: first name, count, counts line, subject."""
     each = hits.join(rfps.select(key, "state"), key)
     lines = counts_line(state_counts(each, labels, "email"), "email")
-    return lines.join(members.select("email", "name"), "email").select(
+    return lines.join(small(members.select("email", "name"), "email"), "email").select(
         "email", first_name(F.col("name")).alias("first_name"), "n", "summary",
         subject("weekly", F.col("n"), day, F.col("name")).alias("subject"),
     )

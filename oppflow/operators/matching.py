@@ -2,8 +2,6 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oppflow.functions.text import bind
-
 BROADCAST_PHRASES = 5000
 BROADCAST_CHARS = 1_000_000
 GRAM = 3
@@ -17,6 +15,14 @@ def fits(df: DataFrame, column: str, rows: int = BROADCAST_PHRASES, chars: int =
     return n <= rows and size <= chars
 
 
+def small(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with a broadcast hint where it is below the bound, else as it is.
+
+    Without the hint the join shuffles, and adaptive execution splits its hot keys.
+    """
+    return F.broadcast(df) if fits(df, column) else df
+
+
 def phrase_hits(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
     """Pairs ``(key, phrase)`` where the phrase occurs in the text; both lower case.
 
@@ -90,10 +96,10 @@ def join_hot(rows: DataFrame, lookup: DataFrame, key: str, weight: str, hot: int
         "_spread", F.when(F.col("_hot"), F.xxhash64(*others)).otherwise(F.xxhash64(key))
     ).withColumn("_match", F.when(F.col("_hot").isNull(), F.col(key)))
     cold = lookup.select(
-        F.xxhash64(key).alias("_spread"), F.col(key).alias("_match"), *[F.col(v).alias(f"_c_{v}") for v in values]
+        F.xxhash64(key).alias("_spread"), F.col(key).alias("_match"), F.lit(True).alias("_found"), *[F.col(v).alias(f"_c_{v}") for v in values]
     )
     joined = marked.join(cold, ["_spread", "_match"], "left")
-    return joined.filter(F.col("_hot") | F.col("_match").isNotNull()).select(
+    return joined.filter(F.coalesce("_hot", "_found", F.lit(False))).select(
         *rows.columns,
         *[F.when(F.col("_hot"), F.col(f"_h_{v}")).otherwise(F.col(f"_c_{v}")).alias(v) for v in values],
     )

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from oppflow.functions.scalars import parse_list
 from oppflow.functions.text import strip
+from oppflow.operators.matching import small
 
 FORM_COLUMNS = ["timestamp", "email", "answer_1", "answer_2", "add", "remove", "other"]
 FORM_SCHEMA = ", ".join(f"`{c}` string" for c in FORM_COLUMNS)
@@ -50,9 +51,10 @@ def resolve_email(responses: DataFrame, members: DataFrame, aliases: DataFrame)
         F.lower(strip("login_email")).alias("login"), F.lower(strip("email")).alias("alias_of")
     ).join(known, F.col("alias_of") == F.col("member_email"), "left_semi")
     sent = responses.withColumn("sender", F.lower(strip("email")))
+    # one sender may write most of the responses, so the member side travels where it is small
     return (
-        sent.join(known, F.col("sender") == F.col("member_email"), "left")
-        .join(via, F.col("sender") == F.col("login"), "left")
+        sent.join(small(known, "member_email"), F.col("sender") == F.col("member_email"), "left")
+        .join(small(via, "login"), F.col("sender") == F.col("login"), "left")
         .withColumn("member", F.coalesce("member_email", "alias_of"))
         .drop("member_email", "login", "alias_of", "sender")
     )

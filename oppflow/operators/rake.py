@@ -6,6 +6,7 @@ from oppflow.fixed_values import MIN_GROUP_ROWS, MIN_PHRASE_TEXT, STOP_WORDS, TO
 from oppflow.functions.text import bind, combined_text
 from oppflow.operators.matching import join_hot
 from oppflow.operators.ranking import ranked
+from oppflow.session import cut
 
 def candidate_phrases(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
     """Word runs of one text, two to four words each, as array<string>."""
@@ -24,14 +25,14 @@ def phrases(rfps: DataFrame, stop_words: list[str] = STOP_WORDS) -> DataFrame:
     Only texts of 80 characters or more are read, and none where fewer than five
     records have such a text.
     """
-    rich = F.length("text") >= MIN_PHRASE_TEXT
-    texts = rfps.select(combined_text().alias("text"))
-    enough = texts.filter(rich).limit(MIN_GROUP_ROWS).agg(F.count("*") >= MIN_GROUP_ROWS).scalar()
+    rich = rfps.filter(F.length(combined_text()) >= MIN_PHRASE_TEXT).select(F.lit(1))
+    # stops at the first partitions that hold five such records
+    enough = len(rich.take(MIN_GROUP_ROWS)) == MIN_GROUP_ROWS
     found = bind(
         combined_text(),
         lambda t: F.when(F.length(t) >= MIN_PHRASE_TEXT, candidate_phrases(t, stop_words)),
     )
-    each = rfps.filter(enough).select(F.explode(found).alias("phrase"))
+    each = rfps.filter(F.lit(enough)).select(F.explode(found).alias("phrase"))
     return each.groupBy("phrase").agg(F.count("*").alias("n"))
 
 
@@ -58,7 +59,12 @@ def one_per_bag(counted: DataFrame) -> DataFrame:
 
 
 def phrase_scores(counted: DataFrame) -> DataFrame:
-    """``(phrase, score)`` for one phrase per bag of words; a phrase sums its words."""
+    """``(phrase, score)`` for one phrase per bag of words; a phrase sums its words.
+
+    Bags, hot words and all words are three readers of the phrase counts, which are
+    written once so that the text is read once.
+    """
+    counted = cut(counted)
     unique = one_per_bag(counted)
     words = unique.select("phrase", F.posexplode(F.split("phrase", " ")).alias("pos", "word"))
     scored = join_hot(words, word_scores(counted), "word", "freq")

@@ -84,30 +84,28 @@ def cumulative_counts(daily: DataFrame) -> DataFrame:
 def top_recipients(awards: DataFrame, k: int = TOP_RECIPIENTS) -> DataFrame:
     """Recipients by number of awards, with amount, first place and three names.
 
-    Totals are partial sums.  Names are made distinct per recipient and cut to the
-    three smallest per task, so a recipient with a third of all awards is never
-    gathered.  The ``k`` winners (a fixed number) are broadcast to pick their names.
+    Counts and amounts are hash-aggregated partial sums.  Only the ``k`` winners (a
+    fixed number of rows, broadcast) are then looked up again: their first place is
+    a partial minimum, their names are made distinct and cut to the three smallest
+    per task, so a recipient with a third of all awards is never gathered.
     """
     named = awards.filter(F.coalesce(F.col("recipient"), F.lit("")) != "")
-    totals_by = named.groupBy("recipient").agg(
-        F.count("*").alias("count"),
-        F.sum(parse_money(F.col("amount"))).alias("total"),
-        F.min_by(
-            "recipient_state", F.when(F.col("recipient_state").isNotNull(), F.col("pos"))
-        ).alias("place"),
+    winners = (
+        named.groupBy("recipient")
+        .agg(F.count("*").alias("count"), F.sum(parse_money(F.col("amount"))).alias("total"))
+        .orderBy(F.desc("count"), "recipient").limit(k)
     )
-    winners = totals_by.orderBy(F.desc("count"), "recipient").limit(k)
-    names = (
-        named.filter(strip(F.coalesce("pi_name", F.lit(""))) != "")
-        .join(F.broadcast(winners.select("recipient")), "recipient", "left_semi")
-        .select("recipient", "pi_name").distinct()
+    theirs = named.join(F.broadcast(winners.select("recipient")), "recipient", "left_semi")
+    places = theirs.filter(F.col("recipient_state").isNotNull()).groupBy("recipient").agg(
+        F.min_by("recipient_state", "pos").alias("place")
     )
+    names = theirs.filter(strip(F.coalesce("pi_name", F.lit(""))) != "").select("recipient", "pi_name").distinct()
     shown = (
         top_per_group(names, ["recipient"], [F.asc("pi_name")], NAMES_SHOWN)
         .groupBy("recipient")
         .agg(F.array_join(F.sort_array(F.collect_list("pi_name")), "; ").alias("pi_names"))
     )
-    return winners.join(shown, "recipient", "left").select(
+    return winners.join(places, "recipient", "left").join(shown, "recipient", "left").select(
         F.left("recipient", F.lit(80)).alias("name"), "count",
         F.round("total", 2).alias("total_amount"),
         F.coalesce("place", F.lit("")).alias("location"),

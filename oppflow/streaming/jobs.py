@@ -1,14 +1,16 @@
 """The incremental jobs as Structured Streaming."""
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from oppflow.fixed_values import EXCLUSIONS, SEEN_DAYS, STOP_WORDS
-from oppflow.operators.identity import first_wins, record_hash
+from oppflow.operators.identity import first_wins, record_hash, unseen
 from oppflow.operators.preferences import fold
 from oppflow.plans.ingest import enrich
+from oppflow.schema import RFP_SCHEMA
 from oppflow.sources.store import StateTable, exists, write_batch
 
 
@@ -59,22 +61,31 @@ def latest_per_key(written: DataFrame, key: str) -> DataFrame:
 
 
 def ingest_sink(
-    path: str, keywords: list[str], order: list[str],
+    path: str, keywords: list[str], order: list[str], days: int = SEEN_DAYS,
     exclusions: list[str] = EXCLUSIONS, stop_words: list[str] = STOP_WORDS,
 ) -> Callable[[DataFrame, int], None]:
     """Tag, mine and append a micro-batch of raw records whose hash is new.
 
     The stored records are the memory: a batch that runs again compares itself with
-    every *other* batch and writes its own folder anew, so the result is the same.
+    the batches *before* it and writes its own folder anew, so the result is the
+    same.  Only the dates of the last ``days`` days are read for it.
     """
+
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        oldest = batch.agg(F.min("scraped_at")).first()[0]
+        if oldest is None:
+            return
         fresh = first_wins(batch.withColumn("hash", record_hash()), ["hash"], order)
         if exists(spark, path):
-            earlier = spark.read.parquet(path).filter(F.col("batch") < number).select("hash")
-            fresh = fresh.join(earlier, "hash", "left_anti")
-        rows = enrich(fresh, keywords, F.col("scraped_at"), exclusions, stop_words)
-        write_batch(rows, path, str(number))
+            since = F.lit(oldest - timedelta(days=days))
+            earlier = spark.read.schema(RFP_SCHEMA + ", batch int").parquet(path).filter(
+                (F.col("batch") < number)
+                & (F.col("scrape_date") >= F.date_format(since, "yyyy-MM-dd"))
+                & (F.col("scrape_timestamp") >= since)
+            )
+            fresh = unseen(fresh, earlier)
+        write_batch(enrich(fresh, keywords, F.col("scraped_at"), exclusions, stop_words), path, str(number))
 
     return write
 
