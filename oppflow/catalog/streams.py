@@ -47,7 +47,7 @@ def _(spark, d):
     )
     rows.write.parquet(f"{path}/landed")
     stream = spark.readStream.schema(rows.schema).parquet(f"{path}/landed")
-    sink = jobs.ingest_sink(f"{path}/store", KEYWORDS, ["pos"], EXCLUDED)
+    sink = jobs.ingest_sink(f"{path}/store", KEYWORDS, ["pos"], exclusions=EXCLUDED)
     jobs.run_available(stream, f"{path}/progress", sink).awaitTermination()
     return spark.read.parquet(f"{path}/store").select("hash", "rfp_id", "keyword_match")
 
