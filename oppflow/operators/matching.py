@@ -2,9 +2,12 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from oppflow.functions.phrases import phrase_pattern
+
 BROADCAST_PHRASES = 5000
 BROADCAST_CHARS = 1_000_000
 GRAM = 3
+START = 40
 
 
 def fits(df: DataFrame, column: str, rows: int = BROADCAST_PHRASES, chars: int = BROADCAST_CHARS) -> bool:
@@ -26,8 +29,8 @@ def small(df: DataFrame, column: str) -> DataFrame:
 def phrase_hits(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
     """Pairs ``(key, phrase)`` where the phrase occurs in the text; both lower case.
 
-    ``phrases(phrase)`` is distinct.  A small dictionary travels as one array value
-    and is tested inside the row.  A large one is joined on three-character pieces:
+    ``phrases(phrase)`` is distinct.  A small dictionary travels with the plan and is
+    tested inside the row.  A large one is joined on three-character pieces:
     a text that holds a phrase holds the phrase's first piece, so the equi-join
     finds every candidate and the literal test settles it.
     """
@@ -37,15 +40,15 @@ def phrase_hits(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> Da
 
 
 def hits_in_row(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
-    dictionary = phrases.agg(F.collect_list("phrase").alias("d")).scalar()
-    return (
-        texts.select(key, text)
-        .withColumn("_d", dictionary)
-        .select(
-            key,
-            F.explode(F.filter("_d", lambda p: F.contains(F.col(text), p))).alias("phrase"),
-        )
-    )
+    # at most BROADCAST_PHRASES rows, checked by the caller
+    words = sorted(row.phrase for row in phrases.collect() if row.phrase)
+    if not words:
+        return texts.select(key, F.lit("").alias("phrase")).filter(F.lit(False))
+    # one pass finds the texts with any hit; the start of a phrase is enough for that
+    some = phrase_pattern([w[:START] for w in words])
+    dictionary = F.array(*[F.lit(w) for w in words])
+    found = F.filter(dictionary, lambda p: F.contains(F.col(text), p))
+    return texts.filter(F.col(text).rlike(some)).select(key, F.explode(found).alias("phrase"))
 
 
 def hits_by_gram(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from oppflow.operators.identity import first_wins, forget, record_hash, remember
 from oppflow.operators.tagging import add_key_terms, tag
 from oppflow.schema import canonical, or_empty
 from oppflow.session import cut
-from oppflow.sources.store import StateTable, append_rfps
+from oppflow.sources.store import StateTable, append_rfps, write_batch
 
 
 def new_records(raw: DataFrame, seen: DataFrame, order: list[str]) -> DataFrame:
@@ -30,17 +30,23 @@ def enrich(
 def run(
     raw: DataFrame, seen_state: StateTable, store: str, keywords: list[str], now: Column,
     order: list[str], seen_days: int = SEEN_DAYS, exclusions: list[str] = EXCLUSIONS,
-    stop_words: list[str] = STOP_WORDS,
+    stop_words: list[str] = STOP_WORDS, batch: str | None = None,
 ) -> DataFrame:
     """A whole run.  Returns its report (one row).
 
+    With ``batch`` the run writes a folder of that name: a run that was lost between
+    records and memory is repeated under the same name and replaces its records.
+
     An expired hash still blocks the run that forgets it, and is let in by the next.
     The new records are written once to shared storage; records, memory and report
     are all read from there, so none of the text work is done twice.
     """
     seen = seen_state.read()
     rfps = cut(enrich(new_records(raw, seen, order), keywords, now, exclusions, stop_words))
-    append_rfps(rfps, store)
+    if batch is None:
+        append_rfps(rfps, store)
+    else:
+        write_batch(rfps, store, batch)
     seen_state.write(forget(remember(seen, rfps, now), now, seen_days))
     return run_report(rfps)
 
