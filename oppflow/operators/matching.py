@@ -6,6 +6,7 @@ from oppflow.functions.phrases import phrase_pattern
 
 BROADCAST_PHRASES = 5000
 BROADCAST_CHARS = 1_000_000
+BROADCAST_GRAMS = 300_000
 GRAM = 3
 START = 40
 
@@ -57,8 +58,12 @@ def hits_by_gram(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> D
     sizes = range(1, GRAM + 1) if short else [GRAM]
     # the empty match moves on by one character, so every start position is seen
     grams = [F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes]
-    # one row per distinct piece of a text; only pieces that start a phrase are kept
+    # one row per distinct piece of a text
     pieces = texts.select(key, F.explode(F.array_distinct(F.concat(*grams))).alias("gram"))
+    starts = keyed.select("gram").distinct()
+    if fits(starts, "gram", rows=BROADCAST_GRAMS):
+        # most pieces start no phrase: drop them before anything is shuffled
+        pieces = pieces.join(F.broadcast(starts), "gram", "left_semi")
     # a piece can be in every text, so its rows are cut into slices by text
     slices = 16
     sliced = keyed.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))

@@ -34,7 +34,7 @@ def local_session(cores: int | str = 8, app: str = "oppflow", **settings: str) -
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder for cut lineage: the cluster's, or a local one where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
