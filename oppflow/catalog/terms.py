@@ -288,7 +288,7 @@ def _(spark, d):
     return gaps.unionByName(drift.new_entries(now, old, "rake").select(F.lit("rake").alias("kind"), "term", "score"))
 
 
-@query("e20_baseline_run", """select 'baseline' as change, '' as term, 0.0 as score""")
+@query("e20_baseline_run", """select 'baseline' as change, '' as term, cast(0.0 as double) as score""")
 def _(spark, d):
     now = _terms_only(rfps(spark, d), RUN_2)
     return drift.changes(now, now.filter(F.lit(False)))
