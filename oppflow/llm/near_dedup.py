@@ -4,16 +4,16 @@
    ``bands * rows`` universal hash minima, and the normalised text in compressed form.
 2. Documents with the same set form a class, represented by its smallest id; later steps see only
    representatives, so any number of copies costs one row each.
-3. Per band the minima of its rows form a bucket key.  Every member of a bucket is paired with the
-   bucket's smallest id only, never with all others.  Pairs whose signatures cannot reach the
+3. Per band the minima of its rows form a bucket key.  A document meets the smallest ids of the
+   buckets it is in, the ``heads`` that it shares most buckets with, never all members.  Pairs whose signatures cannot reach the
    threshold are dropped (five standard deviations of slack); the rest are confirmed on full sets.
 4. Confirmed links are joined into components by alternating large-star and small-star.
 5. Buckets that still hold two components are worked off exactly: their members outside the bucket's
-   largest component meet every member of another component.  So no candidate link between
+   largest component are held against every member of another component, by signature inside the join.  So no candidate link between
    different components stays unconfirmed, and components are those of all candidate pairs.
 
-A pair at the threshold misses all bands with probability ``(1 - 0.8 ** rows) ** bands``, 7e-6 for
-5 rows and 30 bands.
+A pair at the threshold misses all bands with probability ``(1 - 0.8 ** rows) ** bands``, 2e-5 for
+6 rows and 36 bands.
 
 Documents without words or text have an empty set, link with nothing and stay.  Rows with the same
 doc_id are one document; a null doc_id stays alone with a null component.  Other columns are ignored.
@@ -24,7 +24,8 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from oppflow.session import cut
@@ -39,18 +40,24 @@ _INVERSE = pow(_BASE, -1, 2**64)
 
 @dataclass(frozen=True)
 class MinHash:
-    """Parameters; ``slack`` is the similarity below which a signature estimate rules a pair out."""
+    """``heads`` bounds the pairs of a document in the first round, not the links found."""
     words: int = 5
-    bands: int = 30
-    rows: int = 5
+    bands: int = 36
+    rows: int = 6
     percent: int = 80
-    slack: float = 0.63
+    heads: int = 3
     seed: int = 7
 
     @property
     def hashes(self) -> int:
         return self.bands * self.rows
 
+    @property
+    def most_bits(self) -> int:
+        """Differing signature bits of a pair at the threshold, plus five standard deviations."""
+        share = (1 - self.percent / 100) / 2
+        return int(self.hashes * share + 5 * (self.hashes * share * (1 - share)) ** 0.5) + 1
+
 
 def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
@@ -99,30 +106,36 @@ class Shingler:
 
 
 class Signer:
-    """Multiply-shift hash minima of a set of 64-bit numbers."""
+    """Minima of universal hash functions ``a * x + b mod 2**32`` over a set of 64-bit numbers."""
 
     def __init__(self, p: MinHash):
         rng = np.random.default_rng(p.seed)
         self.p = p
-        self.a = (rng.integers(0, 2**63, p.hashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
-        self.b = rng.integers(0, 2**63, p.hashes, dtype=np.uint64)[:, None]
+        self.a = (rng.integers(0, 2**31, p.hashes, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+        self.b = rng.integers(0, 2**32, p.hashes, dtype=np.uint32)[:, None]
 
     def __call__(self, items: np.ndarray) -> np.ndarray:
-        least = np.full(self.p.hashes, 2**32 - 1, dtype=np.uint64)
-        for at in range(0, len(items), 1024):
-            np.minimum(least, ((self.a * items[None, at: at + 1024] + self.b) >> np.uint64(32)).min(axis=1), out=least)
-        return least
+        least = np.full(self.p.hashes, 2**32 - 1, dtype=np.uint32)
+        short = (items >> np.uint64(32)).astype(np.uint32)
+        for at in range(0, len(short), 512):
+            np.minimum(least, (self.a * short[None, at: at + 512] + self.b).min(axis=1), out=least)
+        return least.astype(np.uint64)
 
     def keys(self, least: np.ndarray) -> np.ndarray:
-        """One signed 64-bit key per band."""
-        key = np.zeros(self.p.bands, dtype=np.uint64)
+        """One signed 64-bit bucket key per band."""
+        key = np.arange(1, self.p.bands + 1, dtype=np.uint64)
         for column in least.reshape(self.p.bands, self.p.rows).T:
             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + column + np.uint64(1))
         return key.view(np.int64)
 
+    def bits(self, least: np.ndarray) -> np.ndarray:
+        """One bit of each minimum, packed into signed 64-bit words."""
+        bits = np.packbits((mixed(least) >> np.uint64(17)).astype(np.uint8) & 1)
+        return np.append(bits, np.zeros(-len(bits) % 8, dtype=np.uint8)).view(np.int64)
+
 
 def digests(docs: DataFrame, p: MinHash) -> DataFrame:
-    """(doc_id, n, f1, f2, keys, sketch, body): set size and fingerprint, band keys, the minima's low bytes, packed text."""
+    """(doc_id, n, f1, f2, keys, bits, body): set size and fingerprint, bucket keys, signature bits, packed text."""
 
     def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, sign, pack = Shingler(p.words), Signer(p), zstandard.ZstdCompressor(level=1)
@@ -136,41 +149,27 @@ def digests(docs: DataFrame, p: MinHash) -> DataFrame:
                     continue
                 least = sign(items)
                 f1, f2 = items.sum(dtype=np.uint64), mixed(items ^ np.uint64(0x5555555555555555)).sum(dtype=np.uint64)
-                out.append((len(items), int(f1.view(np.int64)), int(f2.view(np.int64)), sign.keys(least),
-                            (least & np.uint64(255)).astype(np.uint8).tobytes(), pack.compress(body)))
-            frame = pd.DataFrame(out, columns=["n", "f1", "f2", "keys", "sketch", "body"])
+                out.append((len(items), int(f1.view(np.int64)), int(f2.view(np.int64)), sign.keys(least), sign.bits(least), pack.compress(body)))
+            frame = pd.DataFrame(out, columns=["n", "f1", "f2", "keys", "bits", "body"])
             frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield frame
 
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-        one, "doc_id long, n long, f1 long, f2 long, keys array<long>, sketch binary, body binary")
+        one, "doc_id long, n long, f1 long, f2 long, keys array<long>, bits array<long>, body binary")
 
 
-def similar_sketches(p: MinHash):
-    """Share of equal low bytes, corrected for chance, against ``slack``; and the bound from the sizes."""
-    @F.pandas_udf("boolean")
-    def test(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype=bool)
-        left = np.frombuffer(b"".join(a), dtype=np.uint8).reshape(len(a), -1)
-        right = np.frombuffer(b"".join(b), dtype=np.uint8).reshape(len(b), -1)
-        same = (left == right).mean(axis=1)
-        return pd.Series((same - 1 / 256) / (1 - 1 / 256) >= p.slack)
-    return test
+def may_link(n_a: Column, bits_a: Column, n_b: Column, bits_b: Column, p: MinHash) -> Column:
+    """Neither the sizes nor the signatures rule the threshold out."""
+    words = -(-p.hashes // 64)
+    apart = sum((F.bit_count(bits_a[i].bitwiseXOR(bits_b[i])) for i in range(1, words)), F.bit_count(bits_a[0].bitwiseXOR(bits_b[0])))
+    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * p.percent) & (apart <= p.most_bits)
 
 
-def confirmed(pairs: DataFrame, digest: DataFrame, p: MinHash) -> DataFrame:
+def confirmed(near: DataFrame, digest: DataFrame, one: DataFrame, p: MinHash) -> DataFrame:
     """Pairs (a, b) whose full shingle sets reach the threshold."""
-    small = cut(digest.select("doc_id", "n", "sketch").dropDuplicates(["doc_id"]))
-
-    def side(x: str) -> DataFrame:
-        return small.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
-
-    near = pairs.join(side("a"), "a").join(side("b"), "b")
-    near = near.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * p.percent)
-    near = cut(near.where(similar_sketches(p)("s_a", "s_b")).select("a", "b"))
-    involved = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    bodies = cut(digest.join(involved, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "body"))
+    involved = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(one.select("doc_id", "n", "f1", "f2"), "doc_id")
+    bodies = digest.join(cut(involved), ["doc_id", "n", "f1", "f2"]).select("doc_id", "body")
+    bodies = cut(bodies.dropDuplicates(["doc_id"]))
     both = near.join(bodies.select(F.col("doc_id").alias("a"), F.col("body").alias("t_a")), "a")
     both = both.join(bodies.select(F.col("doc_id").alias("b"), F.col("body").alias("t_b")), "b")
 
@@ -223,20 +222,18 @@ def near_duplicates(docs: DataFrame, p: MinHash | None = None) -> DataFrame:
     digest = cut(digests(docs, p))
     same = ["n", "f1", "f2"]
     # of rows that share a doc_id the largest set, then the larger fingerprint, stands for the document
-    one = digest.groupBy("doc_id").agg(F.max(F.struct(*same)).alias("s")).select("doc_id", "s.*")
-    one = cut(one)
+    one = cut(digest.groupBy("doc_id").agg(F.max(F.struct(*same)).alias("s")).select("doc_id", "s.*"))
     words = one.where("n > 0")
     classes = cut(words.groupBy(*same).agg(F.min("doc_id").alias("doc_id")))
-    banded = cut(digest.join(classes, ["doc_id", *same]).dropDuplicates(["doc_id"]).select("doc_id", F.posexplode("keys").alias("band", "key")))
-    bucket = ["band", "key"]
-    heads = cut(banded.groupBy(*bucket).agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select(*bucket, "a"))
-    pairs = banded.join(heads, bucket).where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
-    found = digest.join(classes, ["doc_id", *same], "left_semi")
-    links = confirmed(pairs, found, p)
+    signed = cut(digest.select("doc_id", *same, "keys", "bits").join(classes, ["doc_id", *same]).dropDuplicates(["doc_id"]).select("doc_id", "n", "keys", "bits"))
+    banded = signed.select("doc_id", F.explode("keys").alias("key"))
+    heads = cut(banded.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("key", "a"))
+    shared = cut(banded.join(heads, "key"))
+    links = confirmed(first_pairs(shared, signed, p), digest, one, p)
     stars = components(links)
-    rest = leftover(banded, stars)
+    rest = leftover(shared, stars, signed, p)
     if not rest.isEmpty():
-        links = links.unionByName(confirmed(rest, found, p))
+        links = links.unionByName(confirmed(rest, digest, one, p))
         stars = components(links)
     member = words.join(classes.withColumnRenamed("doc_id", "rep"), same).select("doc_id", "n", "rep")
     labelled = member.join(stars.select(F.col("doc_id").alias("rep"), "component"), "rep", "left").select(
@@ -247,15 +244,30 @@ def near_duplicates(docs: DataFrame, p: MinHash | None = None) -> DataFrame:
     return labelled.unionByName(empty).unionByName(nameless).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def leftover(banded: DataFrame, stars: DataFrame) -> DataFrame:
+def side(signed: DataFrame, x: str) -> DataFrame:
+    """Size and signature of the documents that column ``x`` names."""
+    return signed.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"s_{x}"))
+
+
+def first_pairs(shared: DataFrame, signed: DataFrame, p: MinHash) -> DataFrame:
+    """Every document with the heads it shares most buckets with, as far as signatures allow a link."""
+    met = shared.where("doc_id <> a").groupBy("a", F.col("doc_id").alias("b")).agg(F.count("*").alias("n"))
+    order = W.partitionBy("b").orderBy(F.desc("n"), "a")
+    top = met.withColumn("i", F.row_number().over(order)).where(F.col("i") <= p.heads).select("a", "b")
+    pairs = top.join(side(signed, "b"), "b")
+    return cut(cut(pairs).join(side(signed, "a"), "a").where(may_link(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), p)).select("a", "b"))
+
+
+def leftover(shared: DataFrame, stars: DataFrame, signed: DataFrame, p: MinHash) -> DataFrame:
     """Pairs of one bucket but different components, each with a side outside the bucket's largest component."""
-    bucket = ["band", "key"]
-    named = banded.join(stars, "doc_id", "left").select(*bucket, "doc_id", F.coalesce("component", "doc_id").alias("c"))
-    sizes = named.groupBy(*bucket, "c").agg(F.count("*").alias("n"))
-    mixed_buckets = sizes.groupBy(*bucket).agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("k")).where("k > 1").select(*bucket, "main")
-    inside = cut(named.join(cut(mixed_buckets), bucket))
-    odd = inside.where("c <> main").select(*bucket, F.col("doc_id").alias("x"), F.col("c").alias("cx"))
-    met = odd.join(inside.select(*bucket, "doc_id", "c", "main"), bucket).where("cx <> c and (c = main or x < doc_id)")
+    named = cut(shared.select("key", "doc_id").join(stars, "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("c")))
+    split = cut(named.groupBy("key").agg(F.min("c").alias("c"), F.max("c").alias("z")).where("c < z").select("key"))
+    inside = cut(named.join(split, "key").join(side(signed, "doc_id"), "doc_id"))
+    sizes = inside.groupBy("key", "c").agg(F.count("*").alias("n"))
+    inside = cut(inside.join(cut(sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("m")).select("key", F.col("m.c").alias("main"))), "key"))
+    odd = inside.where("c <> main").select("key", F.col("doc_id").alias("x"), F.col("c").alias("cx"), F.col("n_doc_id").alias("n_x"), F.col("s_doc_id").alias("s_x"))
+    near = may_link(F.col("n_x"), F.col("s_x"), F.col("n_doc_id"), F.col("s_doc_id"), p)
+    met = odd.join(inside, (odd["key"] == inside["key"]) & F.expr("cx <> c and (c = main or x < doc_id)") & near)
     return cut(met.select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct())
 
 
