@@ -209,7 +209,7 @@ _OPS = """v_op as (
   select member as email, unnest(added) as kw, 'add' as op, ts, seq from v_form where member is not null
   union all select member, unnest(removed), 'remove', ts, seq from v_form where member is not null)"""
 _FOLD = """v_fold as (
-  select email, kw, op, seq from v_op qualify row_number() over (partition by email, kw order by seq desc, op desc) = 1)"""
+  select email, kw, op, seq from v_op qualify row_number() over (partition by email, kw order by ts desc, seq desc, op desc) = 1)"""
 
 
 @query("h5_sender_to_member", with_sql(_RESOLVED, select="select seq, member from v_form"))
@@ -224,15 +224,15 @@ def _(spark, d):
 
 @query("i7_fold_preferences", with_sql(_RESOLVED, _OPS, _FOLD, select="select email, kw, op, seq from v_fold"))
 def _(spark, d):
-    return P.fold(P.operations(P.change_history(_resolved(spark, d))))
+    return P.fold(P.operations(P.change_history(_resolved(spark, d)))).drop("ts")
 
 
 @query("i7_fold_since_mark", with_sql(_RESOLVED, _OPS, """v_new as (
   select email, kw, op, seq from v_op where ts > timestamp '2024-01-10 00:00:00'
-  qualify row_number() over (partition by email, kw order by seq desc, op desc) = 1)""", select="select email, kw, op, seq from v_new"))
+  qualify row_number() over (partition by email, kw order by ts desc, seq desc, op desc) = 1)""", select="select email, kw, op, seq from v_new"))
 def _(spark, d):
     fresh = P.newer_than(_resolved(spark, d), F.lit("2024-01-10 00:00:00").cast("timestamp"))
-    return P.fold(P.operations(P.change_history(fresh)))
+    return P.fold(P.operations(P.change_history(fresh))).drop("ts")
 
 
 @query("i8_high_water_mark", with_sql(_RESOLVED, select="select max(ts) as mark from v_form"))

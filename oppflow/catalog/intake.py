@@ -142,11 +142,15 @@ select l_orderkey || '-' || l_linenumber || '-' || l_partkey as id,
   cast(cast(l_quantity as integer) as varchar) as amount, 'City' || l_suppkey || ', TX' as recipient_state,
   'R' || l_suppkey as recipient from lineitem""")
 def _(spark, d):
+    # landed in one folder per award group, as requests are made, and read back
+    path = fresh_dir(spark)
     rows = bodies(spark, d, "lineitem", "l_orderkey", """named_struct('results', array(named_struct(
         'Award ID', concat(l_orderkey, '-', l_linenumber, '-', l_partkey), 'generated_internal_id', concat('G', l_orderkey),
         'Description', l_returnflag, 'Award Amount', cast(l_quantity as int), 'Recipient Name', concat('R', l_suppkey),
         'Recipient City Name', concat('City', l_suppkey), 'Recipient State Code', 'TX')))""",
         "if(l_linenumber % 2 = 0, 'Contracts', 'Grants') as award_group")
+    rows.select("body", "award_group").write.partitionBy("award_group").text(path)
+    rows = api.read_bodies(spark, path, whole_files=False)
     return api.usaspending(rows).select("id", "source", "url", "title", "amount", "recipient_state", "recipient")
 
 
@@ -212,6 +216,14 @@ def _(spark, d):
     return rows.select("source_ord", "source", "id", "title")
 
 
+@query("a11_failed_sources", """
+select 'broken' as source, (select count(*) from supplier) + (select count(*) from part) as rows_of_others""")
+def _(spark, d):
+    rows, failed = store.union_sources(_sources(spark, d))
+    names = F.transform(F.array(*[F.lit(f) for f in failed]), lambda f: F.split_part(f, F.lit(":"), F.lit(1)))
+    return rows.agg(F.count("*").alias("rows_of_others")).select(F.explode(names).alias("source"), "rows_of_others")
+
+
 @query("g10_union_all", """
 select 'SAM.gov' as source, cast(s_suppkey as varchar) as id, s_name as title from supplier
 union all select 'Federal Register', cast(p_partkey as varchar), p_name from part""")
@@ -275,9 +287,11 @@ def _(spark, d):
 
     added = F.when(F.col("event_id") % 2 == 0, F.concat("event_type", F.lit(', "x"'))).otherwise(F.concat("event_type", F.lit("\ny")))
     removed = F.when(F.col("event_id") % 4 == 0, F.col("event_type")).otherwise("")
+    # blanks with and without quotes, rows with and without the seventh field
     full = F.concat_ws(
         ",", F.date_format("ts", "M/d/yyyy H:mm:ss"), F.concat(F.lit("u"), F.col("user_id").cast("string")),
-        F.col("event_id").cast("string"), F.lit(""), quoted(added), quoted(removed), F.lit(""),
+        F.col("event_id").cast("string"), F.lit(""), quoted(added),
+        F.when((removed == "") & (F.col("event_id") % 3 == 0), "").otherwise(quoted(removed)), F.when(F.col("event_id") % 5 > 0, ""),
     )
     short = F.concat_ws(",", F.date_format("ts", "M/d/yyyy H:mm:ss"), F.lit("short row"))
     lines = ev.select(F.when(F.col("event_id") % 7 == 3, short).otherwise(full).alias("value"))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from oppflow.catalog.base import (
     COMBINED, EXCLUDED, KEYWORDS, RFPS, STOP_SQL, TAGGED, fresh_dir, query, rfps, tagged, with_sql,
 )
+from oppflow.session import cut
 from oppflow.operators import drift, rake, tfidf
 from oppflow.operators.ranking import ranked
 from oppflow.plans.analysis import report
@@ -288,10 +289,12 @@ def _(spark, d):
     return gaps.unionByName(drift.new_entries(now, old, "rake").select(F.lit("rake").alias("kind"), "term", "score"))
 
 
-@query("e20_baseline_run", """select 'baseline' as change, '' as term, cast(0.0 as double) as score""")
+@query("e20_baseline_run", with_sql(*_TWO_RUNS, select="""
+select 'baseline' as change, '' as term, cast(0.0 as double) as score, (select count(*) from c_top) as terms"""))
 def _(spark, d):
-    now = _terms_only(rfps(spark, d), RUN_2)
-    return drift.changes(now, now.filter(F.lit(False)))
+    now = cut(_terms_only(rfps(spark, d), RUN_2))
+    changes = drift.changes(now, now.filter(F.lit(False)))
+    return changes.join(now.agg(F.count("*").alias("terms"), F.lit("baseline").alias("change")), "change")
 
 
 @query("e22_run_summary", with_sql(*_TWO_RUNS, select="""

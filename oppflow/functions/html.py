@@ -3,30 +3,49 @@
 Pages stay in their row: a page is cut with regular expressions into arrays and
 the arrays are worked on where they are, so no step here shuffles.
 """
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from oppflow.functions.text import bind, strip
 
-# --- fixed values: character entities that portal pages use ---------------
-ENTITIES = [
-    ("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-    ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"), ("&mdash;", "—"), ("&ndash;", "–"),
-    ("&amp;", "&"),
-]
+_REFERENCE = r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+# named references as the HTML standard has them, from the table of the Python library; a space for the hard one
+_NAMED = "\x1e".join(f"{n}\x1f{' ' if n == 'nbsp' else chr(c)}" for n, c in [*name2codepoint.items(), ("apos", 39)])
 LINK_SCHEMA = "array<struct<href:string,text:string>>"
-_HREF = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
+_TARGET = r"""\bhref\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+_BLOCK_TAGS = r"(?i)</?(?:br|p|div|li|ul|ol|dl|dt|dd|tr|td|th|table|h[1-6]|hr|section|article|header|footer|blockquote|pre)\b[^>]*>"
+
+
+def _character(reference: Column) -> Column:
+    """What one character reference stands for; itself where that is nothing."""
+    name = F.regexp_replace(reference, "[&;]", "")
+    code = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10).cast("int")).when(
+        name.startswith("#"), F.substring(name, 2, 7).cast("int"))
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    coded = F.when(code == 160, " ").when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    named = F.try_element_at(F.str_to_map(F.lit(_NAMED), F.lit("\x1e"), F.lit("\x1f")), name)
+    return F.coalesce(coded, named, reference)
 
 
 def decode(text: Column) -> Column:
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    """All character references, in one pass."""
+    def decoded(t: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(t, F.lit(_REFERENCE), F.lit(0)), _character)
+        pieces = F.zip_with(F.split(t, _REFERENCE, -1), F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+        return F.when(F.contains(t, F.lit("&")), F.array_join(pieces, "")).otherwise(t)
+    return bind(text, decoded)
+
+
+def markup(html: Column) -> Column:
+    """A page without what no reader sees: comments, scripts, styles."""
+    return F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", "")
 
 
 def visible(html: Column) -> Column:
-    """What a reader sees of a fragment: no tags, one space between words."""
-    bare = decode(F.regexp_replace(html, r"(?s)<[^>]*>", ""))
+    """What a reader sees of a fragment: no tags, one space between words and around blocks."""
+    bare = decode(F.regexp_replace(F.regexp_replace(html, _BLOCK_TAGS, " "), r"(?s)<[^>]*>", ""))
     return strip(F.regexp_replace(bare, r"[\s\p{Z}]+", " "))
 
 
@@ -36,26 +55,27 @@ def joined_text(html: Column) -> Column:
 
 
 def table_rows(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    """Rows of tables without their heads; a row ends at the next one where its end tag is missing."""
+    body = F.regexp_replace(html, r"(?is)<thead\b.*?</thead\s*>", "")
+    return F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|</tbody|</table|\z)"), F.lit(1))
 
 
 def row_cells(row: Column) -> Column:
-    cells = F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), F.lit(1))
+    cells = F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)(?=</td\s*>|<t[dh]\b|\z)"), F.lit(1))
     return F.transform(cells, visible)
 
 
 def links(html: Column) -> Column:
     """Every anchor with a target, as array<struct<href, text>> in page order."""
     anchors = F.regexp_extract_all(
-        html, F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*["'][^"']*["'][^>]*>.*?</a\s*>"""), F.lit(0)
-    )
-    return F.transform(
-        anchors,
-        lambda a: F.struct(
-            decode(F.regexp_extract(a, _HREF, 1)).alias("href"), visible(a).alias("text")
-        ),
+        html, F.lit(rf"(?is)<a\b[^>]*?{_TARGET}[^>]*>.*?</a\s*>"), F.lit(0)
     )
 
+    def target(a: Column) -> Column:
+        given = F.regexp_extract(a, rf"(?is)^<a\b[^>]*?({_TARGET})", 1)
+        return decode(F.regexp_replace(given, r"""(?is)^href\s*=\s*["']?|["']$""", ""))
+    return F.transform(anchors, lambda a: F.struct(target(a).alias("href"), visible(a).alias("text")))
+
 
 def first_link(html: Column) -> Column:
     """The first anchor of a fragment; null where there is none."""

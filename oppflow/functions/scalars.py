@@ -29,8 +29,12 @@ def blank_to_null(column: Column) -> Column:
 
 
 def first_filled(*columns: Column) -> Column:
-    """The first value that is neither null, empty nor zero."""
-    return F.coalesce(*[F.when(~c.isin("", "0", "0.0"), c) for c in columns], F.lit(""))
+    """The first value that is neither null, empty nor a number equal to zero, however it is written.
+
+    Payload leaves are read as text, so a zero sent as text counts as zero too.
+    """
+    zero = [F.coalesce(c.try_cast("double") == 0, F.lit(False)) for c in columns]
+    return F.coalesce(*[F.when((c != "") & ~z, c) for c, z in zip(columns, zero, strict=True)], F.lit(""))
 
 
 def first_nonempty(*columns: Column) -> Column:

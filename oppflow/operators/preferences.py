@@ -15,13 +15,16 @@ TIMESTAMP_FORMATS = ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "yyyy-MM-dd HH:mm:ss",
 def read_responses(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """The form export; rows with fewer than six fields are dropped.
 
-    An empty field stays an empty text, so only a field that is not there is null.
+    A blank field, quoted or not, is an empty text.  A row without exactly the seven fields is
+    kept raw by the reader; its fields are counted outside of quotes.
     """
     raw = spark.read.csv(
-        path, schema=FORM_SCHEMA, header=header, multiLine=True, escape='"',
-        nullValue="\u0000", emptyValue="", mode="PERMISSIVE", enforceSchema=True,
+        path, schema=f"{FORM_SCHEMA}, _raw string", header=header, multiLine=True, escape='"', emptyValue="",
+        mode="PERMISSIVE", enforceSchema=True, columnNameOfCorruptRecord="_raw",
     )
-    return raw.filter(F.col("remove").isNotNull()).withColumn("seq", F.monotonically_increasing_id())
+    commas = F.regexp_count(F.regexp_replace("_raw", r'"(?:[^"]|"")*+"', ""), F.lit(","))
+    filled = [F.coalesce(c, F.lit("")).alias(c) for c in FORM_COLUMNS]
+    return raw.filter(F.col("_raw").isNull() | (commas >= 5)).select(*filled, F.monotonically_increasing_id().alias("seq"))
 
 
 def response_time(text: Column) -> Column:
@@ -50,6 +53,7 @@ def resolve_email(responses: DataFrame, members: DataFrame, aliases: DataFrame)
     via = aliases.select(
         F.lower(strip("login_email")).alias("login"), F.lower(strip("email")).alias("alias_of")
     ).join(known, F.col("alias_of") == F.col("member_email"), "left_semi")
+    via = via.groupBy("login").agg(F.min("alias_of").alias("alias_of"))  # one row per login, or responses would double
     sent = responses.withColumn("sender", F.lower(strip("email")))
     # one sender may write most of the responses, so the member side travels where it is small
     return (
@@ -85,13 +89,15 @@ def operations(history: DataFrame) -> DataFrame:
 def fold(ops: DataFrame) -> DataFrame:
     """The last operation of every member and keyword; within a response removal wins.
 
-    Only the last row per key and task is shuffled, so one busy member does not
-    weigh on one task.  Feed earlier folded state back in with ``seq`` -1.
+    The last is by time, where operations carry one, and then by ``seq``, which only orders the rows
+    of one file.  Only the last row per key and task is shuffled, so one busy member does not
+    weigh on one task.  Folded state keeps the time and is fed back in as it is.
     """
+    time = ["ts"] if "ts" in ops.columns else []
     last = F.row_number().over(
-        Window.partitionBy("email", "kw").orderBy(F.desc("seq"), F.desc("op"))
+        Window.partitionBy("email", "kw").orderBy(*[F.desc_nulls_last(c) for c in time], F.desc("seq"), F.desc("op"))
     )
-    return ops.withColumn("_last", last).filter("_last = 1").select("email", "kw", "op", "seq")
+    return ops.withColumn("_last", last).filter("_last = 1").select("email", "kw", "op", *time, "seq")
 
 
 def effective_patterns(members: DataFrame, folded: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
     folder = os.path.join(tempfile.gettempdir(), f"oppflow-{spark.sparkContext.applicationId}")
     spark.conf.set("spark.checkpoint.dir", folder)

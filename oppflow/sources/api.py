@@ -18,13 +18,16 @@ ORDER = ["payload_ord", "item_ord"]
 
 
 def read_bodies(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """Landed responses, one per file (or per line); the file name gives the order."""
+    """Landed responses, one per file (or per line); the file name gives the order.
+
+    What the landing folders are named by, such as ``award_group=Grants``, comes along as columns.
+    """
     bodies = spark.read.text(path, wholetext=whole_files)
     return bodies.select(
         F.coalesce(
             F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1).try_cast("bigint"), F.lit(0)
         ).alias("payload_ord"),
-        F.col("value").alias("body"),
+        F.col("value").alias("body"), *[c for c in bodies.columns if c != "value"],
     )
 
 

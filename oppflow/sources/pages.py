@@ -52,6 +52,10 @@ def _explode(pages: DataFrame, records: Column, state: Column, source: Column) -
     )
 
 
+def _html() -> Column:
+    return H.markup(F.col("html"))
+
+
 def _portal(pages: DataFrame, records: Column) -> DataFrame:
     return _explode(pages, records, F.col("state"), F.col("label"))
 
@@ -156,20 +160,20 @@ def _card_records(html: Column, base: Column) -> Column:
 
 
 def portal_tables(pages: DataFrame) -> DataFrame:
-    return _portal(pages, _table_records(F.col("html"), F.col("url")))
+    return _portal(pages, _table_records(_html(), F.col("url")))
 
 
 def portal_links(pages: DataFrame, fragments: list[str] = PORTAL_LINK_FRAGMENTS) -> DataFrame:
-    return _portal(pages, _link_records(F.col("html"), F.col("url"), fragments))
+    return _portal(pages, _link_records(_html(), F.col("url"), fragments))
 
 
 def portal_cards(pages: DataFrame) -> DataFrame:
-    return _portal(pages, _card_records(F.col("html"), F.col("url")))
+    return _portal(pages, _card_records(_html(), F.col("url")))
 
 
 def state_portals(pages: DataFrame, fragments: list[str] = PORTAL_LINK_FRAGMENTS) -> DataFrame:
     """Tables where a page has usable ones, else links, else cards, decided per page."""
-    html, base = F.col("html"), F.col("url")
+    html, base = _html(), F.col("url")
     chosen = bind(
         _table_records(html, base),
         lambda rows: F.when(F.size(rows) > 0, rows).otherwise(
@@ -216,7 +220,7 @@ def _platform_row(row: Column, base: Column, buyspeed: bool) -> Column:
 
 
 def _platform(pages: DataFrame, buyspeed: bool, fragments: list[str], min_text: int) -> DataFrame:
-    html, base = F.col("html"), F.col("url")
+    html, base = _html(), F.col("url")
     rows = H.table_rows(html)
     found = F.filter(
         F.transform(rows, lambda row: _platform_row(row, base, buyspeed)), lambda r: r.isNotNull()
@@ -281,7 +285,7 @@ def texas_esbd(pages: DataFrame) -> DataFrame:
         return bind(link, lambda x: bind(H.paragraphs(block), lambda parts: build(x, parts)))
 
     found = F.filter(
-        F.transform(H.blocks(F.col("html"), ["esbd-result-row"]), from_block), lambda r: r.isNotNull()
+        F.transform(H.blocks(_html(), ["esbd-result-row"]), from_block), lambda r: r.isNotNull()
     )
     return _explode(pages, found, F.lit("TX"), F.lit("TX ESBD"))
 
@@ -308,7 +312,7 @@ def nc_evp(pages: DataFrame) -> DataFrame:
 
         return bind(H.row_cells(row), with_cells)
 
-    found = F.filter(F.transform(H.table_rows(F.col("html")), build), lambda r: r.isNotNull())
+    found = F.filter(F.transform(H.table_rows(_html()), build), lambda r: r.isNotNull())
     return _explode(pages, found, F.lit("NC"), F.lit("NC eVP"))
 
 
@@ -316,7 +320,7 @@ def nc_doa(pages: DataFrame) -> DataFrame:
     """Fallback list of posted links."""
     site = F.lit("https://www.doa.nc.gov")
     wanted = F.filter(
-        H.links(F.col("html")),
+        H.links(_html()),
         lambda x: (
             F.contains(F.lower(x["href"]), F.lit("solicitation"))
             | F.lower(x["text"]).rlike("solicitation|rfp|bid")
@@ -335,7 +339,7 @@ def nc_doa(pages: DataFrame) -> DataFrame:
 
 def ny_nyscr(pages: DataFrame) -> DataFrame:
     """Listing blocks, else detail links, else the table, else any ad links."""
-    html = F.col("html")
+    html = _html()
     site = F.lit("https://www.nyscr.ny.gov")
 
     def full(href: Column) -> Column:
@@ -408,7 +412,7 @@ def _aggregator(pages: DataFrame, state_slugs: DataFrame, source: str, site: str
                 close: list[str], posted: list[str], amount: list[str],
                 links_to: list[str], not_to: list[str]) -> DataFrame:
     """Card, table-row or link pages of an aggregator; the slug in the URL gives the state."""
-    html = F.col("html")
+    html = _html()
     base = pages.select("page_id", "html", F.regexp_extract("url", slug_pattern, 1).alias("slug"))
     # 50 fixed rows
     placed = base.join(F.broadcast(state_slugs), "slug", "inner")

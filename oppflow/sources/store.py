@@ -1,5 +1,5 @@
 """Stored records and the versioned state tables kept between runs."""
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oppflow.schema import PREFERENCE_SCHEMA, RFP_SCHEMA, SEEN_SCHEMA, SNAPSHOT_SCHEMA
@@ -75,14 +75,31 @@ def preference_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """All term snapshots; a damaged file is skipped, as if that run had not been."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], SNAPSHOT_SCHEMA)
-    return spark.read.schema(SNAPSHOT_SCHEMA).option("ignoreCorruptFiles", "true").parquet(path)
+    """All term snapshots; a run that cannot be read in full is left out as a whole."""
+    return _counted_snapshots(spark, path).filter(f"not ({_DAMAGED})").drop("run_rows", "found")
+
+
+def damaged_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """Runs of which only a part could be read: run_ts, rows found and rows written."""
+    damaged = _counted_snapshots(spark, path).filter(_DAMAGED)
+    return damaged.groupBy("run_ts").agg(F.max("found").alias("found"), F.max("run_rows").alias("run_rows"))
+
+
+_DAMAGED = "run_rows is not null and found <> run_rows"
+
+
+def _counted_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    schema = SNAPSHOT_SCHEMA + ", run_rows bigint"
+    rows = spark.createDataFrame([], schema)
+    if exists(spark, path):
+        rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
+    return rows.withColumn("found", F.count("*").over(Window.partitionBy("run_ts")))
 
 
 def append_snapshot(snapshot: DataFrame, path: str) -> None:
-    snapshot.coalesce(1).write.mode("append").parquet(path)
+    """Add a run; every row carries how many its run has."""
+    counted = snapshot.withColumn("run_rows", F.count("*").over(Window.partitionBy("run_ts")))
+    counted.coalesce(1).write.mode("append").parquet(path)
 
 
 def write_sections(sections: dict[str, DataFrame], path: str) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from oppflow.fixed_values import EXCLUSIONS, SEEN_DAYS, STOP_WORDS
-from oppflow.operators.identity import first_wins, record_hash, unseen
+from oppflow.operators.identity import first_wins, record_hash
 from oppflow.operators.preferences import fold
 from oppflow.plans.ingest import enrich
 from oppflow.schema import RFP_SCHEMA
@@ -60,6 +60,21 @@ def latest_per_key(written: DataFrame, key: str) -> DataFrame:
     return written.withColumn("_last", last).filter("_last = 1").drop("_last", "batch")
 
 
+def admitted_times(hashed: DataFrame, earlier: DataFrame, days: int) -> DataFrame:
+    """(hash, scraped_at) of the sightings to store: each more than ``days`` after the one stored before it.
+
+    ``earlier`` has the ``last`` stored time of a hash.  A hash has as many times as the batch has runs.
+    """
+    limit = F.lit(timedelta(days=days))
+    times = hashed.groupBy("hash").agg(F.sort_array(F.collect_set("scraped_at")).alias("times")).join(earlier, "hash", "left")
+    start = F.struct(F.expr("cast(array() as array<timestamp>)").alias("kept"), F.col("last").cast("timestamp").alias("last"))
+
+    def step(seen, t):
+        new = seen["last"].isNull() | (t > seen["last"] + limit)
+        return F.when(new, F.struct(F.concat(seen["kept"], F.array(t)).alias("kept"), t.alias("last"))).otherwise(seen)
+    return times.select("hash", F.explode(F.aggregate("times", start, step)["kept"]).alias("scraped_at"))
+
+
 def ingest_sink(
     path: str, keywords: list[str], order: list[str], days: int = SEEN_DAYS,
     exclusions: list[str] = EXCLUSIONS, stop_words: list[str] = STOP_WORDS,
@@ -69,6 +84,9 @@ def ingest_sink(
     The stored records are the memory: a batch that runs again compares itself with
     the batches *before* it and writes its own folder anew, so the result is the
     same.  Only the dates of the last ``days`` days are read for it.
+
+    A record is new where no stored record of its hash is at most ``days`` older.  That is decided record by record, so
+    records that arrive in the order of their time give the same rows however they are cut into batches.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -76,15 +94,17 @@ def ingest_sink(
         oldest = batch.agg(F.min("scraped_at")).first()[0]
         if oldest is None:
             return
-        fresh = first_wins(batch.withColumn("hash", record_hash()), ["hash"], order)
+        hashed = batch.withColumn("hash", record_hash())
+        earlier = spark.createDataFrame([], "hash string, last timestamp")
         if exists(spark, path):
             since = F.lit(oldest - timedelta(days=days))
             earlier = spark.read.schema(RFP_SCHEMA + ", batch int").parquet(path).filter(
                 (F.col("batch") < number)
                 & (F.col("scrape_date") >= F.date_format(since, "yyyy-MM-dd"))
                 & (F.col("scrape_timestamp") >= since)
-            )
-            fresh = unseen(fresh, earlier)
+            ).groupBy("hash").agg(F.max("scrape_timestamp").alias("last"))
+        admitted = admitted_times(hashed, earlier, days)
+        fresh = first_wins(hashed, ["hash", "scraped_at"], order).join(admitted, ["hash", "scraped_at"], "left_semi")
         write_batch(enrich(fresh, keywords, F.col("scraped_at"), exclusions, stop_words), path, str(number))
 
     return write
@@ -97,7 +117,7 @@ def preference_sink(state: StateTable) -> Callable[[DataFrame, int], None]:
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        columns = ["email", "kw", "op", "seq"]
+        columns = [c for c in ("email", "kw", "op", "ts", "seq") if c in batch.columns]
         state.write(fold(state.read().select(*columns).unionByName(batch.select(*columns))))
 
     return write

@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check import rows
+from oppflow import catalog
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 # one of each kind; check.py runs all of them at the larger scale
 SAMPLE = [
