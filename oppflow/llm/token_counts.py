@@ -75,7 +75,7 @@ def trie_counts(words: list[str], model: Unigram) -> dict[str, int]:
     return out
 
 
-def counter(model_file: str, memory: int = 200_000):
+def counter(model_file: str, memory: int = 600_000):
     """A column function from text to its number of tokens."""
 
     @F.pandas_udf("long")
