@@ -1,10 +1,11 @@
 """Token counts of a unigram tokenizer, by dynamic programming shared along a trie of pre-tokens.
 
-A text is split at white space; each word with a leading word mark is a pre-token.  A task gathers the distinct
+A text is split at white space; each word with a leading word mark is a pre-token.  A Python worker gathers the distinct
 pre-tokens of a batch that it does not know yet and walks their trie in sorted order: the stack holds
 the forward scores of the current path, so a shared prefix is scored once, and a node that ends a
-pre-token stores its number of tokens.  Counting a text is then a look-up per word.  Known counts are
-kept up to ``memory`` pre-tokens and then forgotten, so memory is bounded by that and the largest batch.
+pre-token stores its number of tokens.  Counting a text is then a look-up per word.  Known counts are kept
+from task to task of the worker, up to ``memory`` pre-tokens, and then forgotten, so memory is bounded by
+that and the largest batch; a new worker counts afresh.
 
 The forward score of a prefix is the best sum of piece scores over all ways to cut it; ties take fewer
 tokens.  A character that no piece covers becomes its UTF-8 bytes.  Scores come from the public
@@ -15,6 +16,7 @@ Null and empty texts count 0.  Repeated rows are counted each; other columns are
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache, cached_property
 from os.path import commonprefix
 
 import pandas as pd
@@ -31,6 +33,16 @@ class Unigram:
     byte_score: float
     longest: int = field(default=0)
 
+    @cached_property
+    def endings(self) -> dict[str, float]:
+        """Every ending of a piece with its score, minus infinity if it is no piece itself.
+
+        Read backwards from one position, the pieces that end there lie on one path; it stops at the first text that is no ending.
+        """
+        out = {piece[i:]: -math.inf for piece in self.scores for i in range(len(piece))}
+        out.update(self.scores)
+        return out
+
 
 def zipf_scores(model_file: str) -> Unigram:
     """Scores from the ranks of a public piece vocabulary."""
@@ -41,20 +53,27 @@ def zipf_scores(model_file: str) -> Unigram:
     return Unigram(scores, -math.log(len(pieces)) - total, max(map(len, pieces), default=1))
 
 
+@cache
+def remembered(model_file: str) -> tuple[Unigram, dict[bytes, int]]:
+    """The scores and the known counts of this Python worker."""
+    return zipf_scores(model_file), {}
+
+
 def forward(word: str, scores: list[float], counts: list[int], model: Unigram) -> None:
     """Extend the forward scores of a prefix to all of ``word``; position i is the prefix of i characters."""
-    known, byte = model.scores, model.byte_score
+    known, byte, endings = model.scores, model.byte_score, model.endings
     for end in range(len(scores), len(word) + 1):
         char = word[end - 1]
-        size = len(char.encode("utf-8", "surrogatepass"))
         best, n = -math.inf, 0
-        for start in range(max(0, end - model.longest), end):
-            score = known.get(word[start:end])
-            if score is not None:
-                score += scores[start]
-                if score > best or (score == best and counts[start] + 1 < n):
-                    best, n = score, counts[start] + 1
+        for start in range(end - 1, -1, -1):
+            score = endings.get(word[start:end])
+            if score is None:
+                break
+            score += scores[start]
+            if score > best or (score == best and counts[start] + 1 < n):
+                best, n = score, counts[start] + 1
         if char not in known:
+            size = len(char.encode("utf-8", "surrogatepass"))
             score = scores[end - 1] + size * byte
             if score > best or (score == best and counts[end - 1] + size < n):
                 best, n = score, counts[end - 1] + size
@@ -80,7 +99,7 @@ def counter(model_file: str, memory: int = 600_000):
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model, known = zipf_scores(model_file), {}
+        model, known = remembered(model_file)
         for texts in batches:
             out = []
             for text in texts:
