@@ -279,9 +279,11 @@ def leftover(shared: DataFrame, stars: DataFrame, signed: DataFrame, p: MinHash)
     """Pairs of one bucket but different components, each with a side outside the bucket's largest component."""
     named = cut(shared.select("key", "doc_id").join(stars, "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("c")))
     split = cut(named.groupBy("key").agg(F.min("c").alias("c"), F.max("c").alias("z")).where("c < z").select("key"))
-    inside = cut(named.join(split, "key").join(side(signed, "doc_id"), "doc_id"))
-    sizes = inside.groupBy("key", "c").agg(F.count("*").alias("n"))
-    inside = cut(inside.join(cut(sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("m")).select("key", F.col("m.c").alias("main"))), "key"))
+    narrow = cut(named.join(split, "key"))
+    sizes = narrow.groupBy("key", "c").agg(F.count("*").alias("n"))
+    main = cut(sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("m")).select("key", F.col("m.c").alias("main")))
+    # sketches come last: they are wide, and a document is in many buckets
+    inside = cut(narrow.join(main, "key").join(side(signed, "doc_id"), "doc_id"))
     odd = inside.where("c <> main").select("key", F.col("doc_id").alias("x"), F.col("c").alias("cx"), F.col("n_doc_id").alias("n_x"), F.col("s_doc_id").alias("s_x"))
     near = may_link(F.col("n_x"), F.col("s_x"), F.col("n_doc_id"), F.col("s_doc_id"), p)
     met = odd.join(inside, (odd["key"] == inside["key"]) & F.expr("cx <> c and (c = main or x < doc_id)") & near)
