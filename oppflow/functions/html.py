@@ -123,10 +123,10 @@ def element_text(html: Column, tags: list[str] = (), classes: list[str] = (), pa
 
 
 def paragraphs(html: Column) -> Column:
-    """Paragraphs with bold parts, as array<struct<names, text>>; names are lower case."""
+    """Innermost blocks with their bold parts, as array<struct<names, text>>; names are lower case."""
     bold = F.lit(r"(?is)<strong\b[^>]*>(.*?)</strong\s*>")
     return F.transform(
-        F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>(.*?)</p\s*>"), F.lit(1)),
+        F.regexp_extract_all(html, F.lit(r"(?is)<(p|div|li|td|dd)\b[^>]*>((?:(?!</?(?:p|div|li|td|dd)\b).)*+)</\1\s*>"), F.lit(2)),
         lambda p: F.struct(
             F.transform(F.regexp_extract_all(p, bold, F.lit(1)), lambda b: F.lower(joined_text(b))).alias("names"),
             joined_text(p).alias("text"),

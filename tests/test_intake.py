@@ -106,3 +106,15 @@ def test_commented_links_are_no_records(spark):
     page = "<!-- <a href='/bid/9'>A commented bid link</a> --><a href=/bid/1>Road salt supply bid</a>"
     df = spark.createDataFrame([(1, "https://p.org/x", page, "TX", "P")], "page_id long, url string, html string, state string, label string")
     assert [r.url for r in pages.portal_links(df).collect()] == ["https://p.org/bid/1"]
+
+
+def test_labels_are_read_in_any_block(spark):
+    html = (
+        "<div class='row'><div><strong>Status:</strong> Open</div><p><strong>Due Date:</strong> 1/2/2025</p>"
+        "<ul><li><strong>Due Time:</strong> 2 PM</li></ul><div>" + "long <b>text</b> " * 60_000 + "</div>"
+        "<div><strong>Budget:</strong> $5</div></div>"
+    )
+    labels = ["Status", "Due Date", "Due Time", "Budget", "Agency"]
+    page = spark.createDataFrame([(html,)], "html string").select(H.paragraphs(F.col("html")).alias("parts"))
+    got = page.select(*[H.labelled(F.col("parts"), x).alias(x) for x in labels]).first()
+    assert list(got) == ["Open", "1/2/2025", "2 PM", "$5", ""]
