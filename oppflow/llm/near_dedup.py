@@ -1,19 +1,20 @@
 """Near-duplicate groups: MinHash minima, banding, verification, connected components.
 
-1. One pass over the texts makes a digest per document: size and fingerprint of its shingle set,
-   ``bands * rows`` universal hash minima, and the normalised text in compressed form.
+1. One pass over the texts makes a digest per document: size and fingerprint of its shingle set, one bucket key
+   per band of ``rows`` universal hash minima, and a sketch.
 2. Documents with the same set form a class, represented by its smallest id; later steps see only
    representatives, so any number of copies costs one row each.
-3. Per band the minima of its rows form a bucket key.  A document meets the smallest ids of the
-   buckets it is in, the ``heads`` that it shares most buckets with, never all members.  Pairs whose sketches cannot reach the
-   threshold are dropped (four standard deviations of slack); the rest are confirmed on full sets.
+3. A document meets the smallest ids of the buckets it is in, the ``heads`` that it shares most buckets with,
+   never all members.  Pairs whose sketches cannot reach the threshold are dropped (four standard deviations
+   of slack); the rest are confirmed on full sets, for which the texts of both are read again.
 4. Confirmed links are joined into components by alternating large-star and small-star.
 5. Buckets that still hold two components are worked off exactly: their members outside the bucket's
-   largest component are held against every member of another component, by sketch inside the join.  So no candidate link between
-   different components stays unconfirmed, and components are those of all candidate pairs.
+   largest component are held against every member of another component, by sketch, in blocks of bounded
+   size; a pair counts in the first bucket it shares.  So no candidate link between different components
+   stays unconfirmed, and components are those of all candidate pairs.
 
 A pair at the threshold misses all bands with probability ``(1 - 0.8 ** rows) ** bands``, 2e-5 for
-6 rows and 36 bands.
+5 rows and 27 bands.
 
 Documents without words or text have an empty set, link with nothing and stay.  Rows with the same
 doc_id are one document; a null doc_id stays alone with a null component.  Other columns are ignored.
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,13 +41,14 @@ _INVERSE = pow(_BASE, -1, 2**64)
 
 @dataclass(frozen=True)
 class MinHash:
-    """``heads`` bounds the pairs of a document in the first round, not the links found."""
+    """``heads`` bounds the pairs of a document in the first round, not the links found; ``block`` the rows of a block."""
     words: int = 5
-    bands: int = 36
-    rows: int = 6
+    bands: int = 27
+    rows: int = 5
     percent: int = 80
     heads: int = 3
     slack: float = 0.055
+    block: int = 512
     seed: int = 7
 
     @property
@@ -127,8 +129,8 @@ class Signer:
 BINS = 2048  # of the one-permutation sketch
 
 
-def sketch(items: np.ndarray) -> np.ndarray:
-    """Which bins of the hash range hold an item, and a bit of each bin's smallest one; as signed 64-bit words.
+def sketch(items: np.ndarray) -> bytes:
+    """Which bins of the hash range hold an item, and a bit of each bin's smallest one.
 
     ``items`` are sorted, so the smallest of a bin is where the bin number changes.
     """
@@ -137,65 +139,87 @@ def sketch(items: np.ndarray) -> np.ndarray:
     both = np.zeros((2, BINS), dtype=np.uint8)
     both[0, bins[first]] = 1
     both[1, bins[first]] = (items[first] & np.uint64(1)).astype(np.uint8)
-    return np.packbits(both.reshape(-1)).view(np.int64)
+    return np.packbits(both.reshape(-1)).tobytes()
+
+
+def known(docs: DataFrame) -> DataFrame:
+    """Id, text and a hash of the text of the documents that have an id."""
+    text = F.col("text").cast("string")
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
 
 
 def digests(docs: DataFrame, p: MinHash) -> DataFrame:
-    """(doc_id, n, f1, f2, keys, bits, body): set size and fingerprint, bucket keys, sketch, packed text."""
+    """(doc_id, t, n, f1, f2, keys, bits): hash of the text, size and fingerprint of its set, bucket keys, sketch."""
 
     def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle, sign, pack = Shingler(p.words), Signer(p), zstandard.ZstdCompressor(level=1)
+        shingle, sign = Shingler(p.words), Signer(p)
         for batch in batches:
             out = []
             for text in batch["text"]:
-                body = normal(text) if isinstance(text, str) else b""
-                items = shingle(body)
+                items = shingle(normal(text) if isinstance(text, str) else b"")
                 if not len(items):
-                    out.append((0, 0, 0, None, None, None))
+                    out.append((0, 0, 0, None, None))
                     continue
-                least = sign(items)
                 f1, f2 = items.sum(dtype=np.uint64), mixed(items ^ np.uint64(0x5555555555555555)).sum(dtype=np.uint64)
-                out.append((len(items), int(f1.view(np.int64)), int(f2.view(np.int64)), sign.keys(least), sketch(items), pack.compress(body)))
-            frame = pd.DataFrame(out, columns=["n", "f1", "f2", "keys", "bits", "body"])
+                out.append((len(items), int(f1.view(np.int64)), int(f2.view(np.int64)), sign.keys(sign(items)), sketch(items)))
+            frame = pd.DataFrame(out, columns=["n", "f1", "f2", "keys", "bits"])
             frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
+            frame.insert(1, "t", batch["t"].to_numpy())
             yield frame
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-        one, "doc_id long, n long, f1 long, f2 long, keys array<long>, bits array<long>, body binary")
+    return known(docs).mapInPandas(one, "doc_id long, t long, n long, f1 long, f2 long, keys array<long>, bits binary")
+
+
+def words_of(sketches: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), dtype=np.uint64).reshape(len(sketches), BINS // 32)
 
 
-def may_link(n_a: Column, bits_a: Column, n_b: Column, bits_b: Column, p: MinHash) -> Column:
+def may_link(n_a: np.ndarray, bits_a: np.ndarray, n_b: np.ndarray, bits_b: np.ndarray, p: MinHash) -> np.ndarray:
     """Neither the sizes nor the sketches rule the threshold out.
 
     Of the bins that either set fills, those whose smallest item is common agree in their bit; of the others
     that both fill, half do.  So (both - 2 * different) / either estimates the similarity.  At 0.8 its standard
     deviation is 0.011 for sets of 100 to 1000 items and 0.0133 at most; more than four are left as slack, and some items more for small sets.
     """
-    words = BINS // 64
+    half = BINS // 64
+    fill_a, fill_b = bits_a[..., :half], bits_b[..., :half]
+    shared = fill_a & fill_b
+    either = np.bitwise_count(fill_a | fill_b).sum(axis=-1, dtype=np.int64)
+    both = np.bitwise_count(shared).sum(axis=-1, dtype=np.int64)
+    different = np.bitwise_count((bits_a[..., half:] ^ bits_b[..., half:]) & shared).sum(axis=-1, dtype=np.int64)
+    return (np.minimum(n_a, n_b) * 100 >= np.maximum(n_a, n_b) * p.percent) & (
+        both - 2 * different >= (p.percent / 100 - p.slack) * either - 12 / np.sqrt(either))
 
-    def total(word) -> Column:
-        return sum((F.bit_count(word(i)) for i in range(1, words)), F.bit_count(word(0)))
-    either = total(lambda i: bits_a[i].bitwiseOR(bits_b[i]))
-    both = total(lambda i: bits_a[i].bitwiseAND(bits_b[i]))
-    different = total(lambda i: bits_a[words + i].bitwiseXOR(bits_b[words + i]).bitwiseAND(bits_a[i].bitwiseAND(bits_b[i])))
-    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * p.percent) & (
-        both - 2 * different >= (p.percent / 100 - p.slack) * either - 12 / F.sqrt(either))
 
+SETS = 2**22  # shingles that a task keeps from pair to pair
 
-def confirmed(near: DataFrame, digest: DataFrame, one: DataFrame, p: MinHash) -> DataFrame:
+
+def confirmed(near: DataFrame, docs: DataFrame, one: DataFrame, p: MinHash) -> DataFrame:
     """Pairs (a, b) whose full shingle sets reach the threshold."""
-    involved = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(one.select("doc_id", "n", "f1", "f2"), "doc_id")
-    bodies = digest.join(cut(involved), ["doc_id", "n", "f1", "f2"]).select("doc_id", "body")
-    bodies = cut(bodies.dropDuplicates(["doc_id"]))
+    involved = cut(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(one.select("doc_id", "t"), "doc_id"))
+    texts = known(docs).join(involved, ["doc_id", "t"]).dropDuplicates(["doc_id", "t"]).select("doc_id", "text")
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "body": [packer.compress(normal(t)) for t in batch["text"]]})
+
+    bodies = cut(texts.mapInPandas(pack, "doc_id long, body binary"))
     both = near.join(bodies.select(F.col("doc_id").alias("a"), F.col("body").alias("t_a")), "a")
     both = both.join(bodies.select(F.col("doc_id").alias("b"), F.col("body").alias("t_b")), "b")
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle, unpack = Shingler(p.words), zstandard.ZstdDecompressor()
+        shingle, unpack, sets, held = Shingler(p.words), zstandard.ZstdDecompressor(), {}, 0
         for batch in batches:
             keep = []
-            for x, y in zip(batch["t_a"], batch["t_b"], strict=True):
-                x, y = shingle(unpack.decompress(x)), shingle(unpack.decompress(y))
+            for row in batch.itertuples(index=False):
+                for number, body in ((row.a, row.t_a), (row.b, row.t_b)):
+                    if number not in sets:
+                        if held > SETS:
+                            sets, held = {k: sets[k] for k in (row.a, row.b) if k in sets}, 0
+                        sets[number] = shingle(unpack.decompress(body))
+                        held += len(sets[number])
+                x, y = sets[row.a], sets[row.b]
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= p.percent * (len(x) + len(y) - common))
             yield batch.loc[np.array(keep, dtype=bool), ["a", "b"]]
@@ -239,18 +263,21 @@ def near_duplicates(docs: DataFrame, p: MinHash | None = None) -> DataFrame:
     digest = cut(digests(docs, p))
     same = ["n", "f1", "f2"]
     # of rows that share a doc_id the largest set, then the larger fingerprint, stands for the document
-    one = cut(digest.groupBy("doc_id").agg(F.max(F.struct(*same)).alias("s")).select("doc_id", "s.*"))
+    one = cut(digest.groupBy("doc_id").agg(F.max(F.struct(*same, "t")).alias("s")).select("doc_id", "s.*"))
     words = one.where("n > 0")
-    classes = cut(words.groupBy(*same).agg(F.min("doc_id").alias("doc_id")))
-    signed = cut(digest.select("doc_id", *same, "keys", "bits").join(classes, ["doc_id", *same]).dropDuplicates(["doc_id"]).select("doc_id", "n", "keys", "bits"))
+    classes = cut(words.groupBy(*same).agg(F.min_by("t", "doc_id").alias("t"), F.min("doc_id").alias("doc_id")))
+    signed = cut(digest.select("doc_id", "t", "keys").join(classes.select("doc_id", "t"), ["doc_id", "t"]).dropDuplicates(["doc_id", "t"]).select("doc_id", "keys"))
     banded = signed.select("doc_id", F.explode("keys").alias("key"))
     heads = cut(banded.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("key", "a"))
     shared = cut(banded.join(heads, "key"))
-    links = confirmed(first_pairs(shared, signed, p), digest, one, p)
+    # keys and sketches of the documents that share a bucket
+    wanted = shared.select("doc_id").distinct().join(classes.select("doc_id", "t"), "doc_id")
+    sides = cut(digest.join(cut(wanted), ["doc_id", "t"]).dropDuplicates(["doc_id", "t"]).select("doc_id", "n", "keys", "bits"))
+    links = confirmed(first_pairs(shared, sides, p), docs, one, p)
     stars = components(links)
-    rest = leftover(shared, stars, signed, p)
+    rest = leftover(shared, stars, sides, p)
     if not rest.isEmpty():
-        links = links.unionByName(confirmed(rest, digest, one, p))
+        links = links.unionByName(confirmed(rest, docs, one, p))
         stars = components(links)
     member = words.join(classes.withColumnRenamed("doc_id", "rep"), same).select("doc_id", "n", "rep")
     labelled = member.join(stars.select(F.col("doc_id").alias("rep"), "component"), "rep", "left").select(
@@ -261,33 +288,80 @@ def near_duplicates(docs: DataFrame, p: MinHash | None = None) -> DataFrame:
     return labelled.unionByName(empty).unionByName(nameless).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def side(signed: DataFrame, x: str) -> DataFrame:
-    """Size and sketch of the documents that column ``x`` names."""
-    return signed.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"s_{x}"))
-
-
-def first_pairs(shared: DataFrame, signed: DataFrame, p: MinHash) -> DataFrame:
+def first_pairs(shared: DataFrame, sides: DataFrame, p: MinHash) -> DataFrame:
     """Every document with the heads it shares most buckets with, as far as sketches allow a link."""
     met = shared.where("doc_id <> a").groupBy("a", F.col("doc_id").alias("b")).agg(F.count("*").alias("n"))
     order = W.partitionBy("b").orderBy(F.desc("n"), "a")
-    top = met.withColumn("i", F.row_number().over(order)).where(F.col("i") <= p.heads).select("a", "b")
-    pairs = top.join(side(signed, "b"), "b")
-    return cut(cut(pairs).join(side(signed, "a"), "a").where(may_link(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), p)).select("a", "b"))
+    top = cut(met.withColumn("i", F.row_number().over(order)).where(F.col("i") <= p.heads).select("a", "b"))
+    pairs = top
+    for x in ("a", "b"):
+        pairs = pairs.join(sides.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"s_{x}")), x)
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch.loc[may_link(batch["n_a"].to_numpy(), words_of(batch["s_a"]), batch["n_b"].to_numpy(), words_of(batch["s_b"]), p), ["a", "b"]]
 
+    return cut(pairs.mapInPandas(near, "a long, b long"))
 
-def leftover(shared: DataFrame, stars: DataFrame, signed: DataFrame, p: MinHash) -> DataFrame:
-    """Pairs of one bucket but different components, each with a side outside the bucket's largest component."""
+
+def leftover(shared: DataFrame, stars: DataFrame, sides: DataFrame, p: MinHash) -> DataFrame:
+    """Pairs of one bucket but different components, each with a side outside the bucket's largest component.
+
+    Members of the largest component and the others are dealt into blocks, and every block of others meets every
+    block.  Groups are named (main block, other block), or (other block, -1 - other block) for two of others.
+    """
     named = cut(shared.select("key", "doc_id").join(stars, "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("c")))
     split = cut(named.groupBy("key").agg(F.min("c").alias("c"), F.max("c").alias("z")).where("c < z").select("key"))
     narrow = cut(named.join(split, "key"))
     sizes = narrow.groupBy("key", "c").agg(F.count("*").alias("n"))
-    main = cut(sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("m")).select("key", F.col("m.c").alias("main")))
+    main = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("m"), F.sum("n").alias("n")).select(
+        "key", F.col("m.c").alias("main"), F.ceil(F.col("m.n") / p.block).alias("p_main"), F.ceil((F.col("n") - F.col("m.n")) / p.block).alias("p_odd"))
+    odd, hashed = F.col("c") != F.col("main"), F.xxhash64("doc_id", "key")
+    dealt = narrow.join(cut(main), "key").withColumn("odd", odd).withColumn("q", F.pmod(hashed, F.when(odd, F.col("p_odd")).otherwise(F.col("p_main"))))
+    others = F.sequence(F.lit(0).cast("long"), F.col("p_odd") - 1)
+    with_main = F.transform(F.sequence(F.lit(0).cast("long"), F.col("p_main") - 1), lambda i: F.struct(i.alias("i"), F.col("q").alias("j")))
+    with_odd = F.transform(F.filter(others, lambda i: i != F.col("q")), lambda i: F.struct(F.least(i, "q").alias("i"), (-1 - F.greatest(i, "q")).alias("j")))
+    groups = F.when(odd, F.concat(with_main, with_odd)).otherwise(F.transform(others, lambda j: F.struct(F.col("q").alias("i"), j.alias("j"))))
+    placed = dealt.withColumn("g", F.explode(groups)).select("key", "g.i", "g.j", "doc_id", "c", "odd", "q")
     # sketches come last: they are wide, and a document is in many buckets
-    inside = cut(narrow.join(main, "key").join(side(signed, "doc_id"), "doc_id"))
-    odd = inside.where("c <> main").select("key", F.col("doc_id").alias("x"), F.col("c").alias("cx"), F.col("n_doc_id").alias("n_x"), F.col("s_doc_id").alias("s_x"))
-    near = may_link(F.col("n_x"), F.col("s_x"), F.col("n_doc_id"), F.col("s_doc_id"), p)
-    met = odd.join(inside, (odd["key"] == inside["key"]) & F.expr("cx <> c and (c = main or x < doc_id)") & near)
-    return cut(met.select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct())
+    rows = cut(placed).join(sides, "doc_id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def pairs(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        key, i, j = group["key"].iat[0], group["i"].iat[0], group["j"].iat[0]
+        number, c, is_odd, n = (group[x].to_numpy() for x in ("doc_id", "c", "odd", "n"))
+        bits, keys, q = words_of(group["bits"]), np.stack(group["keys"].to_list()), group["q"].to_numpy()
+        band, out = int(np.flatnonzero(keys[0] == key)[0]), []
+        for x in np.flatnonzero(is_odd if j >= 0 else q == i):
+            if j < 0:
+                other = q != i
+            elif i == 0:
+                other = ~is_odd | (number > number[x])
+            else:
+                other = ~is_odd
+            y = np.flatnonzero(other & (c != c[x]))
+            y = y[may_link(n[x], bits[x], n[y], bits[y], p)]
+            y = y[(keys[y, :band] != keys[x, :band]).all(axis=1)]
+            out.append(np.stack([np.minimum(number[x], number[y]), np.maximum(number[x], number[y])]))
+        found = np.concatenate(out, axis=1) if out else np.zeros((2, 0), dtype=np.int64)
+        return found[0], found[1]
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if not len(batch):
+                continue
+            ids = batch[["key", "i", "j"]].to_numpy()
+            starts = np.concatenate(([0], np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1))
+            # the last group may go on in the next batch
+            for at, end in zip(starts[:-1], starts[1:], strict=True):
+                yield pd.DataFrame(dict(zip("ab", pairs(batch.iloc[at:end]), strict=True)))
+            rest = batch.iloc[starts[-1]:]
+        if rest is not None and len(rest):
+            yield pd.DataFrame(dict(zip("ab", pairs(rest), strict=True)))
+
+    return cut(rows.mapInPandas(near, "a long, b long"))
 
 
 def without_copies(docs: DataFrame, p: MinHash | None = None) -> DataFrame:

@@ -69,6 +69,21 @@ def test_chain_and_bucket_rest(docs):
     assert got == {i: c for i, (_, c, _) in brute(rows, 4).items()}
 
 
+@pytest.mark.parametrize("block", [1, 3])
+def test_blocks_of_a_hot_bucket(docs, block):
+    """Copies drifting from one another in one bucket, dealt into blocks of few rows, lose no link."""
+    rng = random.Random(8)
+    base, rows = [f"c{i}" for i in range(150)], []
+    for i in range(36):
+        words = list(base)
+        for _ in range(rng.choice([0, 2, 4, 6])):
+            words[rng.randrange(150)] = f"x{rng.randrange(6)}"
+        rows.append((i, " ".join(words)))
+    p = MinHash(words=4, rows=1, heads=1, block=block)
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs(rows), p).collect()}
+    assert got == {i: c for i, (_, c, _) in brute(rows, 4).items()}
+
+
 def test_repeated_rows_null_ids_and_extra_columns(spark):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(5, text, "a"), (5, text, "a"), (7, text, "b"), (None, text, "c"), (None, None, "d")]
