@@ -4,7 +4,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from oppflow.llm import language_id, near_dedup, packing, source_mix, surrogates
-from oppflow.llm.queries import PII_KEY, packing_settings
+from oppflow.llm.queries import PII_KEY, contract_packing
 from oppflow.session import shared_dir
 
 
@@ -27,7 +27,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed(docs, packing_settings())
+    return packing.packed(docs, contract_packing())
 
 
 STAGES = [

@@ -48,10 +48,12 @@ class Packing:
     sentence_penalty: float = 8.0
     word_penalty: float = 64.0
     stretch: int = 400_000
+    special_tokens: tuple[tuple[str, int], ...] = ()
 
 
 class Encoder:
-    """Token ids of the public byte-level vocabulary; special strings in a text are ordinary text.
+    """Token ids of the public byte-level vocabulary.  The special tokens of the settings are one id each wherever a text holds
+    their string; other special strings are ordinary text.
 
     The pattern's look-ahead only matters where two white spaces follow each other; without it the splitting is
     much faster and, on all other texts, the same.
@@ -60,16 +62,17 @@ class Encoder:
     def __init__(self, p: Packing):
         with open(p.ranks, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-        make = {"mergeable_ranks": ranks, "special_tokens": {}}
+        special = dict(p.special_tokens)
+        make = {"mergeable_ranks": ranks, "special_tokens": special}
         self.exact = tiktoken.Encoding("exact", pat_str=p.pattern, **make)
         self.fast = tiktoken.Encoding("fast", pat_str=p.pattern.replace(r"\s+(?!\S)|", ""), **make)
-        self.double = re.compile(r"\s\s|\s\Z")
+        self.double = re.compile("|".join([r"\s\s", r"\s\Z", *map(re.escape, special)]))
         ends = [i for token, i in ranks.items() if re.search(rb"[.!?][\"')\]]*$|\n", token)]
-        self.ends = np.zeros(max(ranks.values()) + 2, dtype=bool)
+        self.ends = np.zeros(max([*ranks.values(), *special.values()]) + 2, dtype=bool)
         self.ends[ends] = True
 
     def __call__(self, text: str) -> list[int]:
-        return (self.exact if self.double.search(text) else self.fast).encode_ordinary(text)
+        return (self.exact if self.double.search(text) else self.fast).encode(text, allowed_special="all", disallowed_special=())
 
 
 def cuts_of(ids: np.ndarray, ends: np.ndarray, bounds: np.ndarray, p: Packing) -> tuple[np.ndarray, np.ndarray]:

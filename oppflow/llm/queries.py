@@ -20,8 +20,14 @@ HOST_RULES = [
 PII_KEY = os.environ.get("OPPFLOW_PII_KEY", "key of the test data")
 
 
-def packing_settings() -> packing.Packing:
-    return packing.Packing(ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN)
+def packing_settings(**more) -> packing.Packing:
+    """The public vocabulary without its special tokens."""
+    return packing.Packing(ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN, **more)
+
+
+def contract_packing() -> packing.Packing:
+    """What the queries pack with: the ids of byte_bpe_50k.json, added special token included."""
+    return packing_settings(special_tokens=(("<|endoftext|>", 50256),))
 
 
 def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,7 +51,7 @@ def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.packed(table(spark, folder, "documents"), packing_settings())
+    return packing.packed(table(spark, folder, "documents"), contract_packing())
 
 
 def op7_vector_search(spark: SparkSession, folder: str) -> DataFrame:

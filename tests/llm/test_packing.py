@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from oppflow.llm.packing import Encoder, best_cuts, packed, padding
-from oppflow.llm.queries import packing_settings
+from oppflow.llm.queries import contract_packing, packing_settings
 
 SETTINGS = packing_settings()
 
@@ -95,3 +95,22 @@ def test_both_splittings_agree():
     tokenizer.encode_special_tokens = True
     for text in [t for t in texts() if t] + ["a ", " a", "a\n", "a b", "a  b", "\t", "a  ", "\r\nb"]:
         assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+SPECIAL = ["a<|endoftext|>b", "<|endoftext|>", "a <|endoftext|> b", "a  <|endoftext|>\n\n<|endoftext|>  b ", "<|endoftext|><|endoftext|>", "<|endoftext|", "x\n<|endoftext|>" * 3]
+
+
+def test_special_token_of_the_vocabulary(docs):
+    """What op6_packing and the pipeline pack with gives the ids of byte_bpe_50k.json as it is."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = [tokenizer.encode(text, add_special_tokens=False).ids for text in SPECIAL]
+    assert want[0] == [64, 50256, 65]
+    encode = Encoder(contract_packing())
+    assert [encode(text) for text in SPECIAL] == want
+    for text in (t for t in texts() if t):
+        assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    pieces = packed(docs(list(enumerate(SPECIAL))), contract_packing()).collect()
+    for p in pieces:
+        ids = np.array([*want[p.doc_id], 0], dtype="<u4")
+        assert p.doc_tokens == len(ids) and p.ids_crc32 == zlib.crc32(ids[p.start: p.start + p.length].tobytes())
+    assert sum(p.length for p in pieces) == sum(len(ids) + 1 for ids in want)
