@@ -3,7 +3,9 @@
 Vectors are brought to unit length and rotated by a random orthogonal matrix, so that any first ``m``
 of ``d`` components hold about ``m / d`` of a squared distance.  k-means on a bounded sample gives the
 centres of the lists; every vector is put into the list of its nearest centre.  A query probes the
-lists of its nearest centres.  Inside a list, distances are summed block of columns by block of
+lists of its nearest centres.  How many is measured in each run: for a bounded set of its queries the true neighbours are
+found among all vectors, and the fewest lists that hold the share ``recall`` of them are probed, never fewer than
+``probe`` and ``least_probes`` say.  Inside a list, distances are summed block of columns by block of
 columns; after each, a candidate is abandoned when its partial distance, scaled to all columns, exceeds the
 current fifth-best by more than a hypothesis test allows (``epsilon`` standard deviations).  Candidates that
 are left get their exact cosine from the original vectors.
@@ -16,6 +18,7 @@ whose length is not the most frequent one (ties: the longer).  Ties go to the sm
 first in the order of their components.  A query with fewer than ``k`` candidates in
 its probed lists probes more, so it gets all candidates if there are fewer than ``k``.
 """
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +32,9 @@ from oppflow.session import cut
 
 @dataclass(frozen=True)
 class Search:
-    """``sample`` bounds the vectors that k-means sees, ``most_lists`` the centres."""
+    """``sample`` bounds the vectors that k-means sees, ``most_lists`` the centres, ``measured`` the queries whose true
+    neighbours are looked up.  ``recall`` is the share of those that the probed lists must hold; abandoning takes a little of it.
+    """
     k: int = 5
     sample: int = 8192
     most_lists: int = 1024
@@ -39,6 +44,8 @@ class Search:
     epsilon: float = 2.1
     block: int = 2048
     seed: int = 23
+    measured: int = 256
+    recall: float = 0.95
 
 
 def usable(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -144,6 +151,41 @@ def search_block(queries: pd.DataFrame, vectors: pd.DataFrame, turn: np.ndarray,
     return pd.concat(out, ignore_index=True) if out else empty
 
 
+def true_lists(listed: DataFrame, queries: pd.DataFrame, s: Search) -> pd.DataFrame:
+    """(query_id, list) of the ``k`` nearest of all vectors, for a bounded number of queries.
+
+    A task keeps ``k`` rows a query, so what is dealt out does not grow with its vectors.
+    """
+    names, asked = queries["vec_id"].to_numpy(), unit(np.array(queries["v"].tolist()))
+
+    def scores_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            ids, found = batch["vec_id"].to_numpy(), unit(np.array(batch["v"].tolist())) @ asked.T
+            parts = [kept] if kept is not None else []
+            for i, name in enumerate(names):
+                others = np.flatnonzero(ids != name)
+                top = others[best(ids[others], found[others, i], s.k)]
+                parts.append(pd.DataFrame({"query_id": name, "vec_id": ids[top], "list": batch["list"].to_numpy()[top], "score": found[top, i]}))
+            kept = pd.concat(parts).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id").head(s.k)
+        if kept is not None:
+            yield kept
+
+    found = listed.mapInPandas(scores_of, "query_id long, vec_id long, list int, score double")
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.k).select("query_id", "list").toPandas()
+
+
+def probes_for(true: pd.DataFrame, queries: pd.DataFrame, middle: np.ndarray, s: Search) -> int:
+    """The fewest nearest lists that hold the share ``recall`` of the true neighbours."""
+    near = np.argsort(distances(unit(np.array(queries["v"].tolist())), middle), axis=1, kind="stable")
+    turn_of = dict(zip(queries["vec_id"], np.argsort(near, axis=1), strict=True))  # place of every list in a query's order
+    places = np.sort([turn_of[q][i] for q, i in zip(true["query_id"], true["list"], strict=True)])
+    return int(places[max(int(np.ceil(s.recall * len(places))) - 1, 0)]) + 1 if len(places) else 1
+
+
 def nearest(df: DataFrame, is_query: Column, s: Search | None = None, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest found for the rows where ``is_query`` (over vec_id) holds."""
     s = s or Search()
@@ -170,6 +212,10 @@ def nearest(df: DataFrame, is_query: Column, s: Search | None = None, key: str =
     sizes = {r.list: r.n for r in listed.groupBy("list").agg(F.count("*").alias("n")).collect()}  # a row per list
     filled = np.array([sizes.get(i, 0) for i in range(len(middle))])
     probes = min(len(middle), max(s.least_probes, round(s.probe * len(middle))))
+    if probes < len(middle):
+        known = rows.where(is_query).orderBy(order, "vec_id").limit(s.measured).toPandas()
+        if len(known):
+            probes = max(probes, probes_for(true_lists(listed, known, s), known, middle, s))
 
     @F.pandas_udf("array<int>")
     def probed(v: pd.Series) -> pd.Series:

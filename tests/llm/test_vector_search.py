@@ -97,3 +97,12 @@ def test_scan_keeps_all_that_is_near_enough():
         lost += 21 - int((far[left] <= bound * (1 + 1e-9)).sum())
         assert len(left) < 200
     assert lost <= 0.03 * total
+
+
+def test_recall_on_a_larger_table(spark):
+    """40000 isotropic vectors: most lists hold true neighbours, so a fixed quarter of them is not enough."""
+    m = np.random.default_rng(7).normal(size=(40_000, 64))
+    rows = [(i, v) for i, v in enumerate(m.tolist())]
+    got = found(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4))
+    want = brute([(i, v) for i, v in rows])
+    assert got.keys() == want.keys() and recall(got, want) >= 0.9
