@@ -8,7 +8,8 @@ the densities of its children.  The densest node sets the path to the body; the
 the threshold.  Of the nodes that reach it, the one with the largest density sum is the content.
 
 What is no text at all (scripts, styles, templates, comments) and what pages mark as something other than the
-article - by tag, role, or a word of class or id - is not part of the tree, unless nothing else is left.
+article - by tag, role, or a word of class or id - is taken out of the tree, unless nothing else is left.  A form or a node marked by
+class or id that is around the article, or holds most of the text, is only unwrapped; what is marked inside it still goes.
 
 Block tags, line breaks and cells end a block.  Character references are decoded.  White space inside a
 block becomes one space; blocks are joined by one space.  Null and empty pages give an empty
@@ -40,10 +41,15 @@ SAME_LEVEL = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr"
 SCOPES = frozenset("ul ol dl table article section main body html div aside nav header footer".split())
 # words of class and id that name page furniture
 FURNITURE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|breadcrumb|breadcrumbs|byline|comment|comments|commentlist|consent|cookie|cookies|copyright|disqus|footer|"
+    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|breadcrumb|breadcrumbs|comment|comments|commentlist|consent|cookie|cookies|copyright|disqus|footer|"
     r"gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notices|overlay|pagination|paywall|popup|promo|related|replies|respond|share|sharing|sidebar|"
     r"signup|social|sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])")
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
+# words that say how a page is laid out, not what a node is: has-sidebar, nav-open
+LAYOUT = re.compile(r"(?<!\S)(?:(?:has|with|without|no)[_-]\S+|\S+[_-](?:open|opened|closed|enabled|disabled))(?!\S)")
+# furniture that can have more text than the article, or articles of its own
+APART = re.compile(r"(?:^|[\s_-])(?:comment|comments|commentlist|consent|cookie|cookies|disqus|gdpr|paywall|popup|related|replies|respond)(?:$|[\s_-])")
+HARD, SECTION, WRAPPER = 3, 2, 1  # marks: never text of the article; a part beside it; furniture, unless it is around the article
 
 NO_BREAK = frozenset("script style template noscript svg math canvas object audio video button select".split())  # inside a word they do not part it
 
@@ -53,27 +59,34 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in RAW}
 
 
 class Node:
-    __slots__ = ("tag", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "children", "mark", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, tag: str):
         self.tag = tag
         self.children: list[Node | str] = []
+        self.mark = 0
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def furniture(tag: str, attributes: str) -> bool:
-    if tag in DROPPED:
-        return True
+def mark_of(tag: str, attributes: str) -> int:
+    """0 for what may be text of the article, else the kind of furniture."""
+    if tag in DROPPED and tag not in ("form", "fieldset"):
+        return HARD
+    out = WRAPPER if tag in DROPPED else 0
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return out
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
-            return True
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES and value != "form"):
+            return HARD
+        if name == "role" and value == "form":
+            out = max(out, WRAPPER)
         if name in ("class", "id") and FURNITURE.search(value):
-            return True
-    return False
+            value = LAYOUT.sub("", value)
+            if FURNITURE.search(value):
+                out = max(out, SECTION if APART.search(value) else WRAPPER)
+    return out
 
 
 def parse(page: str, drop: bool = True) -> Node:
@@ -113,15 +126,72 @@ def parse(page: str, drop: bool = True) -> Node:
                     if not hidden and not (drop and tag in DROPPED) and tag not in ("script", "style"):
                         node.children.append(page[at:body_end])
                     at = body_end
-                if not hidden and drop and furniture(tag, attributes):
-                    hidden = len(stack)
-                    stack[-2].children.pop()
-                    stack[-2].children.append(Node("wbr" if tag in NO_BREAK else "hr"))  # dropped blocks still part the text around them
+                if not hidden and drop:
+                    node.mark = mark_of(tag, attributes)
+                    if node.mark == HARD:
+                        hidden = len(stack)
+                        stack[-2].children.pop()
+                        stack[-2].children.append(Node("wbr" if tag in NO_BREAK else "hr"))  # dropped blocks still part the text around them
         if hidden and len(stack) < hidden:
             hidden = 0
+    if drop:
+        take_out(root)
     return root
 
 
+def take_out(root: Node) -> None:
+    """Empty the marked nodes, but for those around the article and those with most of the text."""
+    nodes = post_order(root)
+    if not any(node.mark for node in nodes):
+        return
+    # text outside links: all, outside parts beside the article, outside marked nodes, of articles outside such parts, of <main>
+    whole, talkless, bare, articles, mains = {}, {}, {}, {}, {}
+    for node in nodes:
+        key, below = id(node), [c for c in node.children if isinstance(c, Node)]
+        own = 0 if node.tag == "a" else sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        whole[key] = 0 if node.tag == "a" else own + sum(whole[id(c)] for c in below)
+        talkless[key] = 0 if node.mark == SECTION or node.tag == "a" else own + sum(talkless[id(c)] for c in below)
+        bare[key] = 0 if node.mark or node.tag == "a" else own + sum(bare[id(c)] for c in below)
+        mains[key] = whole[key] if node.tag == "main" else sum(mains[id(c)] for c in below)
+        articles[key] = 0 if node.mark == SECTION and not mains[key] else talkless[key] if node.tag in ("article", "main") else sum(articles[id(c)] for c in below)
+
+    def level(top: Node) -> tuple[list[tuple[Node, Node | None]], list[Node]]:
+        """Marked nodes below ``top`` that are in no other, each with the article around it, and the unmarked articles."""
+        marked, shown, todo = [], [], [(c, None) for c in top.children if isinstance(c, Node)]
+        while todo:
+            node, around = todo.pop()
+            if node.mark:
+                marked.append((node, around))
+                continue
+            if node.tag in ("article", "main"):
+                shown.append(node)
+                around = node
+            todo.extend((c, around) for c in node.children if isinstance(c, Node))
+        return marked, shown
+
+    todo = [(root, root, None)]
+    while todo:
+        top, page, outer = todo.pop()
+        marked, shown = level(top)
+        for node, around in marked:
+            around = around or outer
+            within = around or page
+            key, frame = id(node), id(within)
+            rival = sum(bare[id(x)] for x in shown if x.tag == "article" and x is not around)
+            if node.mark == SECTION:
+                keep = mains[key] > 0 and not around
+                keep = keep or (articles[key] > rival and 2 * articles[key] > whole[frame] and not around)
+            elif articles[key] and not around:
+                keep = articles[key] > rival and 2 * articles[key] > bare[id(page)]
+            else:
+                keep = not rival and 2 * talkless[key] > talkless[frame]
+            if keep:
+                node.mark = 0
+                todo.append((node, within, around))
+            else:
+                node.tag, node.children = "hr", []  # still parts the text around it
+
+
 def _leave(stack: list[Node], tags: tuple[str, ...]) -> None:
     """End open elements that a new one of their kind ends."""
     for i in range(len(stack) - 1, 0, -1):

@@ -66,3 +66,36 @@ def test_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>é🙂</p>", "t"), (1, "u", "<p>é🙂</p>", "t"), (None, None, None, None)], "page_id long, url string, html string, text string")
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in extract(df).collect()) == [(0, "", 0), (1, "é🙂", 2), (1, "é🙂", 2)]
     assert extract(df.limit(0)).collect() == []
+
+
+INSIDE = f"<div class='social share'><p>Share this</p></div><p>{LONG}</p><div id=comments class=comments-area><article class=comment>Nice one</article></div><p>{LONG}</p>"
+LINE = "<p>One line outside</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body>{LINE}<div class='site has-sidebar'><article>{INSIDE}</article></div></body>",
+    f"<body>{LINE}<div class='content with-sidebar'><article>{INSIDE}</article><div class=sidebar>{LONG}</div></div></body>",
+    f"<body>{LINE}<div id='header-and-content'><div class=header>Site</div><main>{INSIDE}</main></div></body>",
+    f"<body>{LINE}<div class='page nav-open'><article>{INSIDE}</article></div></body>",
+    f"<body>{LINE}<form id=aspnetForm><div class='content sidebar'><div class='menu'><ul>{MENU}</ul></div><article>{INSIDE}</article></div></form></body>",
+    f"<body>{LINE}<div class='post comments-open'><main>{INSIDE}</main></div></body>",
+    f"<main><h1></h1><div class='page toolbar'><article>{INSIDE}</article></div></main>",
+    f"<body><form><nav><ul>{MENU}</ul></nav><div class=body><p>{LONG}</p><p>{LONG}</p></div><div class=footer>All rights</div></form></body>",
+    f"<body><div class='page sidebar-right'><p>{LONG}</p><p>{LONG}</p><div class=cookie>We use cookies</div></div></body>",
+])
+def test_marked_wrappers_stay(page):
+    assert main_text(page) == (LONG + LONG).strip()
+
+
+@pytest.mark.parametrize("page", [
+    f"<article><p>{LONG}</p></article><section class=comments>{f'<article><p>{LONG}</p></article>' * 9}</section>",
+    f"<main><p>{LONG}</p><div class=related><article>{LONG}{LONG}</article></div></main>",
+    f"<body><p>{LONG}</p><div class=cookie-consent><p>{LONG}</p><p>{LONG}</p></div></body>",
+    f"<body><article><p>{LONG}</p></article><form><p>{LONG}</p><p>{LONG}</p></form></body>",
+])
+def test_large_furniture_goes(page):
+    assert main_text(page) == LONG.strip()
+
+
+def test_bylines_stay():
+    assert main_text(f"<article><p class=byline>By A. Writer</p><p>{LONG}</p></article>") == f"By A. Writer {LONG}".strip()
