@@ -1,7 +1,7 @@
 """Keyed surrogates for personal data, in DataFrame functions only.
 
 One pattern finds the mentions of every text: e-mail addresses, phone, card and social security
-numbers, IPv4 addresses, secrets, and names after a title or a known first name.  Every mention is one
+numbers, IBANs, IP addresses, secrets by form or after their key, and names after a title or a known first name.  Every mention is one
 or more entities in canonical form (lower case, or digits only), so spellings of one entity meet.  The distinct entities
 of the corpus get a surrogate from a keyed SHA-512 of type and canonical form: same type, format, script and gender,
 never routable or issued where such ranges exist.
@@ -39,14 +39,31 @@ LETTERS = {"cyrillic": "абвгдежзиклмнопрстуфхцчшэюя",
 _TITLE = "(?:" + "|".join(" ".join(TITLES.values()).split()) + r")\.?"
 _KNOWN = "(?:" + "|".join(" ".join(FIRST_NAMES.values()).split()) + ")"
 _NAME = r"\p{Lu}\p{Ll}[\p{L}'\-]{0,30}"
+_SEP = r"(?: ?\(|\)[ .\-/]?|[ .\-/])?"  # between the digits of a phone number
+_HEX = "[0-9a-fA-F]{1,4}"
+_BARE_SECRET = (
+    r"[0-9a-fA-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|xox[abeoprs]-[A-Za-z0-9\-]{10,250}|AIza[0-9A-Za-z_\-]{35}"
+    r"|eyJ[A-Za-z0-9_\-]{5,4000}\.[A-Za-z0-9_\-]{5,4000}\.[A-Za-z0-9_\-]{5,2000}")
+# what stands before a value that is a secret; unquoted values need a character that is no letter
+_SECRET_KEY = r"(?i:password|passwd|passphrase|pwd|secret|token|(?:api|access|secret|private)[_\-]?key)[\"']?[ ]{0,2}[=:][ ]{0,2}"
+_SECRET_VALUE = r"(?:\"[^\"\s]{4,128}\"|'[^'\s]{4,128}'|(?=[^\s\"'<>,;&()]{0,127}[0-9!@#$%^*+?])[^\s\"'<>,;&()]{6,128})"
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+\-]{1,64}+@(?:[\p{L}\p{N}\-]{1,63}\.){1,8}\p{L}{2,24}",
-    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-fA-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![\p{L}\p{N}])",
-    "phone": r"(?<![\p{L}\p{N}])(?:\+?\d{1,3}[ .\-]?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]\d{3,4}|\+\d{1,3}(?:[ .\-]\d{2,4}){2,5}|\+\d{8,15}"
-             r"|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
+    "secret": rf"(?<![\p{{L}}\p{{N}}])(?:{_BARE_SECRET})(?![\p{{L}}\p{{N}}])",
+    "keyed": rf"(?<![\p{{L}}\p{{N}}]){_SECRET_KEY}{_SECRET_VALUE}",
+    "iban": r"(?<![\p{L}\p{N}])(?=[A-Z]{2}(?:[A-Z ]{0,7}\d){10})[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)(?![\p{L}\p{N}])",
+    "phone": r"(?<![\p{L}\p{N}])(?:\+?\d{1,3}[ .\-]?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]\d{3,4}|\+\d{8,15}"
+             # a plus and 7 to 15 digits in any groups, but no decimal; 00 and a country code
+             rf"|\+(?!\d{{1,15}}[.]\d{{1,15}}(?![.\d]))\d(?:{_SEP}\d){{6,14}}|00[1-9]\d{{0,2}}[ .\-/](?:{_SEP}\d){{5,12}}"
+             r"|\(\d{3}\)[ .\-]?\d{3}[ .\-]?\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4}|[2-9]\d{2} \d{3} \d{4}"
+             # national numbers after a 0: 7 to 15 digits
+             r"|(?<!\d[.,])(?=(?:\D{0,2}\d){7})(?!(?:[ \-/()]{0,2}\d){16})(?:\(0\d{0,5}\)[ \-/]?\d{2,9}|0[1-9]\d{1,4}[ /\-]\d{3,9})(?:[ \-]\d{2,5}){0,4}"
+             r"|(?<!\d[.,])0[1-9](?:[ .\-]\d\d){4})(?!\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
-    "card": r"(?<!\d)(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4})(?!\d)",
+    "card": r"(?<!\d)(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{4,5})(?!\d)",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
+    # eight groups, or fewer with :: and a digit
+    "ip6": rf"(?<![\p{{L}}\p{{N}}:])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[a-fA-F:]{{0,39}}\d)(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?=[a-fA-F:]{{0,39}}\d)(?:{_HEX}:){{2,7}}:)(?![\p{{L}}\p{{N}}:])",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE}(?: {_NAME}){{1,3}}|{_KNOWN} {_NAME})(?![\p{{L}}\p{{N}}])",
 }
 MENTION = "|".join(PATTERNS.values())
@@ -89,19 +106,33 @@ def name_parts(mention: Column) -> Column:
         first = F.concat(F.lit("first_"), F.when(gender != "u", gender).otherwise(gender_of(token)), F.lit("_"), script_of(token))
         last = F.concat(F.lit("last_"), script_of(token))
         kind = F.when(titled & (i == 0), "as_is").when(i == F.size(tokens) - 1, last).otherwise(first)
-        return F.struct(i.alias("pos"), kind.alias("type"), F.lower(token).alias("canon"), token.alias("raw"))
+        return F.struct(i.alias("pos"), kind.alias("type"), F.lower(token).alias("canon"), F.lit("").alias("before"), token.alias("raw"), F.lit("").alias("after"))
     return F.transform(tokens, part)
 
 
+def full_ip6(address: Column) -> Column:
+    """All eight groups, without leading zeros."""
+    halves = F.split(F.lower(address), "::")
+    left, right = (F.filter(F.split(F.coalesce(F.get(halves, F.lit(i)), F.lit("")), ":"), lambda x: x != "") for i in (0, 1))
+    zeros = F.array_repeat(F.lit("0"), F.greatest(8 - F.size(left) - F.size(right), F.lit(0)))
+    return F.array_join(F.transform(F.concat(left, zeros, right), lambda x: F.regexp_replace(x, "^0+(?=.)", "")), ":")
+
+
 def parts_of(mention: Column) -> Column:
-    """Entities in a mention: array of (pos, type, canon, raw)."""
-    kind = kind_of(mention)
-    country = F.regexp_extract(mention, r"^\+(\d{1,3})[ .(\-]", 1)
+    """Entities in a mention: array of (pos, type, canon, before, raw, after); what is around the entity stays."""
+    found = kind_of(mention)
+    keyed = found == "keyed"
+    before = F.when(keyed, F.regexp_extract(mention, rf"^({_SECRET_KEY}[\"']?)", 1)).otherwise("")
+    after = F.when(keyed, F.regexp_extract(mention, r"([\"']?)$", 1)).otherwise("")
+    mention = F.substring(mention, F.length(before) + 1, F.length(mention) - F.length(before) - F.length(after))
+    kind = F.when(keyed & mention.rlike(f"^(?:{_BARE_SECRET})$"), "secret").otherwise(found)
+    country = F.regexp_extract(mention, r"^\+(\d{1,3})[ .(/\-]", 1)
     digits = only_digits(mention)
     canon = (
         F.when(kind == "phone", F.concat_ws("|", country, F.substring(digits, F.length(country) + 1, F.length(digits))))
-        .when(kind.isin("card", "ssn"), digits).when(kind == "ip", mention).otherwise(F.lower(mention)))
-    alone = F.array(F.struct(F.lit(0).alias("pos"), kind.alias("type"), canon.alias("canon"), mention.alias("raw")))
+        .when(kind.isin("card", "ssn"), digits).when(kind.isin("ip", "keyed"), mention).when(kind == "ip6", full_ip6(mention))
+        .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit(""))).otherwise(F.lower(mention)))
+    alone = F.array(F.struct(F.lit(0).alias("pos"), kind.alias("type"), canon.alias("canon"), before.alias("before"), mention.alias("raw"), after.alias("after")))
     return F.when(kind == "name", name_parts(mention)).otherwise(alone)
 
 
@@ -164,7 +195,10 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     address = F.concat(shaped(local, seed, "abcdefghijklmnopqrstuvwxyz"), F.lit("@mail"), tail, F.lit(".example."), F.get(
         F.array(*[F.lit(x) for x in ("com", "net", "org")]), byte_at(seed, F.lit(60)) % 3))
     country, digits = F.split_part(canon, F.lit("|"), F.lit(1)), F.split_part(canon, F.lit("|"), F.lit(2))
-    number = F.concat(drawn(seed, F.lit(63), "23456789"), F.substring(digit_run(seed, F.length(digits)), F.lit(2), F.length(digits)))
+    trunk = F.regexp_extract(digits, "^0{0,2}", 0)  # a trunk or exit prefix stays
+    run = F.length(digits) - F.length(trunk)
+    number = F.concat(trunk, drawn(seed, F.lit(63), "23456789"), F.substring(digit_run(seed, run), F.lit(2), run))
+    groups = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.regexp_replace(F.substring(seed, 4 * i + 1, F.lit(4)), "^0+(?=.)", ""))
     octets = F.concat_ws(".", (F.lit(240) + byte_at(seed, F.lit(0)) % 16).cast("string"), *[byte_at(seed, F.lit(i)).cast("string") for i in (1, 2, 3)])
     firsts = {f"first_{g}_{s}": FIRST_NAMES[s, g] for s, g in FIRST_NAMES} | {f"first_u_{s}": FIRST_NAMES[s, "m"] + " " + FIRST_NAMES[s, "f"] for s in SYLLABLES}
     lasts = {f"last_{s}": SYLLABLES[s] for s in SYLLABLES}
@@ -174,6 +208,10 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
         .when(kind == "card", luhn(digit_run(seed, F.length(canon) - 1)))
         .when(kind == "ssn", F.concat(F.lit("9"), digit_run(seed, F.length(canon) - 1)))  # numbers from 900 are never issued
         .when(kind == "ip", octets)  # 240/4 is reserved
+        .when(kind == "ip6", F.concat(F.lit("2001:db8:"), F.array_join(groups, ":")))  # the documentation range
+        .when(kind == "iban", F.concat(F.substring(canon, 1, 2), F.lit("00"), shaped(
+            F.substring(canon, F.lit(5), F.length(canon)), seed, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")))  # check digits 00 are never valid
+        .when(kind == "keyed", F.substring(seed, 1, 20))
         .when(kind == "secret", shaped(canon, seed, "abcdef"))
         .when(kind.startswith("first_"), F.lower(picked(firsts, kind, seed, attempt + 1, "-")))
         .when(kind.startswith("last_"), picked(lasts, kind, seed, attempt + 3, ""))
@@ -199,17 +237,17 @@ def assigned(entities: DataFrame, key: str) -> DataFrame:
 
 def rendered(raw: Column, kind: Column, other: Column) -> Column:
     """The surrogate in the spelling of the mention."""
-    digits = only_digits(other)
+    plain = F.regexp_replace(other, "[^0-9A-Z]", "")  # for formats of digits, or of digits and capitals
     written = F.aggregate(
         F.split(raw, ""), F.struct(F.lit("").alias("t"), F.lit(1).alias("k")),
         lambda acc, c: F.struct(
-            F.concat(acc["t"], F.when(c.rlike("[0-9]"), F.substring(digits, acc["k"], F.lit(1))).otherwise(c)).alias("t"),
-            (acc["k"] + c.rlike("[0-9]").cast("int")).alias("k")))["t"]
+            F.concat(acc["t"], F.when(c.rlike("[0-9A-Z]"), F.substring(plain, acc["k"], F.lit(1))).otherwise(c)).alias("t"),
+            (acc["k"] + c.rlike("[0-9A-Z]").cast("int")).alias("k")))["t"]
     upper = (raw == F.upper(raw)) & (raw != F.lower(raw))
     cased = F.when(upper, F.upper(other)).when(F.substring(raw, 1, 1) != F.lower(F.substring(raw, 1, 1)), F.concat(
         F.upper(F.substring(other, 1, 1)), F.substring(other, F.lit(2), F.length(other)))).otherwise(other)
     named = F.array_join(F.transform(F.split(other, "-"), lambda w: F.initcap(w)), "-")
-    return F.when(kind == "as_is", raw).when(kind.isin("phone", "card", "ssn"), written).when(kind.rlike("^(first|last)_"), named).otherwise(cased)
+    return F.when(kind == "as_is", raw).when(kind == "keyed", other).when(kind.isin("phone", "card", "ssn", "iban"), written).when(kind.rlike("^(first|last)_"), named).otherwise(cased)
 
 
 def mention_table(mentions: DataFrame, key: str) -> DataFrame:
@@ -218,7 +256,7 @@ def mention_table(mentions: DataFrame, key: str) -> DataFrame:
     entities = cut(pieces.where("type <> 'as_is'").select("type", "canon").distinct())
     others = cut(assigned(entities, key))
     joined = pieces.join(others, ["type", "canon"], "left").select(
-        "mention", F.struct("pos", rendered(F.col("raw"), F.col("type"), F.col("other")).alias("t")).alias("p"))
+        "mention", F.struct("pos", F.concat("before", rendered(F.col("raw"), F.col("type"), F.col("other")), "after").alias("t")).alias("p"))
     parts = F.transform(F.sort_array(F.collect_list("p")), lambda x: x["t"])
     return joined.groupBy("mention").agg(F.array_join(parts, " ").alias("instead"))
 

@@ -94,3 +94,39 @@ def test_empty_table_and_plan(spark):
     df = spark.createDataFrame([(1, TEXTS[3])], "doc_id long, text string")
     assert pseudonymised(df.limit(0), "k").collect() == []
     assert not re.search("Python|Pandas|Arrow", pseudonymised(df, "k")._jdf.queryExecution().toString())
+
+
+FORMATS = [
+    *["+49 30 12345678", "+44 7911 123456", "+49 170 1234567", "+33 1 23 45 67 89", "+1 (415) 5551234", "+1-800-5551234", "+49 (30) 123456", "555 123 4567",
+      "0171 2345678", "030/1234567", "(030) 123456", "+49 (0)30 123456", "0049 30 123456", "01 23 45 67 89", "020 7946 0958"],
+    "3782 822463 10005", "3782-822463-10005", "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "NO93 8601 1117 947",
+    "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "2a02:8108::4d7", "fe80::1:2", "xoxb-123456789012-abcdefABCDEF", "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.SflKxwRJSMeKKF2QT4",
+]
+KEYED = ["password=hunter2!", "DB_PASSWORD='correct horse'".replace(" ", ""), 'api_key: "Zk3v-Qq81"', "client_secret=q7W_e1R9", "pwd: tr0ub4dor&x"]
+CLEAN = ["12345678 things", "10 000 000 lambs", "1 234 567", "3.14159265", "+3.14159265 V", "2024-01-02", "01/02/2024", "01.02.2024 10:30", "version 10.2.13", "12:30:45",
+         "std::vector<int>", "a::b", "Password: required", "token: string", "id 78-05-1120", "DE 89", "ISBN 978-3-16-148410-0", "0.1234567", "page 012 of 345"]
+
+
+def test_more_formats(spark):
+    texts = [f"before {x}, after." for x in [*FORMATS, *KEYED, *CLEAN]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    out = {r.doc_id: r for r in pseudonymised(df, "key", count="n").collect()}
+    for i, x in enumerate([*FORMATS, *KEYED, *CLEAN]):
+        text = out[i].text
+        if x in CLEAN:
+            assert (text, out[i].n) == (texts[i], 0)
+            continue
+        assert out[i].n == 1 and text.startswith("before ") and text.endswith(", after." if "&" not in x else "&x, after.") and x not in text, (x, text)
+        if i < 20:  # numbers keep their format
+            assert re.sub(r"[0-9]", "9", text[7: 7 + len(x)]) == re.sub(r"[0-9]", "9", x) or x.startswith("GB")
+        if x in KEYED:
+            key = re.match(r"\w+[=: ]+", x)[0]
+            assert key in text and x[len(key):].strip("\"'").split("&")[0] not in text
+
+
+def test_spellings_of_one_address_and_account(spark):
+    df = spark.createDataFrame([(1, "2A02:8108::4D7 2a02:8108:0:0:0:0:0:04d7"), (2, "DE89 3704 0044 0532 0130 00; DE89370400440532013000")], "doc_id long, text string")
+    a, b = (r.text for r in pseudonymised(df, "key").orderBy("doc_id").collect())
+    assert len({x.lower() for x in a.split(" ")}) == 1 and a.lower().startswith("2001:db8:")
+    spaced, dense = b.split("; ")
+    assert spaced.replace(" ", "") == dense and dense.startswith("DE00") and len(dense) == 22
