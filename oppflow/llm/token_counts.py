@@ -1,11 +1,11 @@
 """Token counts of a unigram tokenizer, by dynamic programming shared along a trie of pre-tokens.
 
 A text is split at white space; each word with a leading word mark is a pre-token.  A Python worker gathers the distinct
-pre-tokens of a batch that it does not know yet and walks their trie in sorted order: the stack holds
+pre-tokens of a text that it does not know yet and walks their trie in sorted order: the stack holds
 the forward scores of the current path, so a shared prefix is scored once, and a node that ends a
 pre-token stores its number of tokens.  Counting a text is then a look-up per word.  Known counts are kept
 from task to task of the worker, up to ``memory`` pre-tokens, and then forgotten, so memory is bounded by
-that and the largest batch; a new worker counts afresh.
+that and the largest text; a new worker counts afresh.
 
 The forward score of a prefix is the best sum of piece scores over all ways to cut it; ties take fewer
 tokens.  A character that no piece covers becomes its UTF-8 bytes.  Scores come from the public
