@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oppflow.llm import (
-    host_rules, html_text, language_id, near_dedup, packing, source_mix, surrogates, token_counts, url_filter, vector_search,
+    host_rules, html_text, language_id, near_dedup, packing, secret_links, source_divergence, source_mix, surrogates,
+    token_alignment, token_counts, url_filter, vector_search,
 )
 from oppflow.llm.shared import table
 from oppflow.llm.sql import HOST_RULES_SQL, URL_FILTER_SQL
+from oppflow.llm.sql_divergence import SOURCE_DIVERGENCE_SQL
 
 HOST_RULES = [
     url_filter.HostRule("net", "/", "block"), url_filter.HostRule("example.net", "/en/", "allow"),
@@ -71,7 +73,26 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
 
 
+def alignment_settings(**more) -> token_alignment.Tokenizers:
+    """Byte-level BPE against BPE pieces with byte fallback."""
+    return token_alignment.Tokenizers(ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN,
+                                      pieces=public_tokenizers.path("piece_bpe_32k.model"), **more)
+
+
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    digest = lambda groups: F.sha2(groups, 256)
+    return token_alignment.aligned_documents(table(spark, folder, "documents"), alignment_settings(), digest).withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_secret_links(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_links.report(secret_links.find_secrets(table(spark, folder, "documents")))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_url_filter, op2_language_id, op3_near_dedup, op4_host_rules, op5_source_mix, op6_packing, op7_vector_search,
-    op8_token_counts, op9_surrogates, op10_html_text)}
-ORACLES: dict[str, str] = {"op1_url_filter": URL_FILTER_SQL, "op4_host_rules": HOST_RULES_SQL}
+    op8_token_counts, op9_surrogates, op10_html_text, op11_token_alignment, op12_secret_links, op13_source_divergence)}
+ORACLES: dict[str, str] = {"op1_url_filter": URL_FILTER_SQL, "op4_host_rules": HOST_RULES_SQL, "op13_source_divergence": SOURCE_DIVERGENCE_SQL}
