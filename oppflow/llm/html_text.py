@@ -8,17 +8,18 @@ the densities of its children.  The densest node sets the path to the body; the
 the threshold.  Of the nodes that reach it, the one with the largest density sum is the content.
 
 What is no text at all (scripts, styles, templates, comments) and what pages mark as something other than the
-article - by tag, role, or a word of class or id - is taken out of the tree, unless nothing else is left.  A form or a node marked by
+article - by tag, role, or a word of class or id - is taken out of the tree, also if nothing else is left.  A form or a node marked by
 class or id that is around the article, or holds most of the text, is only unwrapped; what is marked inside it still goes.
 
 Block tags, line breaks and cells end a block.  Character references are decoded.  White space inside a
 block becomes one space; blocks are joined by one space.  Null and empty pages give an empty
-text; so do pages without text.  Repeated rows are extracted each; other columns are ignored.
+text; so do pages without text or with furniture alone.  A quote opens a string only as the first character of an attribute's value.
+The time of parsing is linear in the page, whatever its tags; a page is held in memory whole.  Repeated rows are extracted each; other columns are ignored.
 """
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections import defaultdict
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -49,11 +50,12 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 LAYOUT = re.compile(r"(?<!\S)(?:(?:has|with|without|no)[_-]\S+|\S+[_-](?:open|opened|closed|enabled|disabled))(?!\S)")
 # furniture that can have more text than the article, or articles of its own
 APART = re.compile(r"(?:^|[\s_-])(?:comment|comments|commentlist|consent|cookie|cookies|disqus|gdpr|paywall|popup|related|replies|respond)(?:$|[\s_-])")
+PROSE = 40  # characters without spaces from which a marked node can hold an article that the page does not mark
 HARD, SECTION, WRAPPER = 3, 2, 1  # marks: never text of the article; a part beside it; furniture, unless it is around the article
 
 NO_BREAK = frozenset("script style template noscript svg math canvas object audio video button select".split())  # inside a word they do not part it
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*\"|'[^']*')|=)*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in RAW}
 
@@ -89,10 +91,41 @@ def mark_of(tag: str, attributes: str) -> int:
     return out
 
 
-def parse(page: str, drop: bool = True) -> Node:
+class Open:
+    """The open elements and, by tag, where they are, so that no end tag searches through them."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.scopes = [root], [0]
+        self.places: dict[str, list[int]] = defaultdict(list)
+
+    def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self.nodes))
+        if node.tag in SCOPES or node.tag == "td":
+            self.scopes.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, place: int) -> None:
+        while len(self.nodes) > place:
+            self.places[self.nodes.pop().tag].pop()
+            if self.scopes[-1] == len(self.nodes):
+                self.scopes.pop()
+
+    def close(self, tag: str) -> None:
+        if self.places[tag]:
+            self.cut(self.places[tag][-1])
+
+    def leave(self, tags: tuple[str, ...]) -> None:
+        """End open elements that a new one of their kind ends, within the innermost scope."""
+        place = max((self.places[t][-1] for t in tags if self.places[t]), default=0)
+        if place and place >= self.scopes[-1]:
+            self.cut(place)
+
+
+def parse(page: str) -> Node:
     """The tree of a page; end tags that nothing opened are ignored, open ones end with their parent."""
     root = Node("html")
-    stack, at, hidden = [root], 0, 0  # hidden: depth of the stack below which everything is furniture
+    opened, at, hidden = Open(root), 0, 0  # hidden: number of open elements below which everything is furniture
+    stack = opened.nodes
     while at < len(page):
         lt = page.find("<", at)
         text = page[at: lt if lt >= 0 else len(page)]
@@ -107,26 +140,26 @@ def parse(page: str, drop: bool = True) -> Node:
             continue
         tag, attributes = found[2].lower(), found[3]
         if found[1]:
-            _close(stack, tag)
+            opened.close(tag)
         else:
             if tag in CLOSES_P:
-                _leave(stack, ("p",))
+                opened.leave(("p",))
             if tag in SAME_LEVEL:
-                _leave(stack, SAME_LEVEL[tag])
+                opened.leave(SAME_LEVEL[tag])
             node = Node(tag)
             if not hidden:
                 stack[-1].children.append(node)
             if tag in VOID or (attributes.endswith("/") and tag in ("svg", "math")):
                 pass
             else:
-                stack.append(node)
+                opened.push(node)
                 if tag in RAW:
                     end = _RAW_END[tag].search(page, at)
                     body_end = end.start() if end else len(page)
-                    if not hidden and not (drop and tag in DROPPED) and tag not in ("script", "style"):
+                    if not hidden and tag not in DROPPED:
                         node.children.append(page[at:body_end])
                     at = body_end
-                if not hidden and drop:
+                if not hidden:
                     node.mark = mark_of(tag, attributes)
                     if node.mark == HARD:
                         hidden = len(stack)
@@ -134,8 +167,7 @@ def parse(page: str, drop: bool = True) -> Node:
                         stack[-2].children.append(Node("wbr" if tag in NO_BREAK else "hr"))  # dropped blocks still part the text around them
         if hidden and len(stack) < hidden:
             hidden = 0
-    if drop:
-        take_out(root)
+    take_out(root)
     return root
 
 
@@ -184,7 +216,7 @@ def take_out(root: Node) -> None:
             elif articles[key] and not around:
                 keep = articles[key] > rival and 2 * articles[key] > bare[id(page)]
             else:
-                keep = not rival and 2 * talkless[key] > talkless[frame]
+                keep = not rival and 2 * talkless[key] > talkless[frame] and talkless[key] >= PROSE
             if keep:
                 node.mark = 0
                 todo.append((node, within, around))
@@ -192,23 +224,6 @@ def take_out(root: Node) -> None:
                 node.tag, node.children = "hr", []  # still parts the text around it
 
 
-def _leave(stack: list[Node], tags: tuple[str, ...]) -> None:
-    """End open elements that a new one of their kind ends."""
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in tags:
-            del stack[i:]
-            return
-        if stack[i].tag in SCOPES or stack[i].tag == "td":
-            return
-
-
-def _close(stack: list[Node], tag: str) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-
-
 def post_order(root: Node) -> list[Node]:
     out, todo = [], [root]
     while todo:
@@ -289,13 +304,7 @@ def blocks_of(node: Node) -> list[str]:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    for drop in (True, False):
-        root = parse(page, drop)
-        article = content(root)
-        text = " ".join(blocks_of(article))
-        if text:
-            return text
-    return ""
+    return " ".join(blocks_of(content(parse(page))))
 
 
 @F.pandas_udf(T.StringType())

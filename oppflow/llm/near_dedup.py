@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from oppflow.llm.shared import free_names
 from oppflow.session import cut
 
 _SPACES = np.zeros(256, dtype=bool)
@@ -365,7 +366,12 @@ def leftover(shared: DataFrame, stars: DataFrame, sides: DataFrame, p: MinHash)
 
 
 def without_copies(docs: DataFrame, p: MinHash | None = None) -> DataFrame:
-    """The documents with all their columns, one of each near-duplicate group; rows without doc_id stay."""
-    kept = cut(near_duplicates(docs, p).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")))
-    named = docs.join(kept, docs["doc_id"] == kept["_kept_id"]).drop("_kept_id").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """The documents with all their columns, one of each near-duplicate group: the first in the order of the written rows.
+
+    Every row is a document of its own here, named by its place, so rows that share an id are compared by their own
+    texts, and rows without an id too.
+    """
+    (place,) = free_names(docs, "place")
+    rows = cut(docs.withColumn(place, F.monotonically_increasing_id()))  # written, so that a place stays that of its row
+    kept = near_duplicates(rows.select(F.col(place).alias("doc_id"), "text"), p).where("kept").select(F.col("doc_id").alias(place))
+    return rows.join(cut(kept), place).select(*docs.columns)

@@ -18,3 +18,14 @@ def lower_ascii(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Words between white space; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until the table has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

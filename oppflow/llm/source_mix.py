@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from oppflow.llm.shared import word_count
+from oppflow.llm.shared import free_names, word_count
 from oppflow.session import cut
 
 LEVELS = ("domain", "language", "source")
@@ -72,8 +72,12 @@ def fill(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 
 
 def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
-    """``budget`` of every leaf of (domain, language, source, tokens)."""
-    leaves = leaves.withColumn("cap", (F.col("tokens") * mix.max_epochs).cast("double"))
+    """``budget`` of every leaf of (domain, language, source, tokens); they add up to the target or to all that leaves can give."""
+    # a leaf that its own weight or one above it rules out gives nothing, so no ancestor may count on it
+    usable = F.lit(True)
+    for level in LEVELS:
+        usable = usable & (weight(level, mix) > 0)
+    leaves = leaves.withColumn("cap", F.when(usable, F.col("tokens") * mix.max_epochs).otherwise(0).cast("double"))
     top = leaves.groupBy("domain").agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("all"))
     top = top.withColumn("w", weight("domain", mix)).withColumn("parent_budget", F.sum("all").over(W.partitionBy(F.lit(0))) * mix.share)
     top = fill(top, [], "domain").select("domain", F.col("budget").alias("parent_budget"))
@@ -129,8 +133,8 @@ def mixed(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
 
 def apply_mix(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     """The documents with all their columns, each as often as epochs take it."""
-    taken = copies(docs, mix or Mix()).where("copies > 0").groupBy(F.col("doc_id").alias("_mix_id"), F.col("key").alias("_mix_key")).agg(F.max("copies").alias("_mix_copies"))
-    tagged = docs.withColumn("_mix_own", F.xxhash64("doc_id", "text"))
-    joined = tagged.join(taken, (F.col("_mix_own") == F.col("_mix_key")) & F.col("doc_id").eqNullSafe(F.col("_mix_id")))
-    repeated = joined.withColumn("_mix_n", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-    return repeated.select(*[docs[c] for c in docs.columns])
+    name, key, number, own, epoch = free_names(docs, "mix_id", "mix_key", "mix_copies", "mix_own", "mix_epoch")
+    taken = copies(docs, mix or Mix()).where("copies > 0").groupBy(F.col("doc_id").alias(name), F.col("key").alias(key)).agg(F.max("copies").alias(number))
+    tagged = docs.withColumn(own, F.xxhash64("doc_id", "text"))
+    joined = tagged.join(taken, (F.col(own) == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(name)))
+    return joined.withColumn(epoch, F.explode(F.sequence(F.lit(1), F.col(number)))).select(*docs.columns)

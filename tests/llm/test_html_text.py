@@ -1,6 +1,7 @@
 """Main text of pages: the tables' pages against their article, and hard markup."""
 import html
 import re
+import time
 
 import pytest
 
@@ -41,12 +42,35 @@ def test_boilerplate_goes(page):
     (None, ""), ("", ""), ("<html></html>", ""), ("<script>a</script>", ""), ("plain text", "plain text"), ("a < b &amp; c &lt;d&gt;", "a < b & c <d>"),
     ("<p>a<br>b<p>c <b>d</b>e</p>\n f", "a b c de f"), ("<p>one&nbsp;two \n\t three</p>", "one two three"), ("<p>x<!-- open", "x"), ("<p>te<script>1</script>xt</p>", "text"),
     ("<div><p>a</div></p>b</i>", "a b"), ("<p>&eacute;&#233;&#xe9; &unknown; &am", "ééé &unknown; &am"), ("<p title='a>b'>q</p>", "q"), ("<p>5 <3 hearts", "5 <3 hearts"),
-    ("<ul><li>one<li>two</ul>", "one two"), ("<nav>only menu</nav>", "only menu"), ("<title>t</title>", "t"), ("<P CLASS=X>Up</P>", "Up"), ("<td>a<td>b", "a b"),
+    ("<ul><li>one<li>two</ul>", "one two"), ("<nav>only menu</nav>", ""), ("<title>t</title>", ""), ("<P CLASS=X>Up</P>", "Up"), ("<td>a<td>b", "a b"),
 ])
 def test_markup(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<article><p title=don't>One cat.</p><p>Two isn't a dog.</p><p>Three</p></article>", "One cat. Two isn't a dog. Three"),
+    ("<p title=5\">a</p><p>b\"</p>", 'a b"'), ("<p title = 'a > b'>a</p><p>b</p>", "a b"), ("<p title=a=\"x>y\">a</p>", "a"), ("<p a' b>a</p><p>it's</p>", "a it's"),
+])
+def test_quotes_open_strings_only_after_an_equals_sign(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<nav>Home</nav><form><label>Name</label><input></form>", "<div class=comments><p>Nice text, thank you for it.</p></div>", "<header>Site</header><footer>All rights</footer>",
+    "<form><p>Name</p></form><nav>Home</nav>",
+])
+def test_furniture_alone_is_no_text(page):
+    assert main_text(page) == ""
+
+
+def test_time_is_linear_in_stray_tags():
+    for page in ("<div>" * 40_000 + "</b>" * 40_000, "<p><td>" + "<b>" * 40_000 + "<hr>" * 40_000, "<b>" * 40_000 + "<li>" * 40_000, "<p a=" + " " * 100_000 + ">x", "<p " + "='" * 50_001 + ">x"):
+        began = time.process_time()
+        main_text(page)
+        assert time.process_time() - began < 3
+
+
 def test_long_and_deep_pages():
     deep = "<div>" * 20_000 + LONG + "</div>" * 20_000
     assert main_text(deep) == LONG.strip()

@@ -30,8 +30,11 @@ def tree_budgets(leaves, mix):
     def weight(level, name):
         return max(0.0, mix.weights.get(level, {}).get(name, 1.0))
 
+    def usable(leaf):
+        return all(weight(level, name) > 0 for level, name in zip(("domain", "language", "source"), leaf, strict=True))
+
     def capped(items):
-        return sum(t * mix.max_epochs for _, t in items)
+        return sum(t * mix.max_epochs for leaf, t in items if usable(leaf))
     total = mix.share * sum(leaves.values())
     by_domain = defaultdict(list)
     for (d, lang, s), t in leaves.items():
@@ -42,7 +45,7 @@ def tree_budgets(leaves, mix):
         for leaf, t in by_domain[d]:
             by_lang[leaf[1]].append((leaf, t))
         for lang, b2 in divide(b, {n: (weight("language", n), capped(x)) for n, x in by_lang.items()}).items():
-            out |= divide(b2, {leaf: (weight("source", leaf[2]), t * mix.max_epochs) for leaf, t in by_lang[lang]})
+            out |= divide(b2, {leaf: (weight("source", leaf[2]), t * mix.max_epochs if usable(leaf) else 0) for leaf, t in by_lang[lang]})
     return out
 
 
@@ -57,6 +60,16 @@ def test_budgets(spark, seed):
     want = tree_budgets(leaves, mix)
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-6 * (1 + want[k]) for k in want)
+    can = sum(t * mix.max_epochs for (d, lang, s), t in leaves.items() if lang != "xx" and s != "s2")
+    assert abs(sum(got.values()) - min(mix.share * sum(leaves.values()), can)) < 1e-6 * (1 + can)
+
+
+def test_what_a_ruled_out_leaf_cannot_use_goes_on(spark):
+    leaves = [("d0", "de", "a", 9000), ("d0", "en", "a", 1000), ("d1", "en", "b", 2000)]
+    df = spark.createDataFrame(leaves, "domain string, language string, source string, tokens long")
+    mix = Mix(share=0.9, max_epochs=2, weights={"domain": {"d0": 100.0}, "language": {"de": 0.0}})
+    got = {(r.domain, r.language): r.budget for r in budgets(df, mix).collect()}
+    assert got == {("d0", "de"): 0.0, ("d0", "en"): 2000.0, ("d1", "en"): 4000.0}
 
 
 def corpus():

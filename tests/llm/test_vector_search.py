@@ -66,10 +66,25 @@ def test_vectors_that_take_no_part(spark):
     good = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0]), (50, [1e-30, 1e-30]), (3, [3e38, 3e38])]
     bad = [(4, None), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (8, [None, 1.0]), (9, []), (10, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (100, None)]
     got = found(frame(spark, good + bad + [(1, [1.0, 0.1])]))
-    assert {q: [i for i, _ in x] for q, x in got.items()} == {0: [1, 3, 50, 2], 50: [3, 1, 0, 2]}
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {0: [1, 1, 3, 50, 2], 50: [3, 1, 1, 0, 2]}
     assert abs(got[50][0][1] - 1) < 1e-12
 
 
+def test_each_length_has_its_index(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=8 if i < 300 else 16)]) for i in range(500)]
+    got = found(frame(spark, rows), Search(probe=1.0))
+    want = brute(rows[:300]) | {q: x for q, x in brute(rows[300:]).items()}
+    assert got.keys() == set(range(0, 500, 50))
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
+
+
+def test_rows_that_share_an_id_are_vectors_of_their_own(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.2]), (2, [0.3, 1.0])]
+    got = sorted((r.query_id, r.rank, r.vec_id, round(r.score, 3)) for r in nearest(frame(spark, rows), F.expr(QUERY)).collect())
+    assert got == [(0, 1, 1, 0.981), (0, 1, 2, 0.958), (0, 2, 1, 0.196), (0, 2, 2, 0.287), (0, 3, 0, 0.0), (0, 3, 0, 0.0)]
+
+
 def test_one_common_vector(spark):
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(0, 5000)]
     got = found(frame(spark, rows), Search(block=256))
