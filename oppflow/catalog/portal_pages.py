@@ -202,3 +202,67 @@ def _(spark, d):
     html = """concat('<li class="row BidRow-3"><p class="bidTitle">Row ', o_custkey, '</p><p class="org-entity">Org ', o_custkey, '</p></li>')"""
     url = f"concat('https://www.demandstar.com/app/browse-bids/states/', {_SPARK_SLUG})"
     return P.demandstar(_order_pages(spark, d, html, url), P.slugs(spark)).select("page_id", "state", "title", "agency")
+
+
+# ------------------------------------------------- nested and list-style pages
+_INNER = "<table><tr><td>inner a</td><td>inner cell b</td></tr></table>"
+_OUTER = f"""concat('<div><TABLE class="t"><tbody><tr><td>B', o_orderkey, '</td><td><a href="/bids/view?bidId=', o_orderkey, '">Supply contract no ', o_custkey,
+  '</a>{_INNER}</td><td>Agency ', o_custkey, '<td>', {_US}, if(o_orderkey % 2 = 0, '</td></tr>', ''), '</tbody></TABLE></div><table><tr><td>x</td></tr></table>')"""
+
+
+@query("b10_nested_tables", f"""
+select o_orderkey as page_id, 0 as item_ord, 'B' || o_orderkey as id, 'Supply contract no ' || o_custkey as title,
+  'Supply contract no ' || o_custkey || ' inner a inner cell b' as agency, {_D1} as close_date, 'https://p.example.org/bids/view?bidId=' || o_orderkey as url from orders
+union all select o_orderkey, 1, 'inner a', 'inner cell b', '', '', '' from orders""")
+def _(spark, d):
+    rows = P.portal_tables(_order_pages(spark, d, _OUTER))
+    return rows.select("page_id", "item_ord", "id", "title", "agency", "close_date", "url")
+
+
+_CARDS_AND_FOOTER = """concat('<div class="card"><div class="inner"><h3>Bridge repair ', o_custkey, '</h3></div><div>text</div></div>',
+  if(o_orderkey % 2 = 0, concat('<section class="list-item"><h2>Outer works ', o_custkey, '</h2><article><b>Inner works ', o_custkey, '</b><a href="/i/', o_orderkey, '">i</a></article></section>'), ''),
+  '<footer><a href="/privacy">Privacy</a></footer>')"""
+
+
+@query("b12_cards_without_links", """
+select o_orderkey as page_id, 0 as item_ord, '' as id, 'Bridge repair ' || o_custkey as title, '' as url from orders
+union all select o_orderkey, 1, cast(o_orderkey as varchar), 'Outer works ' || o_custkey, 'https://p.example.org/i/' || o_orderkey from orders where o_orderkey % 2 = 0""")
+def _(spark, d):
+    # the link of the inner card is the outer one's too; its own title, the link's text, is too short
+    return P.portal_cards(_order_pages(spark, d, _CARDS_AND_FOOTER)).select("page_id", "item_ord", "id", "title", "url")
+
+
+_ITEMS = """concat('<ul><li class="', if(o_orderkey % 2 = 0, 'search-result odd', 'x result-item'), '"><h4>Item ', o_custkey, '<li class="other"><a href="/help">help</a></ul>',
+  '<a href="/solicitations/', o_orderkey, '">A link that is not read</a>')"""
+
+
+@query("b12_aggregator_items", "with " + _SLUGS_SQL + """
+select o_orderkey as page_id, state, '' as id, 'Item ' || o_custkey as title, '' as url from orders join v_slug on i = o_orderkey % 50""")
+def _(spark, d):
+    url = f"concat('https://www.bidnetdirect.com/', {_SPARK_SLUG}, '/solicitations/open-bids')"
+    return P.bidnet(_order_pages(spark, d, _ITEMS, url), P.slugs(spark)).select("page_id", "state", "id", "title", "url")
+
+
+_LIST = """concat(if(o_orderkey % 2 = 0, '<div class="event-row"><span>Event</span></div>', ''), '<a href="/apps/PublicEvent?id=', o_orderkey, '">Road salt supply ', o_custkey, '</a>')"""
+
+
+@query("b17_list_keeps_links_out", """
+select o_orderkey as page_id, 'Road salt supply ' || o_custkey as title from orders where o_orderkey % 2 = 1""")
+def _(spark, d):
+    return P.jaggaer(_order_pages(spark, d, _LIST)).select("page_id", "title")
+
+
+_TWO = """concat('<table><tr><td>M', o_orderkey, '</td><td>menu</td></tr></table>', if(o_orderkey % 3 = 0, '',
+  concat('<table id="bidSearchResultsTable" class="', if(o_orderkey % 3 = 1, 'wide table', 'wide'), '"><thead><tr><td>h</td><td>head</td></tr></thead><tr><td>B', o_orderkey, '</td><td>Paper ', o_custkey, '</td></tr></table>')))"""
+
+
+@query("b16_result_table", """
+select o_orderkey as page_id, case when o_orderkey % 3 = 0 then 'M' else 'B' end || o_orderkey as id, case when o_orderkey % 3 = 0 then 'menu' else 'Paper ' || o_custkey end as title from orders""")
+def _(spark, d):
+    return P.buyspeed(_order_pages(spark, d, _TWO)).select("page_id", "id", "title")
+
+
+@query("b15_table_of_class", """
+select o_orderkey as page_id, 'B' || o_orderkey as id, 'Paper ' || o_custkey as title from orders where o_orderkey % 3 = 1""")
+def _(spark, d):
+    return P.nc_evp(_order_pages(spark, d, _TWO)).select("page_id", "id", "title")

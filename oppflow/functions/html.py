@@ -1,13 +1,15 @@
 """Cutting captured pages into rows, links, cards and labelled fields.
 
-Pages stay in their row: a page is cut with regular expressions into arrays and
-the arrays are worked on where they are, so no step here shuffles.
+Pages stay in their row: a page is cut into arrays and the arrays are worked on where they are, so no step
+here shuffles.  What depends on nesting - rows, cells, cards, classed fields - is read from a page that
+``elements.marked`` has gone through; links and labels are read from any fragment.
 """
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from oppflow.functions import elements as E
 from oppflow.functions.text import bind, strip
 
 _REFERENCE = r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
@@ -39,29 +41,62 @@ def decode(text: Column) -> Column:
 
 
 def markup(html: Column) -> Column:
-    """A page without what no reader sees: comments, scripts, styles."""
-    return F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", "")
+    """A page without what no reader sees: comments, scripts, styles; and without characters that the marks use."""
+    return F.regexp_replace(html, rf"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|{E.MARKS}", "")
 
 
 def visible(html: Column) -> Column:
     """What a reader sees of a fragment: no tags, one space between words and around blocks."""
-    bare = decode(F.regexp_replace(F.regexp_replace(html, _BLOCK_TAGS, " "), r"(?s)<[^>]*>", ""))
-    return strip(F.regexp_replace(bare, r"[\s\p{Z}]+", " "))
+    def read(text: Column) -> Column:
+        tagged = F.regexp_replace(F.regexp_replace(text, _BLOCK_TAGS, " "), rf"(?s)<[^>]*>|{E.MARKS}", "")
+        bare = decode(F.when(F.contains(text, F.lit("<")), tagged).otherwise(F.regexp_replace(text, E.MARKS, "")))
+        return strip(F.regexp_replace(bare, r"[\s\p{Z}]+", " "))
+
+    # a cell or link without markup and doubtful characters is what it shows
+    return bind(html, lambda text: F.when(text.rlike(r"[^\x21-\x25\x27-\x3B\x3D-\x7E\x20]|^ |  | $"), read(text)).otherwise(text))
 
 
 def joined_text(html: Column) -> Column:
     """Text of a fragment with every piece trimmed and put side by side."""
-    return strip(decode(F.regexp_replace(html, r"(?s)\s*<[^>]*>\s*", "")))
+    return strip(decode(F.regexp_replace(html, rf"(?s)(?:\s|{E.MARKS})*+<[^>]*>(?:\s|{E.MARKS})*+|{E.MARKS}", "")))
+
+
+def table_page(html: Column) -> Column:
+    """A page marked for its tables alone."""
+    return E.marked(markup(html), E.TABLE_TAGS)
+
+
+def flow_page(html: Column) -> Column:
+    """A page marked for tables, blocks, lists and inline elements."""
+    return E.marked(markup(html), E.FLOW_TAGS)
+
+
+def table_rows(page: Column) -> Column:
+    """Body rows of all tables, those inside cells too."""
+    body = F.when(page.rlike("(?i)<t(?:head|foot)"), F.regexp_replace(page, E.PLAIN_HEAD, "")).otherwise(page)
+    return F.when(E.has_marks(page), E.elements(E.without(page, E.tag("thead", "tfoot")), E.tag("tr"))).otherwise(
+        F.regexp_extract_all(body, F.lit(E.PLAIN_ROW), F.lit(2)))
 
 
-def table_rows(html: Column) -> Column:
-    """Rows of tables without their heads; a row ends at the next one where its end tag is missing."""
-    body = F.regexp_replace(html, r"(?is)<thead\b.*?</thead\s*>", "")
-    return F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|</tbody|</table|\z)"), F.lit(1))
+def tables(page: Column, starts: str = E.tag("table")) -> Column:
+    """The tables that begin so and are in no other of them, their own tags left out."""
+    plain = F.filter(F.regexp_extract_all(page, F.lit(E.PLAIN_TABLE), F.lit(0)), lambda t: t.rlike(f"^<(?:{starts})"))
+    return F.when(E.has_marks(page), E.outermost(page, starts)).otherwise(
+        F.transform(plain, lambda t: F.regexp_extract(t, E.PLAIN_TABLE, 2)))
+
+
+def rows_of(page: Column, starts: str) -> Column:
+    """Body rows of the tables that begin so, and of what is nested in them."""
+    return F.flatten(F.transform(tables(page, starts), table_rows))
+
+
+def all_rows(table: Column) -> Column:
+    """Rows of a table, those of its head too."""
+    return F.when(E.has_marks(table), E.elements(table, E.tag("tr"))).otherwise(F.regexp_extract_all(table, F.lit(E.PLAIN_ROW), F.lit(2)))
 
 
 def row_cells(row: Column) -> Column:
-    cells = F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)(?=</td\s*>|<t[dh]\b|\z)"), F.lit(1))
+    cells = F.when(E.has_marks(row), E.elements(row, E.tag("td"))).otherwise(F.regexp_extract_all(row, F.lit(E.PLAIN_CELL), F.lit(2)))
     return F.transform(cells, visible)
 
 
@@ -95,31 +130,15 @@ def first_by_href(found: Column) -> Column:
     return F.transform(in_order, lambda x: F.struct(x["href"].alias("href"), x["text"].alias("text")))
 
 
-def _class_test(names: list[str], partial: bool) -> str:
-    wanted = "|".join(names)
-    if partial:
-        return rf"""\bclass\s*=\s*["'][^"']*(?:{wanted})"""
-    return rf"""\bclass\s*=\s*["'](?:[^"']*\s)?(?:{wanted})(?=[\s"'])"""
-
-
-def blocks(html: Column, classes: list[str], tags: list[str] = (), partial: bool = False) -> Column:
-    """Fragments that start at an element of one of the classes (or one of the tags).
-
-    A block runs to the next such start, so nesting inside a card does not cut it.
-    """
-    starts = [rf"<\w+\b(?=[^>]*{_class_test(classes, partial)})[^>]*>"] if classes else []
-    starts += [rf"<(?:{'|'.join(tags)})\b[^>]*>"] if tags else []
-    pieces = F.split(html, "(?i)" + "|".join(starts))
-    cut = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
-    return F.transform(cut, lambda b: F.regexp_replace(b, r"(?is)</article\s*>.*$", ""))
+def blocks(page: Column, classes: list[str], tags: list[str] = (), partial: bool = False) -> Column:
+    """Elements of one of the classes, or one of the tags, with what is in them."""
+    return E.elements(page, "|".join([E.classed(classes, partial), *([E.tag(*tags)] if tags else [])]))
 
 
-def element_text(html: Column, tags: list[str] = (), classes: list[str] = (), partial: bool = False) -> Column:
+def element_text(page: Column, tags: list[str] = (), classes: list[str] = (), partial: bool = False) -> Column:
     """Visible text of the first element with one of the tags or classes, else ''."""
-    names = list(tags)
-    if classes:
-        names.append(rf"\w+(?=[^>]*{_class_test(classes, partial)})")
-    return visible(F.regexp_extract(html, rf"(?is)<({'|'.join(names)})\b[^>]*>(.*?)</\1\s*>", 2))
+    starts = ([E.tag(*tags)] if tags else []) + ([E.classed(classes, partial)] if classes else [])
+    return visible(E.first_element(page, "|".join(starts)))
 
 
 def paragraphs(html: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from oppflow.fixed_values import (
     BUYSPEED_NOISE, NAVIGATION_WORDS, PORTAL_LINK_FRAGMENTS, PORTALS, STATES,
 )
+from oppflow.functions import elements as E
 from oppflow.functions import html as H
 from oppflow.functions.scalars import (
     absolute_url, bid_id_from_url, blank_to_null, contains_any, event_id_from_url, first_nonempty, id_from_url,
@@ -52,8 +53,24 @@ def _explode(pages: DataFrame, records: Column, state: Column, source: Column) -
     )
 
 
-def _html() -> Column:
-    return H.markup(F.col("html"))
+def _tables(build) -> Column:
+    """What ``build`` makes of the page marked for tables; marked once, however often it is read."""
+    return bind(H.table_page(F.col("html")), build)
+
+
+def _flow(build) -> Column:
+    return bind(H.flow_page(F.col("html")), build)
+
+
+def _plain(build) -> Column:
+    return bind(H.markup(F.col("html")), build)
+
+
+def _first_filled(*lists: Column) -> Column:
+    """The first list that is not empty, else the last; later ones are only made if earlier ones are empty."""
+    if len(lists) == 1:
+        return lists[0]
+    return bind(lists[0], lambda found: F.when(F.size(found) > 0, found).otherwise(_first_filled(*lists[1:])))
 
 
 def _portal(pages: DataFrame, records: Column) -> DataFrame:
@@ -109,8 +126,8 @@ def row_record(row: Column, base: Column) -> Column:
     return bind(H.row_cells(row), lambda cells: bind(H.first_link(row), lambda link: build(cells, link)))
 
 
-def _table_records(html: Column, base: Column) -> Column:
-    found = F.transform(H.table_rows(html), lambda row: row_record(row, base))
+def _table_records(base: Column) -> Column:
+    found = _tables(lambda page: F.transform(H.table_rows(page), lambda row: row_record(row, base)))
     return F.filter(found, lambda r: r.isNotNull())
 
 
@@ -124,9 +141,9 @@ def listed_links(html: Column, fragments: list[str] = PORTAL_LINK_FRAGMENTS) ->
     return F.filter(H.first_by_href(wanted), lambda x: ~F.lower(x["text"]).isin(NAVIGATION_WORDS))
 
 
-def _link_records(html: Column, base: Column, fragments: list[str]) -> Column:
+def _link_records(base: Column, fragments: list[str]) -> Column:
     return F.transform(
-        listed_links(html, fragments),
+        _plain(lambda html: listed_links(html, fragments)),
         lambda x: _record(
             id=id_from_url(x["href"]), title=x["text"], status=F.lit("Open"),
             url=absolute_url(base, x["href"]), description=x["text"],
@@ -144,9 +161,9 @@ def card_title(card: Column) -> Column:
     )
 
 
-def _card_records(html: Column, base: Column) -> Column:
+def _card_records(base: Column) -> Column:
     cards = F.transform(
-        H.blocks(html, CARD_CLASSES, ["article"]),
+        _flow(lambda page: H.blocks(page, CARD_CLASSES, ["article"])),
         lambda card: bind(
             F.struct(card_title(card).alias("title"), H.first_link(card)["href"].alias("href")),
             lambda x: _record(
@@ -160,30 +177,21 @@ def _card_records(html: Column, base: Column) -> Column:
 
 
 def portal_tables(pages: DataFrame) -> DataFrame:
-    return _portal(pages, _table_records(_html(), F.col("url")))
+    return _portal(pages, _table_records(F.col("url")))
 
 
 def portal_links(pages: DataFrame, fragments: list[str] = PORTAL_LINK_FRAGMENTS) -> DataFrame:
-    return _portal(pages, _link_records(_html(), F.col("url"), fragments))
+    return _portal(pages, _link_records(F.col("url"), fragments))
 
 
 def portal_cards(pages: DataFrame) -> DataFrame:
-    return _portal(pages, _card_records(_html(), F.col("url")))
+    return _portal(pages, _card_records(F.col("url")))
 
 
 def state_portals(pages: DataFrame, fragments: list[str] = PORTAL_LINK_FRAGMENTS) -> DataFrame:
     """Tables where a page has usable ones, else links, else cards, decided per page."""
-    html, base = _html(), F.col("url")
-    chosen = bind(
-        _table_records(html, base),
-        lambda rows: F.when(F.size(rows) > 0, rows).otherwise(
-            bind(
-                _link_records(html, base, fragments),
-                lambda found: F.when(F.size(found) > 0, found).otherwise(_card_records(html, base)),
-            )
-        ),
-    )
-    return _portal(pages, chosen)
+    base = F.col("url")
+    return _portal(pages, _first_filled(_table_records(base), _link_records(base, fragments), _card_records(base)))
 
 
 # ------------------------------------------------------------ shared platforms
@@ -219,12 +227,9 @@ def _platform_row(row: Column, base: Column, buyspeed: bool) -> Column:
     return bind(H.row_cells(row), lambda cells: bind(H.first_link(row), lambda link: build(cells, link)))
 
 
-def _platform(pages: DataFrame, buyspeed: bool, fragments: list[str], min_text: int) -> DataFrame:
-    html, base = _html(), F.col("url")
-    rows = H.table_rows(html)
-    found = F.filter(
-        F.transform(rows, lambda row: _platform_row(row, base, buyspeed)), lambda r: r.isNotNull()
-    )
+def _platform(pages: DataFrame, buyspeed: bool, rows: Column, fragments: list[str], min_text: int) -> DataFrame:
+    """Records of the rows; only where a page has no rows at all, of its links."""
+    base = F.col("url")
 
     def target(href: Column) -> Column:
         if buyspeed:
@@ -232,26 +237,31 @@ def _platform(pages: DataFrame, buyspeed: bool, fragments: list[str], min_text:
         site = F.split_part(base, F.lit("/apps"), F.lit(1))
         return F.when(href.startswith("http"), href).otherwise(F.concat(site, href))
 
+    wanted = _plain(lambda html: F.filter(
+        H.links(html), lambda x: contains_any(x["href"], fragments) & (F.length(x["text"]) > min_text)))
     fallback = F.transform(
-        F.filter(
-            H.links(html),
-            lambda x: contains_any(x["href"], fragments)
-            & (F.length(x["text"]) > min_text),
-        ),
+        wanted,
         lambda x: _record(
             id=bid_id_from_url(x["href"]) if buyspeed else event_id_from_url(x["href"]),
             title=x["text"], status=F.lit("Open"), url=target(x["href"]), description=x["text"],
         ),
     )
-    return _portal(pages, F.when(F.size(rows) > 0, found).otherwise(fallback))
+    found = bind(rows, lambda found: F.when(F.size(found) > 0, F.filter(
+        F.transform(found, lambda row: _platform_row(row, base, buyspeed)), lambda r: r.isNotNull())).otherwise(fallback))
+    return _portal(pages, found)
 
 
 def buyspeed(pages: DataFrame) -> DataFrame:
-    return _platform(pages, True, ["bidDetail", "BidDetail", "publicBidDetail"], 5)
+    """Rows of tables of class ``table``, else of the result table, else of any."""
+    rows = _tables(lambda page: _first_filled(
+        H.rows_of(page, E.classed(["table"], of=E.tag("table"))), H.rows_of(page, E.identified("bidSearchResultsTable", of=E.tag("table"))), H.table_rows(page)))
+    return _platform(pages, True, rows, ["bidDetail", "BidDetail", "publicBidDetail"], 5)
 
 
 def jaggaer(pages: DataFrame) -> DataFrame:
-    return _platform(pages, False, ["Event", "event", "PublicEvent"], 10)
+    """Table rows, else list items; an item without cells is no record, but it keeps the links out."""
+    rows = _first_filled(_tables(H.table_rows), _flow(lambda page: H.blocks(page, ["event-list-item", "event-row"])))
+    return _platform(pages, False, rows, ["Event", "event", "PublicEvent"], 10)
 
 
 # -------------------------------------------------------- dedicated sources
@@ -281,17 +291,17 @@ def texas_esbd(pages: DataFrame) -> DataFrame:
         )
 
     def from_block(block: Column) -> Column:
-        link = H.first_link(F.regexp_extract(block, r"(?is)esbd-result-title[^>]*>(.*)$", 1))
+        link = H.first_link(E.first_element(block, E.classed(["esbd-result-title"])))
         return bind(link, lambda x: bind(H.paragraphs(block), lambda parts: build(x, parts)))
 
     found = F.filter(
-        F.transform(H.blocks(_html(), ["esbd-result-row"]), from_block), lambda r: r.isNotNull()
+        F.transform(_flow(lambda page: H.blocks(page, ["esbd-result-row"])), from_block), lambda r: r.isNotNull()
     )
     return _explode(pages, found, F.lit("TX"), F.lit("TX ESBD"))
 
 
 def nc_evp(pages: DataFrame) -> DataFrame:
-    """Seven fixed columns; an amount may follow in a later one."""
+    """Seven fixed columns of the tables of class ``table``; an amount may follow in a later one."""
     site = F.lit("https://evp.nc.gov")
 
     def build(row: Column) -> Column:
@@ -312,21 +322,22 @@ def nc_evp(pages: DataFrame) -> DataFrame:
 
         return bind(H.row_cells(row), with_cells)
 
-    found = F.filter(F.transform(H.table_rows(_html()), build), lambda r: r.isNotNull())
+    rows = _tables(lambda page: H.rows_of(page, E.classed(["table"], of=E.tag("table"))))
+    found = F.filter(F.transform(rows, build), lambda r: r.isNotNull())
     return _explode(pages, found, F.lit("NC"), F.lit("NC eVP"))
 
 
 def nc_doa(pages: DataFrame) -> DataFrame:
     """Fallback list of posted links."""
     site = F.lit("https://www.doa.nc.gov")
-    wanted = F.filter(
-        H.links(_html()),
+    wanted = _plain(lambda html: F.filter(
+        H.links(html),
         lambda x: (
             F.contains(F.lower(x["href"]), F.lit("solicitation"))
             | F.lower(x["text"]).rlike("solicitation|rfp|bid")
         )
         & (F.length(x["text"]) > 10),
-    )
+    ))
     found = F.transform(
         wanted,
         lambda x: _record(
@@ -339,7 +350,6 @@ def nc_doa(pages: DataFrame) -> DataFrame:
 
 def ny_nyscr(pages: DataFrame) -> DataFrame:
     """Listing blocks, else detail links, else the table, else any ad links."""
-    html = _html()
     site = F.lit("https://www.nyscr.ny.gov")
 
     def full(href: Column) -> Column:
@@ -350,8 +360,9 @@ def ny_nyscr(pages: DataFrame) -> DataFrame:
     def listed(title: Column, href: Column) -> Column:
         return _record(title=title, status=F.lit("Open"), url=full(href), description=F.left(title, F.lit(500)))
 
+    listings = E.classed(["listing", "ad-", "result"], partial=True, of=E.tag("div"))
     block_records = F.transform(
-        H.blocks(html, ["listing", "ad-", "result"], partial=True),
+        _flow(lambda page: E.elements(page, listings)),
         lambda b: bind(
             F.struct(H.first_link(b).alias("link"), F.left(H.visible(b), F.lit(200)).alias("text")),
             lambda x: listed(
@@ -360,10 +371,10 @@ def ny_nyscr(pages: DataFrame) -> DataFrame:
         ),
     )
     detail_records = F.transform(
-        F.filter(
+        _plain(lambda html: F.filter(
             H.links(html),
             lambda x: F.contains(x["href"], F.lit("/Ads/")) & F.contains(x["href"], F.lit("Detail")),
-        ),
+        )),
         lambda x: listed(x["text"], x["href"]),
     )
 
@@ -381,38 +392,32 @@ def ny_nyscr(pages: DataFrame) -> DataFrame:
 
         return bind(H.row_cells(row), lambda c: bind(H.first_link(row), lambda x: build(c, x)))
 
-    rows = H.table_rows(html)
-    table_records = F.transform(
-        F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))), from_row
-    )
     any_records = F.transform(
-        F.filter(
+        _plain(lambda html: F.filter(
             H.links(html),
             lambda x: F.contains(F.lower(x["href"]), F.lit("/ads/")) & (F.length(x["text"]) > 10),
-        ),
+        )),
         lambda x: _record(title=x["text"], status=F.lit("Open"), url=full(x["href"]), description=x["text"]),
     )
     long_title = lambda r: r.isNotNull() & (F.length(r["title"]) > 5)
-    chosen = bind(
-        block_records,
-        lambda b: F.when(F.size(b) > 0, b).otherwise(
-            bind(
-                detail_records,
-                lambda d: F.when(F.size(d) > 0, d)
-                .when(html.rlike(r"(?i)<table\b"), table_records)
-                .otherwise(any_records),
-            )
-        ),
-    )
+    # the first table alone, without its first row; only a page without tables shows other links
+    from_table = lambda t: bind(H.all_rows(t), lambda rows: F.transform(
+        F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))), from_row))
+    in_table = _tables(lambda page: bind(
+        F.get(H.tables(page), 0), lambda t: F.when(t.isNotNull(), from_table(t)).otherwise(any_records)))
+    chosen = _first_filled(block_records, detail_records, in_table)
     return _explode(pages, F.filter(chosen, long_title), F.lit("NY"), F.lit("NY NYSCR"))
 
 
 def _aggregator(pages: DataFrame, state_slugs: DataFrame, source: str, site: str, slug_pattern: str,
-                card_classes: list[str], partial: bool, title: list[str], agency: list[str],
+                cards: list[list[str]], items: list[str], partial: bool, title: list[str], agency: list[str],
                 close: list[str], posted: list[str], amount: list[str],
                 links_to: list[str], not_to: list[str]) -> DataFrame:
-    """Card, table-row or link pages of an aggregator; the slug in the URL gives the state."""
-    html = _html()
+    """Card, table-row, list or link pages of an aggregator; the slug in the URL gives the state.
+
+    The first of the ``cards`` class lists that a page has, else its table rows, else elements of the ``items``
+    classes, else links.
+    """
     base = pages.select("page_id", "html", F.regexp_extract("url", slug_pattern, 1).alias("slug"))
     # 50 fixed rows
     placed = base.join(F.broadcast(state_slugs), "slug", "inner")
@@ -445,15 +450,12 @@ def _aggregator(pages: DataFrame, state_slugs: DataFrame, source: str, site: str
             lambda x: build(x["n"], x["h"]),
         )
 
-    def records(found: Column) -> Column:
-        return F.filter(F.transform(found, from_block), lambda r: r.isNotNull())
-
-    wanted = F.filter(
+    wanted = _plain(lambda html: F.filter(
         H.links(html),
         lambda x: contains_any(x["href"], links_to)
         & ~contains_any(x["href"], not_to)
         & (F.length(x["text"]) > 10),
-    )
+    ))
     fallback = F.transform(
         wanted,
         lambda x: _record(
@@ -461,8 +463,10 @@ def _aggregator(pages: DataFrame, state_slugs: DataFrame, source: str, site: str
             description=x["text"],
         ),
     )
-    cards, rows = H.blocks(html, card_classes, partial=partial), H.table_rows(html)
-    chosen = F.when(F.size(cards) > 0, records(cards)).when(F.size(rows) > 0, records(rows)).otherwise(fallback)
+    found = _flow(lambda page: _first_filled(
+        *[H.blocks(page, names, partial=partial) for names in cards], H.table_rows(page), H.blocks(page, items, partial=partial)))
+    chosen = bind(found, lambda x: F.when(
+        F.size(x) > 0, F.filter(F.transform(x, from_block), lambda r: r.isNotNull())).otherwise(fallback))
     return _explode(placed, chosen, F.col("state"), F.lit(source))
 
 
@@ -471,7 +475,7 @@ def bidnet(pages: DataFrame, state_slugs: DataFrame) -> DataFrame:
         pages, state_slugs, "BidNet Direct", "https://www.bidnetdirect.com",
         r"bidnetdirect\.com/([^/]+)/",
         # --- fixed values: class names on these pages
-        card_classes=["bid-card", "solicitation-card"], partial=False,
+        cards=[["bid-card", "solicitation-card"]], items=["search-result", "result-item"], partial=False,
         title=["title", "bid-title"], agency=["agency", "organization", "department", "entity-name"],
         close=["close-date", "deadline", "due-date", "end-date"],
         posted=["post-date", "posted-date", "publish-date"],
@@ -485,9 +489,9 @@ def demandstar(pages: DataFrame, state_slugs: DataFrame) -> DataFrame:
         pages, state_slugs, "DemandStar", "https://www.demandstar.com",
         r"/browse-bids/states/([^/?#]+)",
         # --- fixed values: parts of class names on these pages
-        card_classes=["bid-row", "bid-card", "BidRow", "BidCard"], partial=True,
-        title=["title", "name"], agency=["agency", "organization", "entity"],
-        close=["close", "deadline", "due", "end"], posted=["post", "publish", "start"],
-        amount=["amount", "value", "budget", "price", "cost"],
+        cards=[["bid-row", "bid-card"], ["BidRow", "BidCard"]], items=["result-item", "listing-item"], partial=True,
+        title=["[Tt]itle", "[Nn]ame"], agency=["[Aa]gency", "[Oo]rganization", "[Ee]ntity"],
+        close=["[Cc]lose", "[Dd]eadline", "[Dd]ue", "[Ee]nd"], posted=["[Pp]ost", "[Pp]ublish", "[Ss]tart"],
+        amount=["[Aa]mount", "[Vv]alue", "[Bb]udget", "[Pp]rice", "[Cc]ost"],
         links_to=["/bid/", "/bids/", "/solicitation"], not_to=[],
     )
