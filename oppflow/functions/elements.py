@@ -41,6 +41,8 @@ _IMPLIED = [
     (["li"], rf"{_kinds('li')}[^{_kinds('ul', 'ol', 'table')}]*$"),
     (["dt", "dd"], rf"[{_kinds('dt', 'dd')}][^{_kinds('dl', 'table')}]*$"),
 ]
+_HEAD_ROW = "\uF0FF"  # written for a row of a head or foot; on the stack it is a row
+_IN_HEAD = rf"[{_kinds('thead', 'tfoot')}][^{_kinds('table')}]*$"
 _P = rf"{_kinds('p')}[^{_kinds('table')}]*$"
 
 
@@ -76,7 +78,8 @@ def _step(stack: Column, x: Column, tags: list[str]) -> Column:
 
     def written(keep: Column) -> Column:
         ends = ended_levels(F.length(stack), F.length(keep))
-        opened = F.concat(kind, F.substring(F.lit("".join(_LEVEL)), F.length(keep) + 1, F.lit(1)))
+        head_row = (kind == _KIND["tr"]) & keep.rlike(_IN_HEAD)
+        opened = F.concat(F.when(head_row, F.lit(_HEAD_ROW)).otherwise(kind), F.substring(F.lit("".join(_LEVEL)), F.length(keep) + 1, F.lit(1)))
         return F.when(x["is_end"], F.struct(keep.alias("stack"), F.concat(ends, x["piece"]).alias("text"))).otherwise(
             F.struct(F.concat(keep, kind).alias("stack"), F.concat(ends, opened, x["piece"]).alias("text")))
 
@@ -161,6 +164,11 @@ def elements(page: Column, starts: str) -> Column:
     return F.regexp_extract_all(page, F.lit(rf"{_opening(starts)}(?=(.*?){_END})"), F.lit(2))
 
 
+def body_rows(page: Column) -> Column:
+    """What is in every table row that is not in the head or foot of its own table."""
+    return F.regexp_extract_all(page, F.lit(rf"(?s){_KIND['tr']}(.)<[^>]*+>?(?=(.*?){_END})"), F.lit(2))
+
+
 def outermost(page: Column, starts: str) -> Column:
     """Such elements that are in no other of them."""
     return F.regexp_extract_all(page, F.lit(rf"{_opening(starts)}(.*?){_END}"), F.lit(2))
@@ -171,10 +179,6 @@ def first_element(page: Column, starts: str) -> Column:
     return F.regexp_extract(page, rf"{_opening(starts)}(.*?){_END}", 2)
 
 
-def without(page: Column, starts: str) -> Column:
-    return F.regexp_replace(page, rf"{_opening(starts)}.*?{_END}", "")
-
-
 def tag(*names: str) -> str:
     """A tag of one of the names, as a pattern for ``starts``."""
     return rf"(?i:{'|'.join(names)})(?![\w-])"

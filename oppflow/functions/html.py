@@ -74,7 +74,7 @@ def flow_page(html: Column) -> Column:
 def table_rows(page: Column) -> Column:
     """Body rows of all tables, those inside cells too."""
     body = F.when(page.rlike("(?i)<t(?:head|foot)"), F.regexp_replace(page, E.PLAIN_HEAD, "")).otherwise(page)
-    return F.when(E.has_marks(page), E.elements(E.without(page, E.tag("thead", "tfoot")), E.tag("tr"))).otherwise(
+    return F.when(E.has_marks(page), E.body_rows(page)).otherwise(
         F.regexp_extract_all(body, F.lit(E.PLAIN_ROW), F.lit(2)))
 
 

@@ -22,8 +22,7 @@ TOKENS = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "</th
 
 def rows_and_cells(page):
     """[[cell texts of a body row]] by a stack of open elements."""
-    stack, rows, texts = [], [], {}
-    made = []
+    stack, made = [], []
 
     def cut(to):
         del stack[to:]
@@ -61,8 +60,12 @@ def rows_and_cells(page):
         element = (name, [], [e for e in stack])
         stack.append(element)
         made.append(element)
-    rows = [e for e in made if e[0] == "tr" and not any(x[0] == "thead" for x in e[2])]
-    return [[" ".join("".join(c[1]).split()) for c in made if c[0] == "td" and any(x is r for x in c[2]) and not any(x[0] == "thead" for x in c[2])] for r in rows]
+    def in_head(row):
+        inside = [x[0] for x in row[2]]
+        return "thead" in inside[len(inside) - inside[::-1].index("table"):]
+
+    rows = [e for e in made if e[0] == "tr" and not in_head(e)]
+    return [[" ".join("".join(c[1]).split()) for c in made if c[0] == "td" and any(x is r for x in c[2])] for r in rows]
 
 
 def cells_of(page):
