@@ -2,10 +2,11 @@
 from pyspark.sql import functions as F
 
 from oppflow.catalog.base import (
-    AS_OF, AWARDS, MEMBERS, TAGGED, awards, query, table, tagged, with_sql,
+    AS_OF, AWARDS, MEMBERS, TAGGED, awards, fresh_dir, query, table, tagged, with_sql,
 )
 from oppflow.operators import digest as G
 from oppflow.operators import preferences as P
+from oppflow.plans.preference_sync import PreferenceStore, digest_patterns, sync
 from oppflow.schema import RFP_TEXT_COLUMNS
 
 _EMPTY = ["status", "posted_date", "close_date", "url", "recipient", "recipient_state", "pi_name"]
@@ -266,3 +267,84 @@ def _(spark, d):
     removed = F.array(F.lit("tax"), F.when(F.col("event_id") % 2 == 0, F.col("event_type")).otherwise("none"))
     merged = P.merge_lists(F.array(F.lit("GIS"), F.lit("Click"), F.lit("tax")), F.array("event_type", F.lit("zz")), removed)
     return table(spark, d, "events").select("event_id", F.array_join(merged, "|").alias("patterns"))
+
+
+# ----------------------------------------------------- preferences as a job
+_FORM = """v_form as (
+  select event_id as seq, date_trunc('second', ts) as ts, 'U' || user_id || '@example.org' as sender, case when user_id % 5 = 0 then null else 'u' || user_id || '@example.org' end as email,
+    case when event_id % 3 = 0 then '' else event_type || ', w' || (event_id % 4) end as added, case when event_id % 3 = 0 then event_type else '' end as removed from events)"""
+_FORM_OPS = """v_op as (
+  select email, ts, seq, 'add' as op, unnest(string_split(added, ', ')) as kw from v_form where email is not null and added <> ''
+  union all select email, ts, seq, 'remove', removed from v_form where email is not null and removed <> ''),
+v_folded as (
+  select email, kw, op from v_op qualify row_number() over (partition by email, kw order by ts desc, seq desc, op desc) = 1)"""
+
+
+def _form(spark, d):
+    added = F.concat("event_type", F.lit(", w"), (F.col("event_id") % 4).cast("string"))
+    third = F.col("event_id") % 3 == 0
+    return table(spark, d, "events").select(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), F.concat(F.lit("U"), F.col("user_id").cast("string"), F.lit("@example.org")).alias("email"),
+        F.when(third, "").otherwise(added).alias("add"), F.when(third, F.col("event_type")).otherwise("").alias("remove"), F.col("event_id").alias("seq"))
+
+
+def _form_members(spark, d):
+    """Members but for every fifth sender; some have a base pattern that their answers remove or repeat."""
+    users = table(spark, d, "events").select("user_id").distinct().where("user_id % 5 <> 0")
+    return users.select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("@example.org")).alias("email"), F.concat(F.lit("Member "), F.col("user_id").cast("string")).alias("name"),
+        F.array(F.lit("Click"), F.lit("w0"), F.lit("ononst")).alias("patterns"))
+
+
+def _synced(spark, d):
+    """Two syncs: the answers of the first two weeks, then the whole export; the second one is lost once and repeated."""
+    kept = PreferenceStore(spark, fresh_dir(spark), buckets=8)
+    members, answers = _form_members(spark, d), _form(spark, d)
+    aliases = spark.createDataFrame([], "login_email string, email string")
+    sync(kept, answers.where("timestamp < '2024-01-15'"), members, aliases, "first")
+    for _attempt in range(2):
+        sync(kept, answers, members, aliases, "second")
+    return kept, members
+
+
+@query("i8_preference_sync", "with " + _FORM + "," + _FORM_OPS + " select email, kw, op from v_folded")
+def _(spark, d):
+    return _synced(spark, d)[0].state.read().select("email", "kw", "op")
+
+
+@query("i8_sync_history", "with " + _FORM + """
+select 'history' as kind, count(*) as n, (select max(ts) from v_form) as mark from v_form where email is not null
+union all select 'rejected', count(*), (select max(ts) from v_form) from v_form where email is null""")
+def _(spark, d):
+    kept = _synced(spark, d)[0]
+    mark = F.lit(kept.mark()).cast("timestamp_ntz").alias("mark")
+    return kept.history().agg(F.count("*").alias("n")).select(F.lit("history").alias("kind"), "n", mark).unionByName(
+        kept.rejected().agg(F.count("*").alias("n")).select(F.lit("rejected").alias("kind"), "n", mark))
+
+
+_EFFECTIVE = """v_base as (
+  select distinct m.email, p as pattern from (select distinct email from v_form where email is not null) m, (values ('click'), ('w0'), ('ononst')) t(p)),
+v_effective as (
+  select email, pattern from v_base union select email, kw from v_folded where op = 'add'
+  except select email, kw from v_folded where op = 'remove'),
+v_own as (
+  select distinct email, pos, state from v_week, v_effective where contains(lower(concat_ws(' ', title, description, agency)), lower(pattern)))"""
+
+
+@query("i5_digest_of_effective_patterns", with_sql(TAGGED, _WEEK, _FORM, _FORM_OPS, _EFFECTIVE, select="select email, pos, state from v_own"))
+def _(spark, d):
+    kept, members = _synced(spark, d)
+    week = G.past_week(stored(spark, d), AS_OF)
+    hits = G.personal_hits(week, "pos", digest_patterns(kept, members))
+    return hits.join(week.select("pos", "state"), "pos").select("email", "pos", "state")
+
+
+@query("i6_headers_of_effective_patterns", with_sql(TAGGED, _WEEK, _FORM, _FORM_OPS, _EFFECTIVE, LABELS, select="""
+select email, cast(sum(n) as bigint) as n, string_agg(n || ' ' || label, ', ' order by ord, state) as summary
+from (select email, h.state, coalesce(label, h.state) as label, coalesce(ord, 1000000) as ord, count(*) as n
+  from v_own h left join v_label l on h.state = l.state group by all) group by email"""))
+def _(spark, d):
+    kept, members = _synced(spark, d)
+    week = G.past_week(stored(spark, d), AS_OF)
+    hits = G.personal_hits(week, "pos", digest_patterns(kept, members))
+    return G.personal_headers(hits, week, "pos", members, labels(spark), AS_OF).select("email", "n", "summary")

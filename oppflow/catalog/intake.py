@@ -11,6 +11,8 @@ from oppflow.catalog.base import (
 from oppflow.operators import identity, preferences
 from oppflow.plans import ingest
 from oppflow.sources import api, store
+from oppflow.sources.commits import DatedMemory
+from oppflow.sources.pages import portal_tables
 
 _ALL = ["id", "title", "agency", "status", "posted_date", "close_date", "url", "description", "amount"]
 _AWARD = _ALL + ["recipient", "recipient_state", "pi_name"]
@@ -301,3 +303,61 @@ def _(spark, d):
         F.col("answer_1").cast("bigint").alias("event_id"), F.col("ts").cast("timestamp_ntz").alias("ts"), "email",
         F.col("add").alias("added"), F.col("remove").alias("removed"),
     )
+
+
+# ------------------------------------------------ one order over all sources
+def _landed(spark, d, shuffled):
+    """Lines of two kinds of payload and captured pages, of which many share an id."""
+    path = fresh_dir(spark)
+    bodies(spark, d, "supplier", "s_suppkey", """named_struct('opportunitiesData', array(named_struct(
+        'noticeId', concat('N', s_suppkey % 40), 'title', concat('Supplier ', s_suppkey))))""").sort("payload_ord").select("body").coalesce(2).write.text(f"{path}/sam")
+    bodies(spark, d, "part", "p_partkey", """named_struct('results', array(named_struct(
+        'document_number', concat('N', p_partkey % 60), 'title', concat('Part ', p_partkey))))""").sort("payload_ord").select("body").coalesce(3).write.text(f"{path}/register")
+    pages = table(spark, d, "customer").selectExpr(
+        "0L as page_id", "concat('https://p.example.org/', lpad(c_custkey, 9, '0')) as url", "'MD' as state", "'Portal' as label",
+        "concat('<table><tr><td>N', c_custkey % 90, '</td><td>Customer no ', c_custkey, '</td></tr></table>') as html")
+    mixed = (lambda df: df.repartition(7)) if shuffled else (lambda df: df)
+    rows, _ = store.union_sources([
+        ("sam", lambda: mixed(api.sam_gov(mixed(api.read_bodies(spark, f"{path}/sam", whole_files=False))))),
+        ("register", lambda: mixed(api.federal_register(mixed(api.read_bodies(spark, f"{path}/register", whole_files=False))))),
+        ("portal", lambda: mixed(portal_tables(mixed(pages)))),
+    ])
+    return rows
+
+
+@query("c2_first_over_sources", """
+select source_ord, id, arg_min(title, pos) as title from (
+  select 0 as source_ord, 'N' || (s_suppkey % 40) as id, 'Supplier ' || s_suppkey as title, s_suppkey as pos from supplier
+  union all select 1, 'N' || (p_partkey % 60), 'Part ' || p_partkey, p_partkey from part
+  union all select 2, 'N' || (c_custkey % 90), 'Customer no ' || c_custkey, c_custkey from customer) as x
+where not exists (select 1 from supplier where 'N' || (s_suppkey % 40) = x.id and x.source_ord > 0)
+  and not exists (select 1 from part where 'N' || (p_partkey % 60) = x.id and x.source_ord > 1)
+group by source_ord, id""")
+def _(spark, d):
+    rows = _landed(spark, d, shuffled=True)
+    return identity.first_wins(rows, ["id"], ["source_ord", "payload_ord", "item_ord"]).select("source_ord", "id", "title")
+
+
+@query("a9_order_is_total", """
+select (select count(*) from supplier) + (select count(distinct p_partkey % 60) from part) + (select count(*) from customer) as places""")
+def _(spark, d):
+    rows = _landed(spark, d, shuffled=False)
+    return rows.select("source_ord", "payload_ord", "item_ord").distinct().agg(F.count("*").alias("places"))
+
+
+# ------------------------------------------------------- dated memory
+@query("a3_dated_memory", """
+with e as (select distinct 'u' || user_id || event_type as hash, event_id % 3 as run from events)
+select hash, min(run) as run from e group by hash having min(run) > 0""")
+def _(spark, d):
+    """Three runs; the second is lost once before its commit record and repeated, the last forgets the first one's hashes."""
+    memory = DatedMemory(spark, fresh_dir(spark))
+    rows = table(spark, d, "events").select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string"), "event_type").alias("hash"), F.lit("t").alias("title"), F.lit("s").alias("state"),
+        (F.col("event_id") % 3).alias("run"))
+    for run, day in enumerate(["2024-01-01", "2024-02-15", "2024-04-10"]):
+        for _attempt in range(2):
+            fresh = identity.unseen(rows.filter(F.col("run") == run).dropDuplicates(["hash"]), memory.read(f"run {run}"))
+            memory.append(fresh, f"run {run}", F.lit(f"{day} 00:01:00").cast("timestamp"), 60)
+    days = F.date_format("first_seen", "yyyy-MM-dd")
+    return memory.read().select("hash", F.when(days == "2024-02-15", 1).when(days == "2024-04-10", 2).otherwise(0).cast("bigint").alias("run"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from oppflow.catalog.base import (
     EVENTS, EXCLUDED, KEYWORDS, TAGGED, fresh_dir, query, rfps, table, with_sql,
 )
-from oppflow.sources.store import StateTable
+from oppflow.sources.commits import BucketState
 from oppflow.streaming import jobs
 
 
@@ -61,6 +61,35 @@ def _(spark, d):
         F.col("user_id").cast("string").alias("email"), F.col("event_type").alias("kw"),
         F.when(F.col("event_id") % 3 == 0, "remove").otherwise("add").alias("op"), F.col("event_id").alias("seq"),
     )
-    state = StateTable(spark, f"{path}/state", "email string, kw string, op string, seq bigint")
-    jobs.run_available(stream, f"{path}/progress", jobs.preference_sink(state)).awaitTermination()
+    state = BucketState(spark, f"{path}/state", "email string, kw string, op string, seq bigint", ["email"], 16)
+    jobs.run_available(stream, f"{path}/progress", jobs.bucket_preference_sink(state)).awaitTermination()
     return state.read()
+
+
+_KEPT = """with recursive e as (
+  select 'u' || user_id || '-' || event_type as rfp_id, ts, min(event_id) as event_id from events group by 1, 2),
+kept(rfp_id, ts) as (
+  select rfp_id, min(ts) from e group by rfp_id
+  union all
+  select e.rfp_id, min(e.ts) from kept join e on e.rfp_id = kept.rfp_id and e.ts > kept.ts + interval 2 day group by e.rfp_id)
+select kept.rfp_id, cast(event_id as varchar) as event_id, kept.ts from kept join e on e.rfp_id = kept.rfp_id and e.ts = kept.ts"""
+
+
+@query("k3_stream_late_records", _KEPT)
+def _(spark, d):
+    """Three batches whose records' times overlap, so that records come late in the second and third."""
+    path = fresh_dir(spark)
+    rows = table(spark, d, "events").select(
+        F.lit("S").alias("state"), F.lit("s").alias("source"), F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-"), "event_type").alias("id"),
+        F.lit("").alias("title"), F.lit("").alias("agency"), F.col("event_id").cast("string").alias("description"),
+        F.col("ts").cast("timestamp").alias("scraped_at"), F.col("event_id").alias("pos"))
+    sink = jobs.keyed_ingest_sink(path, KEYWORDS, ["pos"], days=2, exclusions=EXCLUDED)
+    for part in range(3):
+        rows.filter(F.pmod(F.xxhash64("pos"), F.lit(3)) == part).write.parquet(f"{path}/landed/{part}")
+    stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true")
+    for part in range(3):
+        landed = stream.parquet(f"{path}/landed/{part}")
+        number = part
+        jobs.run_available(landed, f"{path}/progress/{part}", lambda batch, _n, number=number: sink(batch, number)).awaitTermination()
+    return jobs.stored_records(spark, path).select(
+        "rfp_id", F.col("description").alias("event_id"), F.col("scrape_timestamp").cast("timestamp_ntz").alias("ts"))

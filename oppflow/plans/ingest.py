@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from oppflow.fixed_values import EXCLUSIONS, SEEN_DAYS, STOP_WORDS
 from oppflow.operators.identity import first_wins, forget, record_hash, remember, run_report, unseen
 from oppflow.operators.tagging import add_key_terms, tag
-from oppflow.schema import canonical, or_empty
+from oppflow.schema import RFP_SCHEMA, canonical, or_empty
 from oppflow.session import cut
-from oppflow.sources.store import StateTable, append_rfps, write_batch
+from oppflow.sources.commits import DatedMemory, committed
+from oppflow.sources.store import StateTable, exists, write_batch
 
 
 def new_records(raw: DataFrame, seen: DataFrame, order: list[str]) -> DataFrame:
@@ -28,29 +29,43 @@ def enrich(
 
 
 def run(
-    raw: DataFrame, seen_state: StateTable, store: str, keywords: list[str], now: Column,
+    raw: DataFrame, seen_state: StateTable | DatedMemory, store: str, keywords: list[str], now: Column,
     order: list[str], seen_days: int = SEEN_DAYS, exclusions: list[str] = EXCLUSIONS,
     stop_words: list[str] = STOP_WORDS, batch: str | None = None,
 ) -> DataFrame:
     """A whole run.  Returns its report (one row).
 
-    With ``batch`` the run writes a folder of that name: a run that was lost between
-    records and memory is repeated under the same name and replaces its records.
+    The run writes a folder named ``batch``, or by its time where no name is given: a run that was lost between
+    records and memory is repeated under the same name, or at the same time, and replaces its records.
+
+    With a ``DatedMemory`` the run adds its own hashes to the memory and nothing else, and its commit record makes
+    records and memory count together (``committed_rfps``); with a ``StateTable`` the memory is written anew.
 
     An expired hash still blocks the run that forgets it, and is let in by the next.
     The new records are written once to shared storage; records, memory and report
     are all read from there, so none of the text work is done twice.
     """
-    seen = seen_state.read()
-    rfps = cut(enrich(new_records(raw, seen, order), keywords, now, exclusions, stop_words))
     if batch is None:
-        append_rfps(rfps, store)
-    else:
-        write_batch(rfps, store, batch)
+        batch = raw.sparkSession.range(1).select(F.date_format(now, "yyyyMMdd'T'HHmmss").alias("name")).first().name
+    dated = isinstance(seen_state, DatedMemory)
+    seen = seen_state.read(batch) if dated else seen_state.read()
+    rfps = cut(enrich(new_records(raw, seen, order), keywords, now, exclusions, stop_words))
+    write_batch(rfps, store, batch)
+    if dated:
+        seen_state.append(rfps, batch, now, seen_days)
+        return run_report(rfps)
     seen_state.write(forget(remember(seen, rfps, now), now, seen_days))
     return run_report(rfps)
 
 
+def committed_rfps(memory: DatedMemory, store: str) -> DataFrame:
+    """The stored records of finished runs; what a lost run left is not read."""
+    if not exists(memory.spark, store):
+        return memory.spark.createDataFrame([], RFP_SCHEMA)
+    rows = memory.spark.read.schema(RFP_SCHEMA + ", batch string").parquet(store)
+    return committed(rows, memory.commits.read()).drop("batch")
+
+
 def typed_dates(rfps: DataFrame) -> DataFrame:
     """Add ``posted_ts`` and ``close_ts`` parsed from the heterogeneous date texts."""
     # --- fixed values: date layouts that sources use

@@ -3,7 +3,7 @@
 A normaliser takes landed response bodies ``(payload_ord bigint, body string)``,
 parses them with an explicit schema and projects the raw-record columns.
 ``payload_ord`` and ``item_ord`` say where a record came from, so that "first one
-wins" has a fixed meaning after any shuffle.  Every leaf is read as text: amounts
+wins" has a fixed meaning after any shuffle.  ``payload_ord`` is whatever sorts: a number, or the text that ``read_bodies`` makes.  Every leaf is read as text: amounts
 keep the digits they were sent with.
 """
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,17 +18,22 @@ ORDER = ["payload_ord", "item_ord"]
 
 
 def read_bodies(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """Landed responses, one per file (or per line); the file name gives the order.
+    """Landed responses, one per file (or per line), in order of their place.
 
+    The place is the number in the file's name, then its path, then the offset in the file, as one text that sorts so; no
+    two responses share it.  A line's offset is that of its split and the order in which the split is read.
     What the landing folders are named by, such as ``award_group=Grants``, comes along as columns.
     """
     bodies = spark.read.text(path, wholetext=whole_files)
-    return bodies.select(
-        F.coalesce(
-            F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1).try_cast("bigint"), F.lit(0)
-        ).alias("payload_ord"),
-        F.col("value").alias("body"), *[c for c in bodies.columns if c != "value"],
-    )
+
+    def padded(number: Column) -> Column:
+        return F.lpad(number.cast("string"), 20, "0")
+
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{1,18})", 1).try_cast("bigint")
+    place = F.concat_ws(
+        "/", padded(F.coalesce(number, F.lit(0))), F.col("_metadata.file_path"),
+        padded(F.col("_metadata.file_block_start")), padded(F.monotonically_increasing_id()))
+    return bodies.select(place.alias("payload_ord"), F.col("value").alias("body"), *[c for c in bodies.columns if c != "value"])
 
 
 def _struct(leaves: str, nested: str = "") -> str:

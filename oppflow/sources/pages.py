@@ -19,7 +19,7 @@ from oppflow.functions.scalars import (
 from oppflow.functions.text import bind, strip
 from oppflow.schema import raw_record
 
-ORDER = ["page_id", "item_ord"]
+ORDER = ["page_id", "page_ord", "item_ord"]
 _FIELDS = ["id", "title", "agency", "status", "posted_date", "close_date", "url", "description", "amount"]
 RECORDS = "array<struct<" + ",".join(f"{f}:string" for f in _FIELDS) + ">>"
 
@@ -44,8 +44,10 @@ def _none() -> Column:
 
 
 def _explode(pages: DataFrame, records: Column, state: Column, source: Column) -> DataFrame:
+    # captures that share a page_id are told apart by address and content
+    place = F.concat_ws("/", F.coalesce("url", F.lit("")), F.hex(F.xxhash64("html")))
     rows = pages.select(
-        "page_id", state.alias("state"), source.alias("source"),
+        "page_id", place.alias("page_ord"), state.alias("state"), source.alias("source"),
         F.posexplode(records).alias("item_ord", "r"),
     )
     return raw_record(
@@ -418,7 +420,7 @@ def _aggregator(pages: DataFrame, state_slugs: DataFrame, source: str, site: str
     The first of the ``cards`` class lists that a page has, else its table rows, else elements of the ``items``
     classes, else links.
     """
-    base = pages.select("page_id", "html", F.regexp_extract("url", slug_pattern, 1).alias("slug"))
+    base = pages.select("page_id", "url", "html", F.regexp_extract("url", slug_pattern, 1).alias("slug"))
     # 50 fixed rows
     placed = base.join(F.broadcast(state_slugs), "slug", "inner")
 

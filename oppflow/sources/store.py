@@ -76,30 +76,39 @@ def preference_log(spark: SparkSession, path: str) -> DataFrame:
 
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
     """All term snapshots; a run that cannot be read in full is left out as a whole."""
-    return _counted_snapshots(spark, path).filter(f"not ({_DAMAGED})").drop("run_rows", "found")
+    return _snapshot_rows(spark, path).drop("run_rows").join(F.broadcast(damaged_snapshots(spark, path)), "run_ts", "left_anti")
 
 
 def damaged_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """Runs of which only a part could be read: run_ts, rows found and rows written."""
-    damaged = _counted_snapshots(spark, path).filter(_DAMAGED)
-    return damaged.groupBy("run_ts").agg(F.max("found").alias("found"), F.max("run_rows").alias("run_rows"))
+    """Runs of which not all could be read: run_ts, rows found and rows written.
 
+    How many rows a run has is in its commit record, apart from the file that it counts; where there is none, in the rows.
+    """
+    from oppflow.sources.commits import Commits
 
-_DAMAGED = "run_rows is not null and found <> run_rows"
+    found = _snapshot_rows(spark, path).groupBy("run_ts").agg(F.count("*").alias("found"), F.max("run_rows").alias("own"))
+    known = Commits(spark, path).read().select(F.col("at").alias("run_ts"), "rows")
+    both = found.join(known, "run_ts", "full").select(
+        "run_ts", F.coalesce("found", F.lit(0)).cast("long").alias("found"), F.coalesce("rows", "own").alias("run_rows"))
+    return both.filter("run_rows is not null and found <> run_rows")
 
 
-def _counted_snapshots(spark: SparkSession, path: str) -> DataFrame:
+def _snapshot_rows(spark: SparkSession, path: str) -> DataFrame:
     schema = SNAPSHOT_SCHEMA + ", run_rows bigint"
-    rows = spark.createDataFrame([], schema)
-    if exists(spark, path):
-        rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
-    return rows.withColumn("found", F.count("*").over(Window.partitionBy("run_ts")))
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
 
 
 def append_snapshot(snapshot: DataFrame, path: str) -> None:
-    """Add a run; every row carries how many its run has."""
+    """Add a run; a commit record, and every row, says how many rows it has."""
+    from oppflow.sources.commits import Commits
+
     counted = snapshot.withColumn("run_rows", F.count("*").over(Window.partitionBy("run_ts")))
     counted.coalesce(1).write.mode("append").parquet(path)
+    runs = snapshot.groupBy(F.col("run_ts").cast("string").alias("at")).agg(F.count("*").alias("n"))
+    for run in runs.collect():  # one
+        Commits(snapshot.sparkSession, path).write(run.at, at=run.at, rows=run.n)
 
 
 def write_sections(sections: dict[str, DataFrame], path: str) -> None:
@@ -108,8 +117,28 @@ def write_sections(sections: dict[str, DataFrame], path: str) -> None:
         df.write.mode("overwrite").json(f"{path}/{name}")
 
 
+def sortable(df: DataFrame, column: str):
+    """A column as a text that sorts as the column does: whole numbers shifted above 0 and padded, texts as they are."""
+    kind = df.schema[column].dataType.simpleString()
+    value = F.col(column)
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.lpad((value.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+    return value.cast("string")
+
+
+def placed(df: DataFrame) -> DataFrame:
+    """``payload_ord`` as text and ``item_ord`` as number, from the order columns that a source has."""
+    names = [c for c in ("payload_ord", "page_id", "page_ord") if c in df.columns]
+    payload = F.concat_ws("/", *[F.coalesce(sortable(df, c), F.lit("")) for c in names])
+    item = F.col("item_ord").cast("bigint") if "item_ord" in df.columns else F.lit(0).cast("bigint")
+    return df.withColumns({"payload_ord": payload, "item_ord": item})
+
+
 def union_sources(sources: list) -> tuple[DataFrame | None, list[str]]:
-    """All sources one after the other, each row with its ``source_ord``.
+    """All sources one after the other, each row with its place: ``source_ord``, ``payload_ord``, ``item_ord``.
+
+    The three are a total order over all sources, whatever each orders its payloads by: ``payload_ord`` becomes a text that sorts
+    as the source's own order columns do.
 
     ``sources`` holds ``(name, build)`` with ``build() -> DataFrame``.  A source that
     cannot be analysed is left out and reported; the others go on.
@@ -124,6 +153,6 @@ def union_sources(sources: list) -> tuple[DataFrame | None, list[str]]:
         except AnalysisException as error:
             failed.append(f"{name}: {error.getCondition() or error}")
             continue
-        df = df.withColumn("source_ord", F.lit(number))
+        df = placed(df).withColumn("source_ord", F.lit(number))
         union = df if union is None else union.unionByName(df, allowMissingColumns=True)
     return union, failed
