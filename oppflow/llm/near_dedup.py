@@ -365,13 +365,39 @@ def leftover(shared: DataFrame, stars: DataFrame, sides: DataFrame, p: MinHash)
     return cut(rows.mapInPandas(near, "a long, b long"))
 
 
+def own_ids(docs: DataFrame, key: str) -> DataFrame | None:
+    """(doc_id, text hash, key) of the rows whose id does not name one text: those without id, and those that share it with other texts.
+
+    ``key`` is a number that no document has as its id.  None if there are no such rows.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("t"))
+    texts = rows.groupBy("doc_id").agg(F.min("t").alias("t"), F.max("t").alias("z"))
+    shared = texts.where("doc_id is null or t <> z").select("doc_id")
+    found = cut(rows.join(shared, rows["doc_id"].eqNullSafe(shared["doc_id"]), "left_semi").distinct().withColumn("n", F.monotonically_increasing_id()))
+    if found.isEmpty():
+        return None
+    ends = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    low, high = ends.low or 0, ends.high or 0
+    if high < 2**62:
+        return found.select("doc_id", "t", (F.col("n") + F.lit(max(high, -1) + 1)).alias(key))
+    if low > -(2**62):
+        return found.select("doc_id", "t", (F.lit(min(low, 0) - 1) - F.col("n")).alias(key))
+    raise ValueError("document ids fill the whole range of numbers and do not name one text each: number the rows first")
+
+
 def without_copies(docs: DataFrame, p: MinHash | None = None) -> DataFrame:
-    """The documents with all their columns, one of each near-duplicate group: the first in the order of the written rows.
+    """The documents with all their columns, one of each near-duplicate group.
 
-    Every row is a document of its own here, named by its place, so rows that share an id are compared by their own
-    texts, and rows without an id too.
+    Rows that share an id but not the text are documents of their own here, compared by their own texts, and so are rows
+    without an id, one for each different text.  Of rows with the same id and text one stays.
     """
-    (place,) = free_names(docs, "place")
-    rows = cut(docs.withColumn(place, F.monotonically_increasing_id()))  # written, so that a place stays that of its row
-    kept = near_duplicates(rows.select(F.col(place).alias("doc_id"), "text"), p).where("kept").select(F.col("doc_id").alias(place))
-    return rows.join(cut(kept), place).select(*docs.columns)
+    key, hashed, number = free_names(docs, "own_id", "own_hash", "own_number")
+    odd = own_ids(docs, number)
+    rows = docs.withColumn(key, F.col("doc_id").cast("long"))
+    if odd is not None:
+        odd = odd.select(F.col("doc_id").alias("i"), F.col("t").alias("h"), F.col(number))
+        rows = docs.withColumn(hashed, F.xxhash64(F.col("text").cast("string"))).join(
+            odd, F.col("doc_id").cast("long").eqNullSafe(F.col("i")) & (F.col(hashed) == F.col("h")), "left"
+        ).withColumn(key, F.coalesce(F.col(number), F.col("doc_id").cast("long"))).select(*docs.columns, key)
+    kept = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), p).where("kept").select(F.col("doc_id").alias(key))
+    return rows.join(cut(kept), key).dropDuplicates([key]).select(*docs.columns)

@@ -98,13 +98,15 @@ def test_repeated_rows_null_ids_and_extra_columns(spark):
 
 
 def test_texts_that_share_an_id_or_have_none(spark):
-    """Every different text stays, whatever its id; equal rows without an id are one document."""
+    """Every different text stays, whatever its id; rows with the same id, or none, and the same text are one document."""
     a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
     df = spark.createDataFrame([(1, a), (1, b), (2, b), (None, b), (None, a), (3, ""), (3, "")], "doc_id long, text string").withColumn("place", near_duplicates_literal())
     for parts in (1, 4):
         left = without_copies(df.repartition(parts))
         assert left.columns == df.columns
-        assert sorted(r.text for r in left.collect()) == ["", "", a, b]
+        assert sorted(r.text for r in left.collect()) == ["", a, b]
+    high = spark.createDataFrame([(2**62, a), (2**62, b), (None, b)], "doc_id long, text string")
+    assert sorted(r.text for r in without_copies(high).collect()) == [a, b]
 
 
 def near_duplicates_literal():
