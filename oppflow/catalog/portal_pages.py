@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from oppflow.catalog.base import query, table
-from oppflow.fixed_values import STATES
+from oppflow.fixed_values import PORTALS, STATES
 from oppflow.functions import html as H
 from oppflow.operators.identity import first_wins
 from oppflow.session import spread
@@ -266,3 +266,20 @@ def _(spark, d):
 select o_orderkey as page_id, 'B' || o_orderkey as id, 'Paper ' || o_custkey as title from orders where o_orderkey % 3 = 1""")
 def _(spark, d):
     return P.nc_evp(_order_pages(spark, d, _TWO)).select("page_id", "id", "title")
+
+
+_BASES_SQL = "v_portal(i, state, label, base) as (values " + ", ".join(
+    "(" + ", ".join([str(i), *("'" + x.replace("'", "''") + "'" for x in p[1:])]) + ")" for i, p in enumerate(PORTALS)) + ")"
+_BASES = "array(" + ", ".join(f"'{p[3]}'" for p in PORTALS) + ")"
+
+
+@query("a10_records_of_portals", "with " + _BASES_SQL + f"""
+select o_orderkey as page_id, min(q.state) as state, min(q.label) as source, 'B' || o_orderkey as id, 'Paper goods ' || min(o_custkey) as title
+from orders join v_portal p on p.i = o_orderkey % {len(PORTALS) + 1} join v_portal q on q.base = p.base
+group by o_orderkey""")
+def _(spark, d):
+    """Pages below the start page of every known portal, and of a host that is none."""
+    url = f"concat(coalesce(get({_BASES}, cast(o_orderkey % {len(PORTALS) + 1} as int)), 'https://other.example.org'), '/list/', o_orderkey, '?page=2')"
+    html = "concat('<table><tr><td>B', o_orderkey, '</td><td>Paper goods ', o_custkey, '</td></tr></table>')"
+    pages = _order_pages(spark, d, html, url).drop("state", "label")
+    return P.portal_tables(P.with_portal(pages, P.portals(spark))).select("page_id", "state", "source", "id", "title")

@@ -195,6 +195,15 @@ def _(spark, d):
     return D.page(rows, [F.desc("scrape_date"), F.asc("pos")], 2).select("scrape_date", "pos", "title")
 
 
+@query("g7_page_after_key", with_sql(TAGGED, _LIST, select="""
+select scrape_date, pos, title from v_list where scrape_date < '2024-01-20' or (scrape_date = '2024-01-20' and pos > 400)
+order by scrape_date desc, pos limit 100"""))
+def _(spark, d):
+    rows = D.full_database(stored(spark, d), "pos", "scrape_date")
+    last = {"scrape_date": "2024-01-20", "pos": 400}
+    return D.page_after(rows, [("scrape_date", False), ("pos", True)], last).select("scrape_date", "pos", "title")
+
+
 @query("j1_search", with_sql(TAGGED, select="""
 select pos, title from v_tag where state = 'en' and keyword_match
   and contains(lower(concat_ws(' ', title, agency, state, source)), 'the')"""))

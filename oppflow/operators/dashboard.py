@@ -33,6 +33,25 @@ def page(listing: DataFrame, order: list[Column], number: int, rows: int = PAGE_
     return listing.orderBy(*order).offset(number * rows).limit(rows)
 
 
+def page_after(listing: DataFrame, order: list[tuple[str, bool]], last: dict | None = None, rows: int = PAGE_ROWS) -> DataFrame:
+    """The ``rows`` that follow the row with the values ``last``; the first page without it.
+
+    ``order`` holds (column, ascending), most significant first, together unique.  The first column's bound is a
+    condition of its own, so that a scan leaves out the files before it; any page costs what the first one does.
+    """
+    if last is not None:
+        follows = F.lit(False)
+        for i, (name, ascending) in enumerate(order):
+            later = F.col(name) > F.lit(last[name]) if ascending else F.col(name) < F.lit(last[name])
+            for before, _ in order[:i]:
+                later = later & (F.col(before) == F.lit(last[before]))
+            follows = follows | later
+        name, ascending = order[0]
+        bound = F.col(name) >= F.lit(last[name]) if ascending else F.col(name) <= F.lit(last[name])
+        listing = listing.filter(bound & follows)
+    return listing.orderBy(*[F.asc(c) if up else F.desc(c) for c, up in order]).limit(rows)
+
+
 def search(rfps: DataFrame, query: str = "", state: str = "", source: str = "", matches_only: bool = False) -> DataFrame:
     """Filters combine; the query is a case-insensitive literal over five fields."""
     if state:

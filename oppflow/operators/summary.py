@@ -6,6 +6,7 @@ from oppflow.fixed_values import STATES
 from oppflow.functions.scalars import parse_money
 from oppflow.functions.text import strip
 from oppflow.operators.ranking import ranked, top_per_group
+from oppflow.session import cut
 
 TOP_RECIPIENTS = 30
 TOP_KEYWORDS = 20
@@ -81,31 +82,28 @@ def cumulative_counts(daily: DataFrame) -> DataFrame:
     )
 
 
-def top_recipients(awards: DataFrame, k: int = TOP_RECIPIENTS) -> DataFrame:
-    """Recipients by number of awards, with amount, first place and three names.
+def top_recipients(awards: DataFrame, k: int = TOP_RECIPIENTS, pos: str = "pos") -> DataFrame:
+    """Recipients by number of awards, with amount, first place by ``pos`` and the three smallest names.
 
-    Counts and amounts are hash-aggregated partial sums.  Only the ``k`` winners (a
-    fixed number of rows, broadcast) are then looked up again: their first place is
-    a partial minimum, their names are made distinct and cut to the three smallest
-    per task, so a recipient with a third of all awards is never gathered.
+    One pass over the awards adds them up per recipient and name (partial sums and minima, so a recipient with a third of
+    all awards sends a row per name and task); everything else is a roll-up of that table, written once.
     """
     named = awards.filter(F.coalesce(F.col("recipient"), F.lit("")) != "")
-    winners = (
-        named.groupBy("recipient")
-        .agg(F.count("*").alias("count"), F.sum(parse_money(F.col("amount"))).alias("total"))
-        .orderBy(F.desc("count"), "recipient").limit(k)
-    )
-    theirs = named.join(F.broadcast(winners.select("recipient")), "recipient", "left_semi")
-    places = theirs.filter(F.col("recipient_state").isNotNull()).groupBy("recipient").agg(
-        F.min_by("recipient_state", "pos").alias("place")
-    )
-    names = theirs.filter(strip(F.coalesce("pi_name", F.lit(""))) != "").select("recipient", "pi_name").distinct()
+    placed = F.col("recipient_state").isNotNull()
+    each = cut(named.groupBy("recipient", F.coalesce("pi_name", F.lit("")).alias("pi_name")).agg(
+        F.count("*").alias("n"), F.sum(parse_money(F.col("amount"))).alias("money"),
+        F.min(F.when(placed, F.struct(F.col(pos).alias("pos"), F.col("recipient_state").alias("place")))).alias("first")))
+    winners = each.groupBy("recipient").agg(
+        F.sum("n").alias("count"), F.sum("money").alias("total"), F.min("first")["place"].alias("place"),
+    ).orderBy(F.desc("count"), "recipient").limit(k)
+    # the winners are ``k`` rows
+    theirs = each.join(F.broadcast(winners.select("recipient")), "recipient", "left_semi").filter(strip("pi_name") != "")
     shown = (
-        top_per_group(names, ["recipient"], [F.asc("pi_name")], NAMES_SHOWN)
+        top_per_group(theirs, ["recipient"], [F.asc("pi_name")], NAMES_SHOWN)
         .groupBy("recipient")
         .agg(F.array_join(F.sort_array(F.collect_list("pi_name")), "; ").alias("pi_names"))
     )
-    return winners.join(places, "recipient", "left").join(shown, "recipient", "left").select(
+    return winners.join(shown, "recipient", "left").select(
         F.left("recipient", F.lit(80)).alias("name"), "count",
         F.round("total", 2).alias("total_amount"),
         F.coalesce("place", F.lit("")).alias("location"),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from oppflow.fixed_values import STOP_WORDS
 from oppflow.operators import drift, rake, summary, tfidf
+from oppflow.operators.dashboard import full_database
 from oppflow.session import cut
 
 
@@ -53,13 +54,18 @@ def report(sections: dict[str, DataFrame]) -> DataFrame:
 
 
 def dashboard(rfps: DataFrame, population: DataFrame, snapshot: DataFrame) -> dict[str, DataFrame]:
-    """Dashboard sections by name."""
+    """Dashboard sections by name.
+
+    Stored records are ordered by the time of their run and then by hash, which a run has once; so a recipient's first
+    place is that of one certain record.
+    """
     return {
         "overview": summary.overview(rfps),
         "states": summary.state_breakdown(rfps, population),
         "sources": summary.source_performance(rfps),
         "terms": summary.snapshot_slices(snapshot),
-        "top_recipients": summary.top_recipients(rfps.withColumn("pos", F.col("scrape_timestamp"))),
+        "top_recipients": summary.top_recipients(rfps.withColumn("pos", F.struct("scrape_timestamp", "hash"))),
+        "database": full_database(rfps, "scrape_date", "hash"),
         "daily_counts": summary.cumulative_counts(summary.daily_counts(rfps)),
         "keyword_frequency": summary.keyword_frequency(rfps),
     }

@@ -1,7 +1,7 @@
 """Captured portal pages -> raw records.
 
-Input is ``(page_id, url, html)`` with ``state`` and ``label`` of the portal; the
-lookup from start page to portal is ``portals``.  Every source turns a page into an
+Input is ``(page_id, url, html)`` with ``state`` and ``label`` of the portal, which ``with_portal`` looks
+up by the page's address.  Every source turns a page into an
 array of record structs in its own row and explodes it last.
 """
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +29,35 @@ def portals(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PORTALS, "platform string, state string, label string, base string")
 
 
+def _address(url: Column) -> Column:
+    """struct<host, pieces>: lower-case host and the pieces of the path."""
+    bare = F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    pieces = F.filter(F.split(bare, "/"), lambda x: x != "")
+    return F.struct(F.lower(F.get(pieces, 0)).alias("host"), F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))).alias("pieces"))
+
+
+def with_portal(pages: DataFrame, known: DataFrame) -> DataFrame:
+    """The pages of known portals with ``platform``, ``state`` and ``label``; pages of other hosts go.
+
+    Of the portals on a page's host, the one whose start page shares the most leading pieces of the path; then one whose
+    whole address, query included, begins the page's; then the one with fewer pieces of its own, then by label.
+    """
+    portal = F.struct("platform", "state", "label", "base", F.col("a.pieces").alias("pieces"))
+    # a host's portals are a row, looked up by every page in its own row; the portals are a short fixed list
+    hosts = known.withColumn("a", _address(F.col("base"))).groupBy(F.col("a.host").alias("portal_host")).agg(F.collect_list(portal).alias("portals"))
+    placed = pages.withColumn("page_address", _address(F.col("url"))).join(
+        F.broadcast(hosts), F.col("page_address.host") == F.col("portal_host"))
+
+    def shared(own: Column) -> Column:
+        same = F.zip_with(own, F.col("page_address.pieces"), lambda a, b: F.coalesce(a == b, F.lit(False)))
+        return F.array_position(F.concat(same, F.array(F.lit(False))), False) - 1
+
+    ranked = F.sort_array(F.transform("portals", lambda p: F.struct(
+        (-shared(p["pieces"])).alias("shared"), (~F.startswith(F.col("url"), p["base"])).alias("other"), F.size(p["pieces"]).alias("n"), p["label"].alias("label"), p["platform"].alias("platform"), p["state"].alias("state"))))
+    best = placed.withColumn("portal_found", F.get(ranked, 0)).drop("page_address", "portal_host", "portals")
+    return best.select(*pages.columns, "portal_found.platform", "portal_found.state", "portal_found.label")
+
+
 def slugs(spark: SparkSession) -> DataFrame:
     """State slug as used in aggregator URLs -> state code (50 rows)."""
     rows = [(name.lower().replace(" ", "-"), code) for code, name, _ in STATES]
