@@ -7,7 +7,7 @@ from oppflow.catalog.base import (
 from oppflow.session import cut
 from oppflow.operators import drift, rake, tfidf
 from oppflow.operators.ranking import ranked
-from oppflow.plans.analysis import report
+from oppflow.plans.analysis import analyse, report
 from oppflow.sources import store
 
 EARLIER = "2024-01-15"  # the previous run saw what was scraped up to this day
@@ -79,14 +79,18 @@ def _earlier(df):
     return df.filter(F.col("scrape_date") <= EARLIER)
 
 
-def _scores(df):
-    """Unrounded mean scores of a set of records."""
-    docs = _docs(df)
-    return tfidf.fit(docs).mean_scores(docs).select("term", "score")
+def _words(df, *keep):
+    """Terms of records whose text is read once."""
+    return tfidf.read_once(df, tfidf.STOP_WORDS, *keep)
 
 
-def _top(df, k=50):
-    return tfidf.top_corpus_terms(_scores(df).select("term", F.round("score", 6).alias("score")), k)
+def _scores(docs):
+    """Unrounded mean scores of a set of documents."""
+    return tfidf.weigh_once(docs).scores().select("term", "score")
+
+
+def _top(docs):
+    return tfidf.top_corpus_terms(tfidf.corpus_scores(_scores(docs)))
 
 
 # ------------------------------------------------------------ term weights
@@ -105,14 +109,14 @@ def _(spark, d):
 @query("e7_term_weights", with_sql(*_TFIDF, select="select pos, term, round(weight, 6) as weight from c_w"))
 def _(spark, d):
     records = rfps(spark, d)
-    docs = _docs(records, "pos")
+    docs = _words(records, "pos")
     vocab = tfidf.vocabulary(docs, records.agg(F.count("*")).scalar())
     return tfidf.weights(docs, vocab, "pos").withColumn("weight", F.round("weight", 6))
 
 
 @query("e8_top_terms", with_sql(*_TFIDF, select="select rank, term, score from c_top"))
 def _(spark, d):
-    return _top(rfps(spark, d))
+    return _top(_words(rfps(spark, d)))
 
 
 def _group_sql(by: str) -> str:
@@ -126,22 +130,23 @@ select {by}, n, term, round(s, 6) as score, rank from (
 where rank <= 20""")
 
 
+def _group_terms(df, by):
+    return tfidf.top_group_terms(tfidf.weigh_once(_words(df, by), [by]).scores(by), by)
+
+
 @query("e9_top_terms_by_state", _group_sql("state"))
 def _(spark, d):
-    docs = _docs(rfps(spark, d), "state")
-    return tfidf.top_group_terms(tfidf.fit(docs), docs, "state")
+    return _group_terms(rfps(spark, d), "state")
 
 
 @query("e10_top_terms_by_source", _group_sql("source"))
 def _(spark, d):
-    docs = _docs(rfps(spark, d), "source")
-    return tfidf.top_group_terms(tfidf.fit(docs), docs, "source")
+    return _group_terms(rfps(spark, d), "source")
 
 
 @query("g4_top_per_group", _group_sql("scrape_date"))
 def _(spark, d):
-    docs = _docs(rfps(spark, d), "scrape_date")
-    return tfidf.top_group_terms(tfidf.fit(docs), docs, "scrape_date")
+    return _group_terms(rfps(spark, d), "scrape_date")
 
 
 @query("e11_matched_versus_rest", with_sql(TAGGED, tfidf_sql("c", "v_tag"), """d as (
@@ -152,8 +157,8 @@ select 'matched' as side, row_number() over (order by diff desc, term) as rank,
 union all
 select 'unmatched', row_number() over (order by diff, term) as rank, term, diff from d where diff < 0 qualify rank <= 20"""))
 def _(spark, d):
-    docs = _docs(tagged(spark, d), "keyword_match")
-    return tfidf.matched_versus_rest(tfidf.fit(docs), docs)
+    weighed = tfidf.weigh_once(_words(tagged(spark, d), "keyword_match"), ["keyword_match"])
+    return tfidf.matched_versus_rest(weighed.scores("keyword_match"))
 
 
 # ----------------------------------------------------------------- phrases
@@ -186,7 +191,7 @@ def _(spark, d):
 # -------------------------------------------------------------------- gaps
 @query("e15_gap_terms", with_sql(*_TFIDF, select="select rank, term, score from c_gap"))
 def _(spark, d):
-    return drift.gap_terms(_scores(rfps(spark, d)), KEYWORDS)
+    return drift.gap_terms(_scores(_words(rfps(spark, d))), KEYWORDS)
 
 
 @query("h7_terms_no_keyword_covers", with_sql(*_TFIDF, select=f"""
@@ -206,7 +211,7 @@ union all
 select 'missing', row_number() over (order by keyword) as rank, keyword, null,
   greatest(count(*) over () - 30, 0) from {KW_SQL} where keyword not in (select term from c_vocab) qualify rank <= 30"""))
 def _(spark, d):
-    scores = _scores(rfps(spark, d))
+    scores = _scores(_words(rfps(spark, d)))
     found = drift.covered_keywords(scores, KEYWORDS).select(
         F.lit("found").alias("side"), "rank", "keyword", "score", F.lit(0).cast("bigint").alias("remaining")
     )
@@ -220,7 +225,7 @@ def _(spark, d):
 select keyword, round(score, 6) as score from {KW_SQL} left join c_score on term = keyword"""))
 def _(spark, d):
     table = drift.keyword_table(spark, KEYWORDS)
-    scores = _scores(rfps(spark, d))
+    scores = _scores(_words(rfps(spark, d)))
     return table.join(scores, F.col("keyword") == F.col("term"), "left").select("keyword", F.round("score", 6).alias("score"))
 
 
@@ -229,29 +234,30 @@ _TWO_RUNS = (RFPS, tfidf_sql("o", where=f"scrape_date <= '{EARLIER}'"), tfidf_sq
 _TWO_RAKES = (*_TWO_RUNS, rake_sql("q", where=f"scrape_date <= '{EARLIER}'"), rake_sql("r"))
 
 
-def _terms_only(df, ts):
+def _terms_only(docs, ts):
     """A snapshot of one run's top terms."""
-    return _top(df).select(
+    return cut(_top(docs).select(
         F.lit(ts).cast("timestamp").alias("run_ts"), F.lit("tfidf").alias("kind"), "rank", "term", "score"
-    )
+    ))
 
 
-def _full(df, ts):
-    scores = _scores(df)
-    top = tfidf.top_corpus_terms(scores.select("term", F.round("score", 6).alias("score")))
-    return drift.snapshot(F.lit(ts).cast("timestamp"), top, drift.gap_terms(scores, KEYWORDS), rake.top_phrases(df))
+def _full(docs, df, ts):
+    scores = _scores(docs)
+    top = tfidf.top_corpus_terms(tfidf.corpus_scores(scores))
+    return cut(drift.snapshot(F.lit(ts).cast("timestamp"), top, drift.gap_terms(scores, KEYWORDS), rake.top_phrases(df)))
 
 
-def _two(spark, d, build):
-    records = rfps(spark, d)
-    return build(records, RUN_2), build(_earlier(records), RUN_1)
+def _two(spark, d):
+    """Snapshots of the top terms of both runs, from words read once."""
+    docs = _words(rfps(spark, d), "scrape_date")
+    return _terms_only(docs, RUN_2), _terms_only(_earlier(docs), RUN_1)
 
 
 @query("e17_new_and_dropped_terms", with_sql(*_TWO_RUNS, select="""
 select 'new' as change, term, score from c_top where term not in (select term from o_top)
 union all select 'dropped', term, score from o_top where term not in (select term from c_top)"""))
 def _(spark, d):
-    now, old = _two(spark, d, _terms_only)
+    now, old = _two(spark, d)
     new = drift.new_entries(now, old, "tfidf").select(F.lit("new").alias("change"), "term", "score")
     return new.unionByName(drift.dropped_entries(now, old).select(F.lit("dropped").alias("change"), "term", "score"))
 
@@ -259,7 +265,7 @@ def _(spark, d):
 @query("g8_set_difference", with_sql(*_TWO_RUNS, select="""
 select term from c_top except select term from o_top"""))
 def _(spark, d):
-    now, old = _two(spark, d, _terms_only)
+    now, old = _two(spark, d)
     return now.select("term").subtract(old.select("term"))
 
 
@@ -268,7 +274,7 @@ select coalesce(c.term, o.term) as term, o.score as old_score, c.score as new_sc
   case when o.term is null then 'new' when c.term is null then 'dropped' else 'kept' end as status
 from c_top c full join o_top o on c.term = o.term"""))
 def _(spark, d):
-    return drift.term_status(*_two(spark, d, _terms_only))
+    return drift.term_status(*_two(spark, d))
 
 
 @query("e18_rising_terms", with_sql(*_TWO_RUNS, select="""
@@ -277,14 +283,16 @@ select row_number() over (order by round((c.score - o.score) / o.score, 6) desc,
 from c_top c join o_top o using (term) where o.score > 0 and (c.score - o.score) / o.score > 0.10
 order by gain desc, term limit 15"""))
 def _(spark, d):
-    return drift.rising_terms(*_two(spark, d, _terms_only))
+    return drift.rising_terms(*_two(spark, d))
 
 
 @query("e19_new_gaps_and_phrases", with_sql(*_TWO_RAKES, select="""
 select 'gap' as kind, term, score from c_gap where term not in (select term from o_gap)
 union all select 'rake', phrase, score from r_best where phrase not in (select phrase from q_best)"""))
 def _(spark, d):
-    now, old = _two(spark, d, _full)
+    records = rfps(spark, d)
+    docs = _words(records, "scrape_date")
+    now, old = _full(docs, records, RUN_2), _full(_earlier(docs), _earlier(records), RUN_1)
     gaps = drift.new_entries(now, old, "gap").select(F.lit("gap").alias("kind"), "term", "score")
     return gaps.unionByName(drift.new_entries(now, old, "rake").select(F.lit("rake").alias("kind"), "term", "score"))
 
@@ -292,7 +300,7 @@ def _(spark, d):
 @query("e20_baseline_run", with_sql(*_TWO_RUNS, select="""
 select 'baseline' as change, '' as term, cast(0.0 as double) as score, (select count(*) from c_top) as terms"""))
 def _(spark, d):
-    now = cut(_terms_only(rfps(spark, d), RUN_2))
+    now = _terms_only(_words(rfps(spark, d)), RUN_2)
     changes = drift.changes(now, now.filter(F.lit(False)))
     return changes.join(now.agg(F.count("*").alias("terms"), F.lit("baseline").alias("change")), "change")
 
@@ -303,31 +311,34 @@ select (select count(*) from v_rfp) as rfps, (select term from c_top where rank
   (select count(*) from c_top where term not in (select term from o_top)) as new_terms"""))
 def _(spark, d):
     records = rfps(spark, d)
-    scores = _scores(records)
-    top = tfidf.top_corpus_terms(scores.select("term", F.round("score", 6).alias("score")))
+    docs = _words(records, "scrape_date")
+    scores = _scores(docs)
+    top = tfidf.top_corpus_terms(tfidf.corpus_scores(scores))
     gaps = drift.gap_terms(scores, KEYWORDS)
     now = drift.snapshot(F.lit(RUN_2).cast("timestamp"), top, gaps, gaps.limit(0).withColumnRenamed("term", "phrase"))
-    return drift.run_summary(records, now, _terms_only(_earlier(records), RUN_1))
+    return drift.run_summary(records, now, _terms_only(_earlier(docs), RUN_1))
 
 
 @query("a4_term_snapshots", with_sql(*_TWO_RUNS, select="select 'tfidf' as kind, rank, term, score from o_top"))
 def _(spark, d):
     path = fresh_dir(spark)
-    for snap in reversed(_two(spark, d, _terms_only)):
+    for snap in reversed(_two(spark, d)):
         store.append_snapshot(snap, path)
     earlier = drift.previous_run(store.snapshots(spark, path), F.lit(RUN_2).cast("timestamp"))
     return earlier.select("kind", "rank", "term", "score")
 
 
+def _analysed(spark, d):
+    """The whole analysis of a first run."""
+    return analyse(tagged(spark, d), KEYWORDS, store.snapshots(spark, fresh_dir(spark)), F.lit(RUN_2).cast("timestamp"))
+
+
 @query("a8_analysis_report", with_sql(*_TFIDF, rake_sql("r"), select="""
 select 'tfidf' as section, rank, term, score from c_top union all
 select 'rake', rank, phrase, score from r_best union all
 select 'gap', rank, term, score from c_gap"""))
 def _(spark, d):
-    records = rfps(spark, d)
-    scores = _scores(records)
-    top = tfidf.top_corpus_terms(scores.select("term", F.round("score", 6).alias("score")))
-    return report({"top_terms": top, "gaps": drift.gap_terms(scores, KEYWORDS), "phrases": rake.top_phrases(records)})
+    return report(_analysed(spark, d))
 
 
 @query("f7_dashboard_terms", with_sql(*_TFIDF, rake_sql("r"), select="""
@@ -336,7 +347,7 @@ select 'rake', rank, phrase, score from r_best where rank <= 15 union all
 select 'gap', rank, term, score from c_gap where rank <= 15"""))
 def _(spark, d):
     from oppflow.operators.summary import snapshot_slices
-    return snapshot_slices(_full(rfps(spark, d), RUN_2))
+    return snapshot_slices(_analysed(spark, d)["snapshot"])
 
 
 @query("g3_rank_column", with_sql(*_TFIDF, select="""

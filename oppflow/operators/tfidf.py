@@ -1,10 +1,12 @@
 """Term weights over the corpus.
 
-Two passes over the text.  The first counts terms; only term totals are shuffled.
-The second weighs documents with a vocabulary of at most 5000 terms, which every
-task holds, so a document is weighed and normalised inside its row and only mean
-vectors (one per group) are shuffled.
+The text is read once: its words are written as a table.  One pass over them counts terms; only
+term totals are shuffled.  A second weighs documents with a vocabulary of at most 5000 terms, which
+every task holds, so a document is weighed and normalised inside its row.  That pass adds each weight
+to the sums of all its groups (the corpus, its state, its source, ...) at once; one vector per group
+and task is shuffled, and every section of a report is read off the resulting table of sums.
 """
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
@@ -20,6 +22,9 @@ from oppflow.fixed_values import (
 )
 from oppflow.functions.text import alpha_tokens, combined_text, runs, unigrams_and_bigrams
 from oppflow.operators.ranking import ranked, top_per_group
+from oppflow.session import cut
+
+CORPUS = "corpus"  # the group of all documents
 
 
 def with_terms(rfps: DataFrame, stop_words: list[str] = STOP_WORDS, *keep: str) -> DataFrame:
@@ -28,6 +33,12 @@ def with_terms(rfps: DataFrame, stop_words: list[str] = STOP_WORDS, *keep: str)
     return rfps.select(*keep, terms.alias("terms"))
 
 
+def read_once(rfps: DataFrame, stop_words: list[str] = STOP_WORDS, *keep: str) -> DataFrame:
+    """``with_terms`` over words that are written once; pairs are formed again wherever they are read."""
+    words = cut(rfps.select(*keep, alpha_tokens(combined_text(), stop_words).alias("words")))
+    return words.select(*keep, unigrams_and_bigrams(F.col("words")).alias("terms"))
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
     """``(term, tf, df)`` over all documents, one shuffle of term totals.
 
@@ -72,23 +83,43 @@ class TfidfModel:
         unit = Normalizer(inputCol="_scaled", outputCol="weight", p=2.0)
         return unit.transform(scale.transform(counts.transform(docs))).drop("_counts", "_scaled", "terms")
 
-    def mean_scores(self, docs: DataFrame, by: list[str] = ()) -> DataFrame:
-        """``(*by, n, term, score)``: mean weight over all documents of a group.
+    def sums(self, docs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """``(section, value, n, total)``: documents and summed weights of the corpus and of every group.
 
-        Groups are summed map-side into one vector each, so a group that holds a
-        third of all documents sends one vector per task like any other.
+        ``section`` is ``corpus`` or a column of ``by``; records without a value are in no group of that column.
+        Sums are formed map-side, so a group that holds a third of all documents sends one vector per task like any
+        other, and a task sends as many vectors as the columns have values, not as there are combinations of them.
         """
-        out = ", ".join([f"{c} string" for c in by] + ["n bigint", "term string", "score double"])
         if not self.terms:
-            return self.spark.createDataFrame([], out)
-        weighed = self.weigh(docs)
-        means = weighed.groupBy(*by).agg(
-            F.count("*").alias("n"), Summarizer.mean(F.col("weight")).alias("m")
+            return self.spark.createDataFrame([], "section string, value string, n bigint, total array<double>")
+        groups = F.array(
+            F.struct(F.lit(CORPUS).alias("section"), F.lit("").alias("value")),
+            *[F.struct(F.lit(c).alias("section"), F.col(c).cast("string").alias("value")) for c in by],
         )
-        names = F.split(F.lit("\n".join(self.terms)), "\n")
-        return means.select(
-            *by, "n", F.inline(F.arrays_zip(names.alias("term"), vector_to_array("m").alias("score")))
-        ).toDF(*by, "n", "term", "score")
+        member = self.weigh(docs.select("terms", F.filter(groups, lambda g: g["value"].isNotNull()).alias("groups")))
+        each = member.select("weight", F.inline("groups"))
+        summed = each.groupBy("section", "value").agg(F.count("*").alias("n"), Summarizer.sum(F.col("weight")).alias("total"))
+        return summed.withColumn("total", vector_to_array("total"))
+
+    def mean_scores(self, docs: DataFrame, by: str | None = None) -> DataFrame:
+        """``([by,] n, term, score)``: mean weight over all documents, or over those of each group."""
+        return Weighing(self, self.sums(docs, [by] if by else [])).scores(by)
+
+
+@dataclass
+class Weighing:
+    """A weighed corpus: its vocabulary and its few sums."""
+
+    model: TfidfModel
+    sums: DataFrame
+
+    def scores(self, by: str | None = None) -> DataFrame:
+        """``([by,] n, term, score)`` of the corpus, or of the groups of one column."""
+        names = F.split(F.lit("\n".join(self.model.terms)), "\n")
+        own = self.sums.filter(F.col("section") == (by or CORPUS))
+        each = own.select("value", "n", F.inline(F.arrays_zip(names.alias("term"), F.col("total").alias("total"))))
+        group = [F.col("value").alias(by)] if by else []
+        return each.select(*group, "n", "term", (F.col("total") / F.col("n")).alias("score"))
 
 
 def fit(docs: DataFrame) -> TfidfModel:
@@ -98,6 +129,12 @@ def fit(docs: DataFrame) -> TfidfModel:
     return TfidfModel(docs.sparkSession, [r.term for r in rows], [r.idf for r in rows], n_docs)
 
 
+def weigh_once(docs: DataFrame, by: Sequence[str] = ()) -> Weighing:
+    """Fit and weigh; the sums are written once, whatever number of sections reads them."""
+    model = fit(docs)
+    return Weighing(model, cut(model.sums(docs, by)))
+
+
 def weights(docs: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
     """The same weights as rows ``(key, term, weight)`` for a given vocabulary table.
 
@@ -115,31 +152,26 @@ def _score(score: str = "score") -> Column:
     return F.round(F.col(score), 6)
 
 
-def corpus_scores(model: TfidfModel, docs: DataFrame) -> DataFrame:
-    """``(term, score)`` for the whole vocabulary."""
-    return model.mean_scores(docs).select("term", _score().alias("score"))
+def corpus_scores(scores: DataFrame) -> DataFrame:
+    """``(term, score)``, rounded."""
+    return scores.select("term", _score().alias("score"))
 
 
 def top_corpus_terms(scores: DataFrame, k: int = TOP_TERMS) -> DataFrame:
     return ranked(scores.select("term", "score"), [F.desc("score"), F.asc("term")], k)
 
 
-def top_group_terms(model: TfidfModel, docs: DataFrame, by: str, k: int = TOP_TERMS_PER_GROUP) -> DataFrame:
-    """Top terms of every group of five or more records."""
-    scores = (
-        model.mean_scores(docs.filter(F.col(by).isNotNull()), [by])
-        .filter((F.col("n") >= MIN_GROUP_ROWS) & (F.col("score") > 0))
-        .withColumn("score", _score())
-    )
-    return top_per_group(scores, [by], [F.desc("score"), F.asc("term")], k)
+def top_group_terms(scores: DataFrame, by: str, k: int = TOP_TERMS_PER_GROUP) -> DataFrame:
+    """Top terms of every group of five or more records.  ``scores([by], n, term, score)``."""
+    kept = scores.filter((F.col("n") >= MIN_GROUP_ROWS) & (F.col("score") > 0)).withColumn("score", _score())
+    return top_per_group(kept, [by], [F.desc("score"), F.asc("term")], k)
 
 
-def matched_versus_rest(model: TfidfModel, docs: DataFrame, k: int = TOP_TERMS_PER_GROUP) -> DataFrame:
-    """Terms whose mean differs most between matched and unmatched records."""
-    means = model.mean_scores(docs.withColumn("side", F.col("keyword_match").cast("string")), ["side"])
+def matched_versus_rest(means: DataFrame, k: int = TOP_TERMS_PER_GROUP) -> DataFrame:
+    """Terms whose mean differs most between matched and unmatched records.  ``means`` by ``keyword_match``."""
     both = means.groupBy("term").agg(
         *[
-            F.max(F.when(F.col("side") == side, F.col(col))).alias(f"{col}_{side}")
+            F.max(F.when(F.col("keyword_match") == side, F.col(col))).alias(f"{col}_{side}")
             for side in ("true", "false")
             for col in ("n", "score")
         ]

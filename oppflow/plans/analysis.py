@@ -7,6 +7,8 @@ from oppflow.operators import drift, rake, summary, tfidf
 from oppflow.operators.dashboard import full_database
 from oppflow.session import cut
 
+GROUPS = ("state", "source", "keyword_match")  # what terms are compared by
+
 
 def analyse(
     rfps: DataFrame, keywords: list[str], snapshots: DataFrame, run_ts: Column,
@@ -14,26 +16,22 @@ def analyse(
 ) -> dict[str, DataFrame]:
     """Report sections by name, plus ``snapshot`` to append for the next run.
 
-    Token arrays are written once to shared storage: the vocabulary pass and every
-    weighing read them instead of the text.
+    Words are written once, and so are the sums of the one weighing that all term sections read.
     """
-    docs = cut(tfidf.with_terms(rfps, stop_words, "state", "source", "keyword_match"))
-    model = tfidf.fit(docs)
-    scores = cut(model.mean_scores(docs).select("term", "score"))
-    rounded = scores.select("term", F.round("score", 6).alias("score"))
-    top = tfidf.top_corpus_terms(rounded)
-    gaps = drift.gap_terms(scores, keywords)
-    phrases = rake.top_phrases(rfps, stop_words)
-    snap = cut(drift.snapshot(run_ts, top, gaps, phrases))
+    weighed = tfidf.weigh_once(tfidf.read_once(rfps, stop_words, *GROUPS), GROUPS)
+    scores = weighed.scores().select("term", "score")
+    snap = cut(drift.snapshot(
+        run_ts, tfidf.top_corpus_terms(tfidf.corpus_scores(scores)), drift.gap_terms(scores, keywords),
+        rake.top_phrases(rfps, stop_words)))
     before = drift.previous_run(snapshots, run_ts)
     return {
         "header": summary.corpus_header(rfps),
-        "top_terms": top,
-        "state_terms": tfidf.top_group_terms(model, docs, "state"),
-        "source_terms": tfidf.top_group_terms(model, docs, "source"),
-        "matched_terms": tfidf.matched_versus_rest(model, docs),
-        "phrases": phrases,
-        "gaps": gaps,
+        "top_terms": _listed(snap, "tfidf", "term"),
+        "state_terms": tfidf.top_group_terms(weighed.scores("state"), "state"),
+        "source_terms": tfidf.top_group_terms(weighed.scores("source"), "source"),
+        "matched_terms": tfidf.matched_versus_rest(weighed.scores("keyword_match")),
+        "phrases": _listed(snap, "rake", "phrase"),
+        "gaps": _listed(snap, "gap", "term"),
         "covered_keywords": drift.covered_keywords(scores, keywords),
         "missing_keywords": drift.missing_report(drift.missing_keywords(scores, keywords)),
         "changes": drift.changes(snap, before),
@@ -42,6 +40,11 @@ def analyse(
     }
 
 
+def _listed(snap: DataFrame, kind: str, name: str) -> DataFrame:
+    """A ranked list of this run, read from its snapshot."""
+    return snap.filter(F.col("kind") == kind).select("rank", F.col("term").alias(name), "score")
+
+
 def report(sections: dict[str, DataFrame]) -> DataFrame:
     """The ranked lists of the analysis as one table ``(section, rank, term, score)``."""
     parts = [("tfidf", sections["top_terms"], "term", "score"), ("rake", sections["phrases"], "phrase", "score"),

@@ -113,7 +113,7 @@ def test_small_groups_are_left_out(spark):
     rows = [("A", "water road salt", "", "")] * 5 + [("B", "water sewer pipe", "", "")] * 4
     df = spark.createDataFrame(rows, "state string, title string, description string, agency string")
     docs = tfidf.with_terms(df, tfidf.STOP_WORDS, "state")
-    assert {r.state for r in tfidf.top_group_terms(tfidf.fit(docs), docs, "state").collect()} == {"A"}
+    assert {r.state for r in tfidf.top_group_terms(tfidf.fit(docs).mean_scores(docs, "state"), "state").collect()} == {"A"}
 
 
 def test_empty_vocabulary(spark):
@@ -219,3 +219,23 @@ def test_missing_keywords_report(spark):
     missing = drift.missing_report(drift.missing_keywords(scores, words)).collect()
     assert len(missing) == 30 and {r.remaining for r in missing} == {3}
     assert [r.keyword for r in drift.covered_keywords(scores, words).collect()] == ["road"]
+
+
+def test_one_pass_gives_the_sums_of_every_group(spark):
+    rows = [("TX" if i % 3 else None, "s", i % 2 == 0, f"water {'road' if i % 2 else 'salt'} pump{i % 4} x{i}", "", "") for i in range(24)]
+    df = spark.createDataFrame(rows, "state string, source string, keyword_match boolean, title string, description string, agency string")
+    docs = tfidf.read_once(df, tfidf.STOP_WORDS, "state", "source", "keyword_match")
+    weighed = tfidf.weigh_once(docs, ["state", "source", "keyword_match"])
+    plan = weighed.model.sums(docs, ["state", "source", "keyword_match"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == plan.count("Exchange hashpartitioning") == 1
+    assert {(r.section, r.value): r.n for r in weighed.sums.collect()} == {
+        ("corpus", ""): 24, ("state", "TX"): 16, ("source", "s"): 24, ("keyword_match", "true"): 12, ("keyword_match", "false"): 12}
+    model = weighed.model
+    each = {by: {r.term: r.score for r in weighed.scores(by).collect() if by != "keyword_match" or r.keyword_match == "true"} for by in (None, "state", "keyword_match")}
+    parts = {None: docs, "state": docs.filter("state = 'TX'"), "keyword_match": docs.filter("keyword_match")}
+    vocab = spark.createDataFrame(list(zip(model.terms, model.idf)), "term string, idf double")
+    for by, part in parts.items():
+        keyed = part.withColumn("k", F.monotonically_increasing_id())
+        n = part.count()
+        plain = {r.term: r.s for r in tfidf.weights(keyed, vocab, "k").groupBy("term").agg((F.sum("weight") / n).alias("s")).collect()}
+        assert {t: s for t, s in each[by].items() if s > 0} == pytest.approx(plain)
