@@ -2,10 +2,12 @@
 from pyspark.sql import functions as F
 
 from oppflow.catalog.base import (
-    AS_OF, AWARDS, MEMBERS, TAGGED, awards, fresh_dir, query, table, tagged, with_sql,
+    AS_OF, AWARDS, MEMBERS, RFPS, TAGGED, awards, fresh_dir, query, rfps, table, tagged, with_sql,
 )
+from oppflow.functions.text import match_text
 from oppflow.operators import digest as G
 from oppflow.operators import preferences as P
+from oppflow.operators.matching import phrase_hits
 from oppflow.plans.preference_sync import PreferenceStore, digest_patterns, sync
 from oppflow.schema import RFP_TEXT_COLUMNS
 
@@ -128,15 +130,26 @@ def _(spark, d):
 
 @query("h6_members_by_pattern_large_dictionary", with_sql(TAGGED, _MEMBER_SQL, select=_ALL_HITS))
 def _(spark, d):
-    """The way that does not send the dictionary to every task."""
-    from oppflow.functions.text import match_text
-    from oppflow.operators.matching import hits_by_gram
+    """The same hits where members' patterns lie among all first lines of the corpus."""
     lowered = base_patterns(spark).select("email", F.lower("pattern").alias("phrase"))
-    texts = stored(spark, d).select("pos", F.lower(match_text()).alias("text"))
-    hits = hits_by_gram(texts, "pos", "text", lowered.select("phrase").distinct())
+    records = stored(spark, d)
+    texts = records.select("pos", F.lower(match_text()).alias("text"))
+    lines = records.select(F.lower("title").alias("phrase"))
+    hits = phrase_hits(texts, "pos", "text", lowered.select("phrase").unionByName(lines).distinct())
     return hits.join(lowered, "phrase").select("email", "pos").distinct()
 
 
+@query("h6_texts_per_phrase", with_sql(RFPS, """v_low as (select pos, lower(concat_ws(' ', title, description, agency)) as text from v_rfp),
+v_phrase as (select distinct lower(substr(description, 101, 24)) as phrase from v_rfp where length(description) > 101)""", select="""
+select phrase, count(*) as n from v_phrase join v_low on contains(text, phrase) group by phrase"""))
+def _(spark, d):
+    """How many records hold each of as many phrases as there are records; most share their starts with others."""
+    records = rfps(spark, d)
+    texts = records.select("pos", F.lower(match_text()).alias("text"))
+    phrases = records.filter(F.length("description") > 101).select(F.lower(F.substring("description", 101, 24)).alias("phrase")).distinct()
+    return phrase_hits(texts, "pos", "text", phrases).groupBy("phrase").agg(F.count("*").alias("n"))
+
+
 @query("i5_personal_digest", with_sql(TAGGED, _WEEK, _MEMBER_SQL, _HITS, select="select email, pos, state from v_hit"))
 def _(spark, d):
     week = G.past_week(stored(spark, d), AS_OF)

@@ -8,6 +8,7 @@ from oppflow.fixed_values import DIGEST_ORDER, STATES
 from oppflow.functions.text import match_text
 from oppflow.operators.matching import phrase_hits, small
 from oppflow.schema import or_empty
+from oppflow.session import cut
 
 DASH = "—"
 UNLISTED = 1_000_000
@@ -66,8 +67,8 @@ def group_flags(rfps: DataFrame) -> DataFrame:
 def digest_rows(rfps: DataFrame, labels: DataFrame, *keep: str) -> DataFrame:
     """The rows of the digest with section label, place and section flags.
 
-    Section totals are one row per state; joined back they are small enough for
-    the adaptive planner to send to every task, so a large section stays spread.
+    Section totals are one row per state.  They are written first, so their size is known where
+    they are joined back: as small as they are, they go to the records, and no record is shuffled.
     """
     def shown(name: str) -> Column:
         return F.coalesce(F.nullif(or_empty(name), F.lit("")), F.lit(DASH)).alias(name)
@@ -76,7 +77,7 @@ def digest_rows(rfps: DataFrame, labels: DataFrame, *keep: str) -> DataFrame:
         (or_empty("recipient") != "") & (or_empty("recipient_state") != ""),
         F.concat_ws(", ", "recipient", "recipient_state"),
     ).otherwise(F.coalesce(F.nullif(or_empty("recipient"), F.lit("")), F.lit(DASH)))
-    flagged = _labelled(rfps.join(group_flags(rfps), "state"), labels)
+    flagged = _labelled(rfps.join(cut(group_flags(rfps)), "state"), labels)
     return flagged.select(
         *keep, "ord", "state", "label", "group_rows", "has_recipient", "has_pi",
         shown("rfp_id"), shown("title"), shown("agency"),

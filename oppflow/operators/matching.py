@@ -2,13 +2,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oppflow.functions.phrases import phrase_pattern
+from oppflow.session import cut
 
 BROADCAST_PHRASES = 5000
 BROADCAST_CHARS = 1_000_000
-BROADCAST_GRAMS = 300_000
-GRAM = 3
-START = 40
+PIECE = 4  # characters a phrase is indexed by
+BLOCK = 64  # characters of a block of text
+BUCKETS = 1 << 20
 
 
 def fits(df: DataFrame, column: str, rows: int = BROADCAST_PHRASES, chars: int = BROADCAST_CHARS) -> bool:
@@ -30,52 +30,62 @@ def small(df: DataFrame, column: str) -> DataFrame:
 def phrase_hits(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
     """Pairs ``(key, phrase)`` where the phrase occurs in the text; both lower case.
 
-    ``phrases(phrase)`` is distinct.  A small dictionary travels with the plan and is
-    tested inside the row.  A large one is joined on three-character pieces:
-    a text that holds a phrase holds the phrase's first piece, so the equi-join
-    finds every candidate and the literal test settles it.
+    ``phrases(phrase)`` is distinct and of any size.  Every phrase is indexed under one piece of ``PIECE`` characters, the one
+    that the texts hold least often, so phrases with common starts do not meet at them.  Texts are read in blocks; a
+    position whose piece is indexed goes on with the few characters around it, never with its text, and is compared there.
+    Only phrases longer than a block are compared with whole texts, where their first block's length was found.
+    Empty phrases and null texts have no hits.
     """
-    if fits(phrases, "phrase"):
-        return hits_in_row(texts, key, text, phrases)
-    return hits_by_gram(texts, key, text, phrases)
-
-
-def hits_in_row(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
-    # at most BROADCAST_PHRASES rows, checked by the caller
-    words = sorted(row.phrase for row in phrases.collect() if row.phrase)
-    if not words:
+    index = cut(rarest_pieces(phrases, texts, text))
+    sizes = sorted(r[0] for r in index.select(F.length("piece")).distinct().collect())  # at most PIECE values
+    if not sizes:
         return texts.select(key, F.lit("").alias("phrase")).filter(F.lit(False))
-    # one pass finds the texts with any hit; the start of a phrase is enough for that
-    some = phrase_pattern([w[:START] for w in words])
-    dictionary = F.array(*[F.lit(w) for w in words])
-    found = F.filter(dictionary, lambda p: F.contains(F.col(text), p))
-    return texts.filter(F.col(text).rlike(some)).select(key, F.explode(found).alias("phrase"))
-
-
-def hits_by_gram(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
-    keyed = phrases.filter("phrase <> ''").withColumn("gram", F.left("phrase", F.lit(GRAM)))
-    short = keyed.filter(F.length("phrase") < GRAM).agg(F.count("*")).first()[0]
-    sizes = range(1, GRAM + 1) if short else [GRAM]
-    # the empty match moves on by one character, so every start position is seen
-    grams = [F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes]
-    # one row per distinct piece of a text
-    pieces = texts.select(key, F.explode(F.array_distinct(F.concat(*grams))).alias("gram"))
-    starts = keyed.select("gram").distinct()
-    if fits(starts, "gram", rows=BROADCAST_GRAMS):
-        # most pieces start no phrase: drop them before anything is shuffled
-        pieces = pieces.join(F.broadcast(starts), "gram", "left_semi")
-    # a piece can be in every text, so its rows are cut into slices by text
-    slices = 16
-    sliced = keyed.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    candidates = pieces.withColumn("slice", F.pmod(F.xxhash64(key), F.lit(slices)).cast("int")).join(
-        sliced, ["gram", "slice"]
-    )
-    return (
-        candidates.select(key, "phrase")
-        .join(texts.select(key, text), key)
-        .filter(F.contains(F.col(text), F.col("phrase")))
-        .select(key, "phrase")
-    )
+    places = blocks(texts, key, text).withColumn("at", F.explode(F.sequence(F.lit(1), "n"))).withColumn("at", F.col("at") + F.col("before"))
+    cuts = [F.substring("window", F.col("at"), F.lit(size)) for size in sizes]
+    pieces = places.select(key, "window", "at", (F.explode(F.array(*cuts)) if len(cuts) > 1 else cuts[0]).alias("piece"))
+    met = indexed(pieces, index).join(index, "piece")
+    start = F.col("at") - F.col("place") + 1
+    met = met.filter((start >= 1) & (F.substring("window", start, F.length("head")) == F.col("head")))
+    whole = F.length("phrase") <= BLOCK
+    hits = met.filter(whole).select(key, "phrase").distinct()
+    if index.filter(~whole).isEmpty():
+        return hits
+    long = met.filter(~whole).select(key, "phrase").distinct().join(texts.select(key, text), key)
+    return hits.unionByName(long.filter(F.contains(F.col(text), F.col("phrase"))).select(key, "phrase").distinct())
+
+
+def rarest_pieces(phrases: DataFrame, texts: DataFrame, text: str) -> DataFrame:
+    """``(phrase, head, piece, place)``: the piece of each phrase's head that the texts hold least often.
+
+    Texts are counted in pieces side by side, which finds every position of a piece equally often in the long run and
+    makes a row of every ``PIECE`` characters.  The counts choose the piece and nothing else.
+    """
+    heads = phrases.filter("phrase <> ''").select("phrase", F.left("phrase", F.lit(BLOCK)).alias("head"))
+    places = F.sequence(F.lit(1), F.greatest(F.length("head") - PIECE + 1, F.lit(1)))
+    pieces = heads.select("phrase", "head", F.explode(places).alias("place"))
+    pieces = cut(pieces.withColumn("piece", F.substring("head", F.col("place"), F.lit(PIECE))))
+    side_by_side = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{{PIECE}}}"), F.lit(0))
+    seen = indexed(texts.select(F.explode(side_by_side).alias("piece")), pieces).groupBy("piece").agg(F.count("*").alias("n"))
+    counted = pieces.join(seen, "piece", "left")
+    best = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece", "place", "head")).alias("best")
+    return counted.groupBy("phrase").agg(best).select("phrase", "best.head", "best.piece", "best.place")
+
+
+def blocks(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, window, before, n)``: each block of a text between its neighbours; it has ``n`` characters after ``before``."""
+    parts = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    each = texts.select(key, parts.alias("parts")).select(key, "parts", F.posexplode("parts").alias("i", "part"))
+    before, after = (F.coalesce(F.get("parts", F.col("i") + step), F.lit("")) for step in (-1, 1))
+    return each.select(key, F.concat(before, "part", after).alias("window"), F.length(before).alias("before"), F.length("part").alias("n"))
+
+
+def indexed(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """Rows whose ``piece`` may be one of the index: a broadcast of at most ``BUCKETS`` numbers, however large the index."""
+    def bucket(piece: str):
+        return F.pmod(F.xxhash64(piece), F.lit(BUCKETS))
+
+    numbers = index.select(bucket("piece").alias("bucket")).distinct()
+    return rows.withColumn("bucket", bucket("piece")).join(F.broadcast(numbers), "bucket", "left_semi").drop("bucket")
 
 
 def covered_by(term, phrases: list[str]):

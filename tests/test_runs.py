@@ -1,9 +1,11 @@
 """Runs with memory: deduplication, expiry, drift, preferences, digests."""
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from oppflow.operators import digest, drift, identity, preferences, tfidf
-from oppflow.operators.matching import hits_by_gram, join_hot, phrase_hits
+from oppflow.operators.matching import BLOCK, join_hot, phrase_hits
 from oppflow.plans import analysis, ingest
 from oppflow.sources import store
 
@@ -188,14 +190,34 @@ def test_week_has_eight_dates(spark):
     assert digest.past_week(days, "2025-01-08").count() == 8
 
 
-def test_phrase_search_both_ways(spark):
-    texts = [(i, t) for i, t in enumerate(["xrewhan der", "de r", "", "ab", "über die der\nbrücke"])]
+def test_phrase_search(spark):
+    texts = [(i, t) for i, t in enumerate(["xrewhan der", "de r", "", "ab", "über die der\nbrücke", None, "😀ab😀", "der"])]
     df = spark.createDataFrame(texts, "pos bigint, text string")
-    words = ["rewh", "der", "b", "ab", "r\nb", "zzz", "ü"]
+    words = ["rewh", "der", "b", "ab", "r\nb", "zzz", "ü", "rewhan der", "über die der\nbrücke", "😀", "", "xrewhan derx"]
     phrases = spark.createDataFrame([(w,) for w in words], "phrase string")
-    expected = {(i, w) for i, t in texts for w in words if w in t}
-    for found in (phrase_hits(df, "pos", "text", phrases), hits_by_gram(df, "pos", "text", phrases)):
-        assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
+    expected = {(i, w) for i, t in texts for w in words if t and w and w in t}
+    assert sorted(tuple(r) for r in phrase_hits(df, "pos", "text", phrases).collect()) == sorted(expected)
+    assert phrase_hits(df.limit(0), "pos", "text", phrases).collect() == phrase_hits(df, "pos", "text", phrases.limit(0)).collect() == []
+
+
+def test_phrase_search_over_block_ends(spark):
+    rng = random.Random(5)
+    texts = [(i, "".join(rng.choices("abcö ", weights=(8, 4, 2, 1, 3), k=rng.choice((3, 63, 64, 65, 130, 400))))) for i in range(60)]
+    long = [t for _, t in texts if len(t) > 200]
+    words = {t[a: a + n] for t in long for a, n in [(rng.randrange(100), rng.choice((1, 3, 4, 5, 20, BLOCK - 1, BLOCK, BLOCK + 1, 150))) for _ in range(8)]}
+    words |= {w + "b" for w in words if len(w) > 3} | {"a" * n for n in (4, 9, 70)}
+    df = spark.createDataFrame(texts, "pos bigint, text string").repartition(3)
+    found = phrase_hits(df, "pos", "text", spark.createDataFrame([(w,) for w in words], "phrase string"))
+    assert sorted(tuple(r) for r in found.collect()) == sorted((i, w) for i, t in texts for w in words if w in t)
+
+
+def test_phrase_search_of_a_large_dictionary_with_common_starts(spark):
+    """A hundred thousand phrases that differ at the end; every one meets its own text and no other."""
+    n = 100_000
+    phrases = spark.range(n).select(F.format_string("department of water %06d", "id").alias("phrase"))
+    texts = spark.range(0, n, 50).select(F.col("id").alias("pos"), F.format_string("the department of water %06d and the department of water", "id").alias("text"))
+    found = phrase_hits(texts, "pos", "text", phrases)
+    assert found.count() == n // 50 == found.filter(F.col("phrase").endswith(F.lpad(F.col("pos").cast("string"), 6, "0"))).count()
 
 
 def test_member_without_patterns_gets_nothing(spark):
