@@ -40,11 +40,11 @@ def phrase_hits(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> Da
     sizes = sorted(r[0] for r in index.select(F.length("piece")).distinct().collect())  # at most PIECE values
     if not sizes:
         return texts.select(key, F.lit("").alias("phrase")).filter(F.lit(False))
-    places = blocks(texts, key, text).withColumn("at", F.explode(F.sequence(F.lit(1), "n"))).withColumn("at", F.col("at") + F.col("before"))
-    cuts = [F.substring("window", F.col("at"), F.lit(size)) for size in sizes]
-    pieces = places.select(key, "window", "at", (F.explode(F.array(*cuts)) if len(cuts) > 1 else cuts[0]).alias("piece"))
+    places = blocks(texts, key, text).withColumn("at", F.explode(F.sequence(F.lit(1), "n")))
+    cuts = [F.substring("reach", F.col("at"), F.lit(size)) for size in sizes]
+    pieces = places.select(key, "window", "before", "at", (F.explode(F.array(*cuts)) if len(cuts) > 1 else cuts[0]).alias("piece"))
     met = indexed(pieces, index).join(index, "piece")
-    start = F.col("at") - F.col("place") + 1
+    start = F.col("before") + F.col("at") - F.col("place") + 1
     met = met.filter((start >= 1) & (F.substring("window", start, F.length("head")) == F.col("head")))
     whole = F.length("phrase") <= BLOCK
     hits = met.filter(whole).select(key, "phrase").distinct()
@@ -65,18 +65,24 @@ def rarest_pieces(phrases: DataFrame, texts: DataFrame, text: str) -> DataFrame:
     pieces = heads.select("phrase", "head", F.explode(places).alias("place"))
     pieces = cut(pieces.withColumn("piece", F.substring("head", F.col("place"), F.lit(PIECE))))
     side_by_side = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{{PIECE}}}"), F.lit(0))
-    seen = indexed(texts.select(F.explode(side_by_side).alias("piece")), pieces).groupBy("piece").agg(F.count("*").alias("n"))
+    seen = indexed(texts.select(F.explode_outer(side_by_side).alias("piece")), pieces).groupBy("piece").agg(F.count("*").alias("n"))
     counted = pieces.join(seen, "piece", "left")
     best = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece", "place", "head")).alias("best")
     return counted.groupBy("phrase").agg(best).select("phrase", "best.head", "best.piece", "best.place")
 
 
 def blocks(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, window, before, n)``: each block of a text between its neighbours; it has ``n`` characters after ``before``."""
+    """``(key, window, before, reach, n)``: each block of a text between its neighbours.
+
+    It has ``n`` characters after ``before`` in the window; ``reach`` is the block and the end of its last piece.
+    (``explode`` would cut every text once more, to drop those without blocks before.)
+    """
     parts = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
-    each = texts.select(key, parts.alias("parts")).select(key, "parts", F.posexplode("parts").alias("i", "part"))
+    each = texts.select(key, parts.alias("parts")).select(key, "parts", F.posexplode_outer("parts").alias("i", "part"))
     before, after = (F.coalesce(F.get("parts", F.col("i") + step), F.lit("")) for step in (-1, 1))
-    return each.select(key, F.concat(before, "part", after).alias("window"), F.length(before).alias("before"), F.length("part").alias("n"))
+    return each.select(
+        key, F.concat(before, "part", after).alias("window"), F.length(before).alias("before"),
+        F.concat("part", F.left(after, F.lit(PIECE - 1))).alias("reach"), F.length("part").alias("n"))
 
 
 def indexed(rows: DataFrame, index: DataFrame) -> DataFrame:
