@@ -10,8 +10,13 @@ Collision check: of entities that draw the same surrogate the alphabetically fir
 surrogate may be an entity of the corpus; the others draw again.  So different entities stay different, and an entity has
 one surrogate in all documents.  The key decides all; without it surrogates cannot be traced.
 
+Coreference: where a document names a person, the bare surname gets the same surrogate in the rest of that document.  Such
+bare surnames are not counted as mentions.  Function words are no surnames; names of streets, days and institutions, and
+version numbers, are no personal data and stay.
+
 Null texts stay null, texts without mentions stay as they are.  Repeated rows are treated alike.  All columns
-are kept; a column ``n_chars`` is brought up to date.  An empty table gives an empty result.
+are kept; a column ``n_chars`` is brought up to date.  An empty table gives an empty result.  Very long texts are treated
+whole, in their row.
 """
 from functools import reduce
 
@@ -22,23 +27,37 @@ from pyspark.sql import functions as F
 from oppflow.session import cut
 
 # ---- fixed values: titles and common first names by gender, letters by script, syllables of made-up surnames
-TITLES = {"m": "Mr Herr Monsieur Señor Sr Господин", "f": "Mrs Ms Miss Frau Madame Mme Señora Sra Госпожа", "u": "Dr Prof"}
+TITLES = {"m": "Mr Herr Monsieur Señor Sr Господин Κύριος Κύριε", "f": "Mrs Ms Miss Frau Madame Mme Señora Sra Госпожа Κυρία", "u": "Dr Prof Dra"}
 FIRST_NAMES = {
-    ("latin", "m"): "James John Robert Michael David Thomas Daniel Paul Peter Martin Lukas Pierre Carlos Miguel Hans Klaus",
-    ("latin", "f"): "Mary Anna Linda Susan Karen Laura Emma Julia Sophie Marie Elena Carmen Claire Petra Ingrid Monika",
+    ("latin", "m"): "James John Robert Michael David Thomas Daniel Paul Peter Martin Lukas Pierre Carlos Miguel Hans Klaus"
+    " William George Charles Richard Joseph Andrew Stephen Stefan Wolfgang Jürgen Jean François Juan José Luis Marco Giovanni Ahmed Mohammed Omar Arjun Rahul Wei Hiroshi Kenji",
+    ("latin", "f"): "Mary Anna Linda Susan Karen Laura Emma Julia Sophie Marie Elena Carmen Claire Petra Ingrid Monika"
+    " Elizabeth Sarah Jennifer Patricia Barbara Margaret Alice Ursula Sabine Nathalie Isabelle Ana Lucía Sofia Giulia Fatima Aisha Priya Anjali Yuki Keiko",
     ("cyrillic", "m"): "Иван Пётр Сергей Андрей Дмитрий Алексей Николай Михаил Павел Юрий Олег Игорь Борис Виктор Антон Роман",
     ("cyrillic", "f"): "Анна Мария Елена Ольга Татьяна Наталья Ирина Светлана Юлия Дарья Вера Нина Лидия Галина Софья Тамара",
+    ("greek", "m"): "Γιώργος Νίκος Δημήτρης Κώστας Γιάννης Παναγιώτης Βασίλης Χρήστος Θανάσης Μιχάλης Σπύρος Στέλιος",
+    ("greek", "f"): "Μαρία Ελένη Κατερίνα Βασιλική Σοφία Αγγελική Γεωργία Δήμητρα Ιωάννα Χριστίνα Παρασκευή Αναστασία",
 }
 SYLLABLES = {
     "latin": "bar bel bor dal den dor fal fen gar hal hen jor kal kel lan len lor mar mel mor nal nor pal ren ros sal sel tan tor val ven wes",
+    "greek": "βαλ βερ γαλ γερ δαν δορ ζαλ θαλ καλ κελ κορ λαν λεν λορ μαρ μελ μον ναρ νελ παλ περ ραν ροδ σαλ σελ ταν τορ φαλ φεν χαλ χερ ψαλ",
     "cyrillic": "бар бел бор вал вел гор дан дор зар кал кел кор лан лен лор мар мел мор нал нор пал рен рос сал сел сор тан тел тор фал хан чер",
 }
+# what follows or precedes a name that names a street, a day or an institution; capitalised words that are no surnames
+NAMED_AFTER = "Day Street St Road Rd Avenue Ave Boulevard Drive Lane Square Park Bridge Airport University College School Hospital Prize Straße Strasse Platz Allee Weg"
+NAMED_BEFORE = "Rue Place Calle Avenida Plaza Via Улица Проспект"
+NO_SURNAMES = (
+    "The This That These Those He She It We They You His Her Our In On At Of And But Or If As Is Was Are Has To By For From With Not Der Die Das Den Dem "
+    "Ein Eine Und Oder Ist War Im Am Er Sie Es Wir Ich Le La Les Un Une Et Ou Il Elle Est Dans El Los Las Una En Es De Del Du Des")
 LETTERS = {"cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 # ----
 
 _TITLE = "(?:" + "|".join(" ".join(TITLES.values()).split()) + r")\.?"
 _KNOWN = "(?:" + "|".join(" ".join(FIRST_NAMES.values()).split()) + ")"
-_NAME = r"\p{Lu}\p{Ll}[\p{L}'\-]{0,30}"
+# an apostrophe or hyphen inside, but not before a genitive s or the end
+_NAME = r"\p{Lu}(?:'\p{Lu})?\p{Ll}(?:\p{L}|['’\-](?!s?(?!\p{L}))){0,30}"
+_NO_PLACE = rf"(?!(?: {_NAME}){{0,3}} (?:{'|'.join(NAMED_AFTER.split())})(?!\p{{L}}))"
+_PLACE_BEFORE = rf"(?<!(?:{'|'.join(NAMED_BEFORE.split())}) )"
 _SEP = r"(?: ?\(|\)[ .\-/]?|[ .\-/])?"  # between the digits of a phone number
 _HEX = "[0-9a-fA-F]{1,4}"
 _BARE_SECRET = (
@@ -61,10 +80,10 @@ PATTERNS = {
              r"|(?<!\d[.,])0[1-9](?:[ .\-]\d\d){4})(?!\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{4,5})(?!\d)",
-    "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
+    "ip": r"(?<![\d.])(?<!(?i:[^\p{L}]v|version|release|build)[ :.]{0,2})\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
     # eight groups, or fewer with :: and a digit
     "ip6": rf"(?<![\p{{L}}\p{{N}}:])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[a-fA-F:]{{0,39}}\d)(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?=[a-fA-F:]{{0,39}}\d)(?:{_HEX}:){{2,7}}:)(?![\p{{L}}\p{{N}}:])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE}(?: {_NAME}){{1,3}}|{_KNOWN} {_NAME})(?![\p{{L}}\p{{N}}])",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){_PLACE_BEFORE}(?:(?:{_TITLE} ){{1,3}}(?!{_TITLE}(?!\p{{L}})){_NAME}(?: {_NAME}){{0,2}}|{_KNOWN} {_NAME})(?![\p{{L}}\p{{N}}]){_NO_PLACE}",
 }
 MENTION = "|".join(PATTERNS.values())
 FOUND_TYPES = list(PATTERNS)
@@ -80,7 +99,7 @@ def kind_of(mention: Column) -> Column:
 
 
 def script_of(text: Column) -> Column:
-    return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+    return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").when(text.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
 def only_digits(text: Column) -> Column:
@@ -97,7 +116,7 @@ def gender_of(token: Column) -> Column:
 
 
 def name_parts(mention: Column) -> Column:
-    """Parts of a name: title as it is, then first names by gender, last a surname."""
+    """Parts of a name: titles as they are, then first names by gender, last a surname."""
     tokens = F.split(mention, " ")
     titled = mention.rlike(rf"^{_TITLE} ")
     gender = gender_of(F.get(tokens, F.lit(0)))
@@ -105,7 +124,8 @@ def name_parts(mention: Column) -> Column:
     def part(token: Column, i: Column) -> Column:
         first = F.concat(F.lit("first_"), F.when(gender != "u", gender).otherwise(gender_of(token)), F.lit("_"), script_of(token))
         last = F.concat(F.lit("last_"), script_of(token))
-        kind = F.when(titled & (i == 0), "as_is").when(i == F.size(tokens) - 1, last).otherwise(first)
+        title = (i == 0) | F.regexp_replace(token, r"\.$", "").isin(" ".join(TITLES.values()).split())
+        kind = F.when(titled & title, "as_is").when(i == F.size(tokens) - 1, last).otherwise(first)
         return F.struct(i.alias("pos"), kind.alias("type"), F.lower(token).alias("canon"), F.lit("").alias("before"), token.alias("raw"), F.lit("").alias("after"))
     return F.transform(tokens, part)
 
@@ -251,14 +271,30 @@ def rendered(raw: Column, kind: Column, other: Column) -> Column:
 
 
 def mention_table(mentions: DataFrame, key: str) -> DataFrame:
-    """(mention, instead) of the distinct mentions."""
+    """(mention, instead, surname) of the distinct mentions; ``surname`` is that of a name, as it was and as it is now."""
     pieces = cut(mentions.select("mention").distinct().select("mention", F.explode(parts_of(F.col("mention"))).alias("p")).select("mention", "p.*"))
     entities = cut(pieces.where("type <> 'as_is'").select("type", "canon").distinct())
     others = cut(assigned(entities, key))
+    now = rendered(F.col("raw"), F.col("type"), F.col("other"))
     joined = pieces.join(others, ["type", "canon"], "left").select(
-        "mention", F.struct("pos", F.concat("before", rendered(F.col("raw"), F.col("type"), F.col("other")), "after").alias("t")).alias("p"))
+        "mention", F.struct("pos", F.concat("before", now, "after").alias("t")).alias("p"),
+        F.when(F.col("type").startswith("last_") & ~F.col("raw").isin(NO_SURNAMES.split()), F.struct(
+            (-F.length("raw")).alias("size"), F.col("raw").alias("was"), now.alias("now"))).alias("last"))
     parts = F.transform(F.sort_array(F.collect_list("p")), lambda x: x["t"])
-    return joined.groupBy("mention").agg(F.array_join(parts, " ").alias("instead"))
+    return joined.groupBy("mention").agg(F.array_join(parts, " ").alias("instead"), F.max("last").alias("surname"))
+
+
+def interleaved(between: Column, instead: Column) -> Column:
+    """The text of n + 1 parts with n others between them."""
+    return F.array_join(F.flatten(F.zip_with(between, F.concat(instead, F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
+
+
+def with_surnames(part: Column, surnames: Column) -> Column:
+    """``part`` with the surnames of its document replaced; longer ones count first."""
+    was, now = F.transform(surnames, lambda x: x["was"]), F.transform(surnames, lambda x: x["now"])
+    bare = F.concat(F.lit(r"(?=\p{Lu})(?<![\p{L}\p{N}])(?:"), F.array_join(was, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    instead = F.transform(F.regexp_extract_all(part, bare, F.lit(0)), lambda x: F.get(now, (F.array_position(was, x) - 1).cast("int")))
+    return interleaved(F.split(part, bare, -1), instead)
 
 
 def pseudonymised(docs: DataFrame, key: str, doc_key: str = "doc_id", text: str = "text", count: str | None = None) -> DataFrame:
@@ -267,12 +303,17 @@ def pseudonymised(docs: DataFrame, key: str, doc_key: str = "doc_id", text: str
     own = F.xxhash64(body)
     found = cut(docs.select(docs[doc_key].alias("k"), own.alias("h"), F.posexplode(F.regexp_extract_all(body, F.lit(MENTION), F.lit(0))).alias("pos", "mention")))
     table = cut(mention_table(found, key))
-    lists = found.join(table, "mention").groupBy("k", "h").agg(F.collect_set(F.struct("pos", "instead")).alias("m"))
-    lists = lists.select(F.col("k").alias("_pii_k"), F.col("h").alias("_pii_h"), F.transform(F.sort_array("m"), lambda x: x["instead"]).alias("_pii_m"))
+    lists = found.join(table, "mention").groupBy("k", "h").agg(F.collect_set(F.struct("pos", "instead", "surname")).alias("m"))
+    surnames = F.sort_array(F.array_distinct(F.filter(F.transform("m", lambda x: x["surname"]), lambda x: x.isNotNull())))
+    lists = lists.select(
+        F.col("k").alias("_pii_k"), F.col("h").alias("_pii_h"), F.transform(F.sort_array("m"), lambda x: x["instead"]).alias("_pii_m"),
+        surnames.alias("_pii_s"))
     joined = docs.withColumn("_pii_own", own).join(lists, F.col("_pii_own").eqNullSafe(F.col("_pii_h")) & docs[doc_key].eqNullSafe(F.col("_pii_k")), "left")
     between = F.split(body, MENTION, -1)
-    whole = F.array_join(F.flatten(F.zip_with(between, F.concat("_pii_m", F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
-    joined = joined.withColumn("_pii_text", F.when(F.col("_pii_m").isNull(), body).otherwise(whole))
+    settled = F.transform(between, lambda part: with_surnames(part, F.col("_pii_s")))
+    joined = joined.withColumn(
+        "_pii_text", F.when(F.col("_pii_m").isNull(), body).when(F.size("_pii_s") == 0, interleaved(between, F.col("_pii_m")))
+        .otherwise(interleaved(settled, F.col("_pii_m"))))
     out = []
     for c in docs.columns:
         if c == text:

@@ -130,3 +130,46 @@ def test_spellings_of_one_address_and_account(spark):
     assert len({x.lower() for x in a.split(" ")}) == 1 and a.lower().startswith("2001:db8:")
     spaced, dense = b.split("; ")
     assert spaced.replace(" ", "") == dense and dense.startswith("DE00") and len(dense) == 22
+
+
+PERSONS = {
+    1: "Mr Smith called. Later Smith left, and Smith's car too. Smithson and Blacksmith stayed.",
+    2: "Frau Müller, Müller GmbH. Prof. Dr. Anna Weber and Weber.",
+    3: "Dr Παπαδόπουλος spoke; Κύριος Παπαδόπουλος left. Μαρία Νικολάου stayed with Νικολάου.",
+    4: "Martin Luther King Day in Martin Luther King Street, Rue Pierre Curie, version 1.2.3.4, v1.2.3.4, host 152.143.123.131.",
+    5: "Smith and Müller without a title.",
+    6: "Priya Sharma met Wei Zhang; Sharma agreed. Mrs Smith-Jones knew Mr Smith: Smith-Jones and Smith.",
+    7: "Peter The first. The end.",
+    8: "Mr O'Brien's house. O'Brien sold it.",
+}
+
+
+def test_bare_surnames_follow_their_person(spark):
+    df = spark.createDataFrame(list(PERSONS.items()), "doc_id long, text string").repartition(3)
+    out = {r.doc_id: r for r in pseudonymised(df, "key", count="n").collect()}
+    a, b, c = re.fullmatch(r"Mr (\w+) called\. Later (\w+) left, and (\w+)'s car too\. Smithson and Blacksmith stayed\.", out[1].text).groups()
+    assert a == b == c != "Smith" and out[1].n == 1
+    m, m2, w, w2 = re.fullmatch(r"Frau (\w+), (\w+) GmbH\. Prof\. Dr\. [\w-]+ (\w+) and (\w+)\.", out[2].text).groups()
+    assert m == m2 != "Müller" and w == w2 != "Weber"
+    greek = re.fullmatch(r"Dr (\w+) spoke; Κύριος (\w+) left\. [\w-]+ (\w+) stayed with (\w+)\.", out[3].text).groups()
+    assert greek[0] == greek[1] and greek[2] == greek[3] and all(re.fullmatch("[Α-ώ]+", x) for x in greek)
+    assert "Παπαδόπουλος" not in out[3].text and "Νικολάου" not in out[3].text
+    head, ip = out[4].text.rsplit(" ", 1)
+    assert head == PERSONS[4].rsplit(" ", 1)[0] and ip != "152.143.123.131." and out[4].n == 1
+    assert out[5].text == PERSONS[5]
+    s, z, s2, j, k, j2, k2 = re.fullmatch(r"[\w-]+ (\w+) met [\w-]+ (\w+); (\w+) agreed\. Mrs (\w+) knew Mr (\w+): (\w+) and (\w+)\.", out[6].text).groups()
+    assert s == s2 != z and j == j2 and k == k2 == a and len({"Sharma", "Zhang", "Smith", s, z, j, k}) == 7
+    assert out[7].text.endswith(" first. The end.")
+    o, o2 = re.fullmatch(r"Mr (\w+)'s house\. (\w+) sold it\.", out[8].text).groups()
+    assert o == o2
+
+
+def test_a_document_of_many_persons(spark):
+    """Two thousand surnames, each named once and then bare: none is left."""
+    names = [f"N{a}{b}{c}ov" for a in "aeiouyäöüé" for b in "bcdfghklmnprst" for c in "aeiouyäöüéabcd"[:14]][:2000]
+    text = ". ".join(f"Mr {n} came" for n in names) + ". " + " and ".join(names) + "."
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = pseudonymised(df, "key").first().text
+    words = re.findall(r"\w+", got)
+    new = [words[i + 1] for i, w in enumerate(words) if w == "Mr"]
+    assert not set(names) & set(words) and [w for w in words[3 * len(names):] if w != "and"] == new and len(set(new)) == len(set(names))
