@@ -67,7 +67,7 @@ _BARE_SECRET = (
 _SECRET_KEY = r"(?i:password|passwd|passphrase|pwd|secret|token|(?:api|access|secret|private)[_\-]?key)[\"']?[ ]{0,2}[=:][ ]{0,2}"
 _SECRET_VALUE = r"(?:\"[^\"\s]{4,128}\"|'[^'\s]{4,128}'|(?=[^\s\"'<>,;&()]{0,127}[0-9!@#$%^*+?])[^\s\"'<>,;&()]{6,128})"
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+\-]{1,64}+@(?:[\p{L}\p{N}\-]{1,63}\.){1,8}\p{L}{2,24}",
+    "email": r"[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}\-]{1,63}\.){1,8}\p{L}{2,24}",
     "secret": rf"(?<![\p{{L}}\p{{N}}])(?:{_BARE_SECRET})(?![\p{{L}}\p{{N}}])",
     "keyed": rf"(?<![\p{{L}}\p{{N}}]){_SECRET_KEY}{_SECRET_VALUE}",
     "iban": r"(?<![\p{L}\p{N}])(?=[A-Z]{2}(?:[A-Z ]{0,7}\d){10})[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)(?![\p{L}\p{N}])",
@@ -80,12 +80,20 @@ PATTERNS = {
              r"|(?<!\d[.,])0[1-9](?:[ .\-]\d\d){4})(?!\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{4,5})(?!\d)",
-    "ip": r"(?<![\d.])(?<!(?i:[^\p{L}]v|version|release|build)[ :.]{0,2})\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
+    "ip": r"(?<![\d.])(?=\d{1,3}\.\d)(?<!(?i:[^\p{L}]v|version|release|build)[ :.]{0,2})\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
     # eight groups, or fewer with :: and a digit
     "ip6": rf"(?<![\p{{L}}\p{{N}}:])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[a-fA-F:]{{0,39}}\d)(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?=[a-fA-F:]{{0,39}}\d)(?:{_HEX}:){{2,7}}:)(?![\p{{L}}\p{{N}}:])",
-    "name": rf"(?<![\p{{L}}\p{{N}}]){_PLACE_BEFORE}(?:(?:{_TITLE} ){{1,3}}(?!{_TITLE}(?!\p{{L}})){_NAME}(?: {_NAME}){{0,2}}|{_KNOWN} {_NAME})(?![\p{{L}}\p{{N}}]){_NO_PLACE}",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?=(?:{_TITLE}|{_KNOWN}) ){_PLACE_BEFORE}(?:(?:{_TITLE} ){{1,3}}(?!{_TITLE}(?!\p{{L}})){_NAME}(?: {_NAME}){{0,2}}|{_KNOWN} {_NAME})(?![\p{{L}}\p{{N}}]){_NO_PLACE}",
 }
-MENTION = "|".join(PATTERNS.values())
+# The patterns in their order, each group behind what all of its members begin with: few positions of a text try more than that.
+# An address begins where its run of characters does, or where the mention before it ended.
+_HEAD = r"[\p{L}\p{N}._%+\-]"
+MENTION = (
+    rf"(?:(?<!{_HEAD})|\G){PATTERNS['email']}"
+    rf"|(?=[\p{{L}}\p{{N}}+(])(?<![\p{{L}}\p{{N}}])(?:(?=[0-9a-fA-FgsxAe]){PATTERNS['secret']}|(?=[pstaPSTA]){PATTERNS['keyed']}|{PATTERNS['iban']}"
+    rf"|(?=[+(\d]){PATTERNS['phone']})"
+    rf"|(?=\d)(?:{PATTERNS['ssn']}|{PATTERNS['card']}|{PATTERNS['ip']})"
+    rf"|(?=[0-9a-fA-F]{{1,4}}:){PATTERNS['ip6']}|(?=\p{{Lu}}){PATTERNS['name']}")
 FOUND_TYPES = list(PATTERNS)
 MOST_ROUNDS = 100
 
