@@ -1,11 +1,12 @@
 """Token counts of a unigram tokenizer, by dynamic programming shared along a trie of pre-tokens.
 
 A text is split at white space; each word with a leading word mark is a pre-token.  A Python worker gathers the distinct
-pre-tokens of a text that it does not know yet and walks their trie in sorted order: the stack holds
-the forward scores of the current path, so a shared prefix is scored once, and a node that ends a
-pre-token stores its number of tokens.  Counting a text is then a look-up per word.  Known counts are kept
+pre-tokens of a block of texts that it does not know yet and walks their trie in sorted order: the stack holds
+the forward scores of the current path, so a prefix that words of the block share is scored once, and a node that ends a
+pre-token stores its number of tokens.  Counting a text is then a look-up per word.  A block is texts of one Arrow batch
+of at most ``block`` characters together, or one longer text.  Known counts are kept
 from task to task of the worker, up to ``memory`` pre-tokens, and then forgotten, so memory is bounded by
-that and the largest text; a new worker counts afresh.
+that, the block and the largest text; a new worker counts afresh.
 
 The forward score of a prefix is the best sum of piece scores over all ways to cut it; ties take fewer
 tokens.  A character that no piece covers becomes its UTF-8 bytes.  Scores come from the public
@@ -14,7 +15,7 @@ vocabulary, whose pieces are ranked by frequency: log probability by Zipf's law
 Null and empty texts count 0.  Repeated rows are counted each; other columns are ignored.
 """
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cache, cached_property
 from os.path import commonprefix
@@ -94,28 +95,41 @@ def trie_counts(words: list[str], model: Unigram) -> dict[str, int]:
     return out
 
 
-def counter(model_file: str, memory: int = 600_000):
+def blocks(texts: Iterable, size: int) -> Iterator[list]:
+    """Texts in order, at most ``size`` characters together; a longer text is a block of its own."""
+    out, held = [], 0
+    for text in texts:
+        n = len(text) if isinstance(text, str) else 0
+        if out and held + n > size:
+            yield out
+            out, held = [], 0
+        out.append(text)
+        held += n
+    if out:
+        yield out
+
+
+def block_counts(texts: list, model: Unigram, known: dict[bytes, int], memory: int) -> list[int]:
+    """Tokens of each text; what the block's words add is learned in one walk of their trie."""
+    # bytes split at the ASCII white space alone
+    split = [text.encode("utf-8", "surrogatepass").split() if isinstance(text, str) else [] for text in texts]
+    distinct = set().union(*split)
+    if len(known) > memory:
+        known.clear()
+    plain = {w: MARK + w.decode("utf-8", "surrogatepass") for w in distinct.difference(known)}
+    counted = trie_counts(list(plain.values()), model)
+    known.update((w, counted[p]) for w, p in plain.items())
+    return [sum(map(known.__getitem__, words)) for words in split]
+
+
+def counter(model_file: str, memory: int = 600_000, block: int = 2**21):
     """A column function from text to its number of tokens."""
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model, known = remembered(model_file)
         for texts in batches:
-            out = []
-            for text in texts:
-                if not isinstance(text, str):
-                    out.append(0)
-                    continue
-                words = text.encode("utf-8", "surrogatepass").split()  # bytes split at the ASCII white space alone
-                fresh = set(words).difference(known)
-                if fresh:
-                    if len(known) > memory:
-                        known.clear()
-                        fresh = set(words)
-                    plain = {w: MARK + w.decode("utf-8", "surrogatepass") for w in fresh}
-                    counted = trie_counts(list(plain.values()), model)
-                    known.update((w, counted[p]) for w, p in plain.items())
-                out.append(sum(map(known.__getitem__, words)))
+            out = [n for part in blocks(texts, block) for n in block_counts(part, model, known, memory)]
             yield pd.Series(out, dtype="int64")
     return count
 

@@ -4,7 +4,8 @@ import random
 
 import public_tokenizers
 
-from oppflow.llm.token_counts import MARK, Unigram, token_counts, trie_counts, zipf_scores
+from oppflow.llm import token_counts as module
+from oppflow.llm.token_counts import MARK, Unigram, block_counts, blocks, token_counts, trie_counts, zipf_scores
 
 FILE = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -51,3 +52,32 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert len({r.n_tokens for r in token_counts(df, FILE).collect()}) == 1
     assert token_counts(df, FILE).count() == 3
     assert token_counts(df.limit(0), FILE).collect() == []
+
+
+def test_prefixes_shared_by_texts_of_a_block_are_scored_once(monkeypatch):
+    rng = random.Random(3)
+    model = Unigram({"a": -3.0, "b": -3.0, "ab": -4.0}, -10.0, 2)
+    texts = [" ".join("".join(rng.choice("abc") for _ in range(rng.randrange(1, 9))) for _ in range(6)) for _ in range(50)] + [None, ""]
+    steps = 0
+
+    def counting(word, scores, counts, model, plain=module.forward):
+        nonlocal steps
+        steps += len(word) + 1 - len(scores)
+        plain(word, scores, counts, model)
+
+    monkeypatch.setattr(module, "forward", counting)
+    known = {}
+    got = block_counts(texts, model, known, 10**6)
+    words = {MARK + w for t in texts for w in (t or "").split()}
+    assert steps == len({w[:i] for w in words for i in range(1, len(w) + 1)})  # the nodes of one trie over all texts
+    assert got == [sum(brute(MARK + w, model) for w in (t or "").split()) for t in texts]
+    before = steps
+    assert block_counts(texts, model, known, 10**6) == got and steps == before
+    assert block_counts(texts, model, known, 5) == got and steps == 2 * before  # forgotten, so counted again
+
+
+def test_blocks_keep_order_and_size():
+    texts = ["a" * 5, None, "b" * 5, "c" * 30, "", "d"]
+    got = list(blocks(texts, 10))
+    assert [t for part in got for t in part] == texts and [len(part) for part in got] == [3, 1, 2]  # the long one is alone
+    assert list(blocks([], 10)) == []
