@@ -2,16 +2,20 @@
 
 Texts are lower-cased and everything but letters becomes a space; n-grams of 1 to ``max_n``
 characters are hashed into ``features`` slots.  Weights are learned by follow-the-regularised-leader
-with elastic-net penalties, which leaves most of them at zero; a temperature fitted on a part of the
-training sample that the weights have not seen turns scores into probabilities.
+with elastic-net penalties: of ``strengths``, a share ``mix`` of which is the L1 and the rest the L2 penalty, the
+strongest is taken whose log loss on a part of the training sample that the weights have not seen is at most
+``tolerance`` above the least.  Slots whose weights are all zero are not stored or sent.  A temperature fitted on the same
+part turns scores into probabilities.
 
 Document frequencies come from all documents of the training folds, the weights from a sample of at
-most ``sample`` labelled documents, spread over the labels.  A document is held out where
+most ``sample`` labelled documents, spread over the labels.  Learned are the ``labels`` most frequent labels (ties: the
+alphabetically first), which bounds the driver's memory however dirty ``lang`` is.  A document is held out where
 ``crc32(doc_id) mod folds = held_fold``; neither frequencies nor weights see it.
 
 Null texts and texts without a letter are ``und`` with score 0; so is everything where nothing could
 be learned.  A null doc_id is not learned from and not held out.  Ties between labels go to the
-alphabetically first.  Repeated rows are predicted each; other columns are ignored.
+alphabetically first.  Repeated rows are predicted each; other columns are ignored.  Very long texts are read
+whole, in their row.  An empty table gives an empty result.
 """
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,8 +38,10 @@ class Settings:
     epochs: int = 3
     alpha: float = 0.5
     beta: float = 1.0
-    l1: float = 1e-4
-    l2: float = 1e-4
+    strengths: tuple[float, ...] = (2.0, 0.2, 0.02)
+    mix: float = 0.5
+    tolerance: float = 0.01
+    labels: int = 128
     seed: int = 11
 
 
@@ -126,14 +132,14 @@ def softmax(z: np.ndarray) -> np.ndarray:
 class FollowTheLeader:
     """Per-coordinate FTRL-proximal for a softmax, with L1 and L2 penalties."""
 
-    def __init__(self, labels: int, s: Settings):
-        self.s = s
+    def __init__(self, labels: int, s: Settings, strength: float):
+        self.s, self.l1, self.l2 = s, strength * s.mix, strength * (1 - s.mix)
         self.z = np.zeros((s.features, labels))
         self.n = np.zeros((s.features, labels))
 
     def weights(self, slots) -> np.ndarray:
         z, n, s = self.z[slots], self.n[slots], self.s
-        return -np.sign(z) * np.maximum(np.abs(z) - s.l1, 0) / ((s.beta + np.sqrt(n)) / s.alpha + s.l2)
+        return -np.sign(z) * np.maximum(np.abs(z) - self.l1, 0) / ((s.beta + np.sqrt(n)) / s.alpha + self.l2)
 
     def learn(self, slots: np.ndarray, values: np.ndarray, label: int) -> None:
         w = self.weights(slots)
@@ -146,16 +152,22 @@ class FollowTheLeader:
         self.n[slots] = after
 
 
+def log_loss(scores: list[np.ndarray], labels: list[int], t: float) -> float:
+    """Mean log loss of the scores at a temperature."""
+    if not scores:
+        return 0.0
+    z = np.array(scores) / t
+    z = z - z.max(axis=1, keepdims=True)
+    return float((np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(labels)), labels]).mean())
+
+
 def temperature(scores: list[np.ndarray], labels: list[int]) -> float:
     """The temperature with the least log loss, by golden-section search over its logarithm."""
     if not scores:
         return 1.0
-    table, rows = np.array(scores), np.arange(len(labels))
 
     def loss(log_t: float) -> float:
-        z = table / np.exp(log_t)
-        z = z - z.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(z).sum(axis=1)) - z[rows, labels]).mean())
+        return log_loss(scores, labels, np.exp(log_t))
 
     low, high, ratio = np.log(0.05), np.log(20.0), (np.sqrt(5) - 1) / 2
     for _ in range(40):
@@ -168,6 +180,7 @@ def temperature(scores: list[np.ndarray], labels: list[int]) -> float:
 class Model:
     labels: list[str]
     idf: np.ndarray
+    rows: np.ndarray  # per slot its row of ``weights``; the last row is zero and shared by all slots without weights
     weights: np.ndarray
     temperature: float
 
@@ -176,14 +189,15 @@ class Model:
         if not found:
             return UNKNOWN, 0.0
         slots, values = weighed(found, self.idf)
-        p = softmax(values @ self.weights[slots] / self.temperature)
+        p = softmax(values @ self.weights[self.rows[slots]] / self.temperature)
         best = int(p.argmax())
         return self.labels[best], float(p[best])
 
 
 def labelled_sample(rows: DataFrame, s: Settings) -> list:
     """At most ``sample`` rows (lang, order, slots, counts), the same share for every label where it has that many."""
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    common = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(s.labels)
+    sizes = {r.lang: r.n for r in common.collect()}
     if not sizes:
         return []
     quota = max(1, s.sample // len(sizes))
@@ -208,6 +222,16 @@ def labelled_sample(rows: DataFrame, s: Settings) -> list:
     return out
 
 
+def learn(sample: list, labels: int, s: Settings, strength: float) -> np.ndarray:
+    """Weights after ``epochs`` passes over the sample, each in another seeded order."""
+    model, rng = FollowTheLeader(labels, s, strength), np.random.default_rng(s.seed)
+    for _ in range(s.epochs):
+        for i in rng.permutation(len(sample)):
+            (slots, values), label = sample[i]
+            model.learn(slots, values, label)
+    return model.weights(slice(None))
+
+
 def train(docs: DataFrame, s: Settings) -> Model:
     rows = training_rows(docs, s)
     frequencies, n = document_frequencies(rows, s)
@@ -218,20 +242,24 @@ def train(docs: DataFrame, s: Settings) -> Model:
     ready = [(weighed((np.array(r.slots), np.array(r.counts)), idf), at[r.lang]) for r in sample]
     held = [x for i, x in enumerate(ready) if i % 5 == 4]
     learned = [x for i, x in enumerate(ready) if i % 5 != 4]
-    model = FollowTheLeader(len(labels), s)
-    rng = np.random.default_rng(s.seed)
-    for _ in range(s.epochs):
-        for i in rng.permutation(len(learned)):
-            (slots, values), label = learned[i]
-            model.learn(slots, values, label)
-    weights = model.weights(slice(None))
-    scores = [values @ weights[slots] for (slots, values), _ in held]
-    return Model(labels, idf, weights.astype(np.float64), temperature(scores, [label for _, label in held]))
+    truth = [label for _, label in held]
+    tried = []
+    for strength in sorted(s.strengths, reverse=True):
+        weights = learn(learned, len(labels), s, strength)
+        scores = [values @ weights[slots] for (slots, values), _ in held]
+        t = temperature(scores, truth)
+        tried.append((log_loss(scores, truth, t), t, weights))
+    least = min(x[0] for x in tried)
+    _, t, weights = next(x for x in tried if x[0] <= least + s.tolerance)
+    used = np.flatnonzero(weights.any(axis=1))
+    at_row = np.full(s.features, len(used), dtype=np.int32)
+    at_row[used] = np.arange(len(used))
+    return Model(labels, idf, at_row, np.vstack([weights[used], np.zeros((1, len(labels)))]), t)
 
 
 def predictor(model: Model, spark: SparkSession, s: Settings):
     """A column function from text to struct (lang_pred, score)."""
-    shared = spark.sparkContext.broadcast(model)  # bounded by features and labels
+    shared = spark.sparkContext.broadcast(model)  # bounded by features times labels
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -5,7 +5,8 @@ from collections import Counter
 
 import numpy as np
 
-from oppflow.llm.language_id import Settings, document_frequencies, gram_counts, identify, letters, recognised, temperature
+from oppflow.llm.language_id import (
+    FollowTheLeader, Settings, document_frequencies, gram_counts, identify, letters, recognised, temperature, train)
 
 FOLDER = "/root/testdata/sf0.01"
 PIECES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["sch", "ei", "ung", "ver"], "cc": ["é", "oi", "eau", "tre"]}
@@ -79,3 +80,41 @@ def test_temperature_undoes_a_scale():
     p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
     labels = [int(rng.choice(3, p=x)) for x in p]
     assert abs(temperature(list(z * 5), labels) - 5) < 0.6
+
+
+def test_weights_equal_plain_follow_the_leader():
+    """Coordinate by coordinate, from all gradients so far: the closed form of the regularised leader."""
+    s, rng = Settings(features=16, mix=0.7), np.random.default_rng(4)
+    rows = [(np.sort(rng.choice(16, 5, replace=False)), rng.random(5), int(rng.integers(3))) for _ in range(60)]
+    fast = FollowTheLeader(3, s, 0.3)
+    z, n, w = ([[0.0] * 3 for _ in range(16)] for _ in range(3))
+    for slots, values, label in rows:
+        scores = [sum(v * w[i][c] for i, v in zip(slots, values)) for c in range(3)]
+        e = [np.exp(x - max(scores)) for x in scores]
+        for i, v in zip(slots, values):
+            for c in range(3):
+                g = v * (e[c] / sum(e) - (c == label))
+                sigma = ((n[i][c] + g * g) ** 0.5 - n[i][c] ** 0.5) / s.alpha
+                z[i][c] += g - sigma * w[i][c]
+                n[i][c] += g * g
+        for i in slots:
+            for c in range(3):
+                x, l1, l2 = z[i][c], 0.3 * 0.7, 0.3 * (1 - 0.7)
+                size = max(abs(x) - l1, 0) / ((s.beta + n[i][c] ** 0.5) / s.alpha + l2)
+                w[i][c] = -size if x > 0 else size
+        fast.learn(slots, values, label)
+    got = fast.weights(slice(None))
+    assert np.allclose(got, w) and 0 < np.count_nonzero(got) < got.size
+
+
+def test_penalties_prune_and_keep_accuracy(spark):
+    df = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    free, ours = train(df, Settings(strengths=(0.0,))), train(df, Settings())
+    assert np.count_nonzero(ours.weights) < 0.5 * np.count_nonzero(free.weights)
+    assert len(ours.weights) < len(free.weights) and not ours.weights[-1].any()
+
+
+def test_dirty_labels_are_bounded(docs):
+    rows = invented(120) + [(1000 + i, "kalo mitu", f"x{i}", "s") for i in range(300)]
+    got = {r.lang_pred for r in identify(docs(rows), Settings(labels=3)).collect()}
+    assert got <= set(PIECES)
