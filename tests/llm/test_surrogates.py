@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from oppflow.llm import surrogates
 from oppflow.llm.surrogates import assigned, pseudonymised
 
 TEXTS = {
@@ -173,3 +174,12 @@ def test_a_document_of_many_persons(spark):
     words = re.findall(r"\w+", got)
     new = [words[i + 1] for i, w in enumerate(words) if w == "Mr"]
     assert not set(names) & set(words) and [w for w in words[3 * len(names):] if w != "and"] == new and len(set(new)) == len(set(names))
+
+
+def test_guards_change_no_mention(spark):
+    """The guarded pattern finds what its parts side by side find."""
+    plain = "|".join(surrogates.PATTERNS.values())
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").union(spark.createDataFrame([
+        ("Dr Smith, a.b@x.de, +49 170 1234567abc@x.de ::1 fe80::1 10.0.0.1 version 1.2.3.4 password=hunter22",), ("x" * 100 + "@mail.de",)], "text string"))
+    found = [F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in (plain, surrogates.MENTION)]
+    assert df.where(found[0] != found[1]).count() == 0 and df.where(F.size(found[1]) > 0).count() >= 2
