@@ -10,6 +10,7 @@ from oppflow.catalog.base import (
 )
 from oppflow.operators import identity, preferences
 from oppflow.plans import ingest
+from oppflow.session import spread
 from oppflow.sources import api, store
 from oppflow.sources.commits import DatedMemory
 from oppflow.sources.pages import portal_tables
@@ -18,8 +19,10 @@ _ALL = ["id", "title", "agency", "status", "posted_date", "close_date", "url", "
 _AWARD = _ALL + ["recipient", "recipient_state", "pi_name"]
 
 
-def bodies(spark, d, name, order, body, *more):
-    return table(spark, d, name).selectExpr(f"{order} as payload_ord", f"to_json({body}) as body", *more)
+def bodies(spark, d, name, order, body, *more, rows=None):
+    source = table(spark, d, name)
+    source = spread(source, order, rows=rows) if rows else source
+    return source.selectExpr(f"{order} as payload_ord", f"to_json({body}) as body", *more)
 
 
 @query("b1_sam_gov", r"""
@@ -163,7 +166,7 @@ from customer, range(0, 20) t(i)""")
 def _(spark, d):
     rows = bodies(spark, d, "customer", "c_custkey", """named_struct('organizations', transform(sequence(0, 24), i -> named_struct(
         'ein', concat(c_custkey, '-', i), 'name', c_name, 'city', if(c_custkey % 2 = 0, 'Paris', ''), 'state', 'TX',
-        'ntee_code', if(c_custkey % 3 = 0, null, concat('B', c_nationkey)), 'score', i)))""")
+        'ntee_code', if(c_custkey % 3 = 0, null, concat('B', c_nationkey)), 'score', i)))""", rows=5_000)
     return api.propublica(rows).select("id", "title", "agency", "description")
 
 

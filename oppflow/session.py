@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -55,13 +56,23 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a too-small number of input splits one task per core.
+def spread(df: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
+    """One task per core at least, and where ``rows`` is given, tasks of about that many rows at most.
 
-    A file of one row group is one task whatever its length.  Input that already
-    has a split per core, as any large dataset does, is left where it is.
+    A row group is in one task, whatever number of splits its file has, so the rows of each task are counted (of a
+    Parquet file, its footer is read).  Input whose tasks are many, alike and small enough is left where it is.
+    Without keys, rows are dealt by their place.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    held = [r.n for r in df.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
+    tasks = max(cores, -(-sum(held) // rows)) if rows else cores
+    if len(held) >= cores and max(held) <= 2 * max(rows or 0, sum(held) / cores):
         return df
-    return df.repartition(cores, *keys)
+    if keys:
+        return df.repartition(tasks, *keys)
+    return df.withColumn("_place", F.monotonically_increasing_id()).repartition(tasks, "_place").drop("_place")
+
+
+def small_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``spread`` for rows that memory or time grows with; few tasks are left as they are where they are small."""
+    return df if df.limit(2 * rows + 1).count() <= 2 * rows else spread(df, rows=rows)
