@@ -22,21 +22,22 @@ from oppflow.fixed_values import (
 )
 from oppflow.functions.text import alpha_tokens, combined_text, runs, unigrams_and_bigrams
 from oppflow.operators.ranking import ranked, top_per_group
-from oppflow.session import cut
+from oppflow.session import cut, small_tasks
 
 CORPUS = "corpus"  # the group of all documents
+TASK_ROWS = 8000  # documents whose distinct terms a task holds
 
 
 def with_terms(rfps: DataFrame, stop_words: list[str] = STOP_WORDS, *keep: str) -> DataFrame:
     """Add ``terms``: words and word pairs of the combined text."""
     terms = unigrams_and_bigrams(alpha_tokens(combined_text(), stop_words))
-    return rfps.select(*keep, terms.alias("terms"))
+    return small_tasks(rfps, TASK_ROWS).select(*keep, terms.alias("terms"))
 
 
 def read_once(rfps: DataFrame, stop_words: list[str] = STOP_WORDS, *keep: str) -> DataFrame:
     """``with_terms`` over words that are written once; pairs are formed again wherever they are read."""
     words = cut(rfps.select(*keep, alpha_tokens(combined_text(), stop_words).alias("words")))
-    return words.select(*keep, unigrams_and_bigrams(F.col("words")).alias("terms"))
+    return small_tasks(words, TASK_ROWS).select(*keep, unigrams_and_bigrams(F.col("words")).alias("terms"))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
