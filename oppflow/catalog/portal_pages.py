@@ -45,7 +45,7 @@ def _(spark, d):
 
 # --------------------------------------------------- pages made from orders
 def _order_pages(spark, d, html, url=f"'{_BASE}?o=1'"):
-    return spread(table(spark, d, "orders"), "o_orderkey").selectExpr(
+    return spread(table(spark, d, "orders"), "o_orderkey", rows=50_000).selectExpr(
         "o_orderkey as page_id", f"{url} as url", f"{html} as html", "'MD' as state", "'Portal' as label"
     )
 
