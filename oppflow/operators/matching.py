@@ -1,13 +1,17 @@
 """Literal-phrase joins and joins against a key that a third of all rows share."""
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oppflow.session import cut
 
 BROADCAST_PHRASES = 5000
 BROADCAST_CHARS = 1_000_000
-PIECE = 4  # characters a phrase is indexed by
-BLOCK = 64  # characters of a block of text
+PIECES = (16, 8, 4, 2, 1)  # characters a phrase is indexed by
+TRIES = 8  # pieces of a phrase that one is chosen from
+CELL = 64  # characters of a text that are read together
+BLOCK = 2 * CELL  # characters of a phrase that are compared beside its piece
 BUCKETS = 1 << 20
 
 
@@ -30,68 +34,93 @@ def small(df: DataFrame, column: str) -> DataFrame:
 def phrase_hits(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
     """Pairs ``(key, phrase)`` where the phrase occurs in the text; both lower case.
 
-    ``phrases(phrase)`` is distinct and of any size.  Every phrase is indexed under one piece of ``PIECE`` characters, the one
-    that the texts hold least often, so phrases with common starts do not meet at them.  Texts are read in blocks; a
-    position whose piece is indexed goes on with the few characters around it, never with its text, and is compared there.
+    ``phrases(phrase)`` is distinct and of any size.  Every phrase is indexed under one piece of it, of the longest size of
+    ``PIECES`` that it holds, and of a few such pieces under the one that the texts hold least often; so phrases with common
+    starts do not meet at them.  Texts are read in cells; a position whose piece is indexed goes on with as many
+    characters around it as phrases of that size have, never with its text, and is compared there.
     Only phrases longer than a block are compared with whole texts, where their first block's length was found.
     Empty phrases and null texts have no hits.
     """
     index = cut(rarest_pieces(phrases, texts, text))
-    sizes = sorted(r[0] for r in index.select(F.length("piece")).distinct().collect())  # at most PIECE values
-    if not sizes:
+    longest = index.groupBy(F.length("piece").alias("size")).agg(F.max(F.length("head")).alias("longest"))
+    longest = sorted((r.size, r.longest) for r in longest.collect())  # at most a row for each of PIECES
+    if not longest:
         return texts.select(key, F.lit("").alias("phrase")).filter(F.lit(False))
     places = blocks(texts, key, text).withColumn("at", F.explode(F.sequence(F.lit(1), "n")))
-    cuts = [F.substring("reach", F.col("at"), F.lit(size)) for size in sizes]
-    pieces = places.select(key, "window", "before", "at", (F.explode(F.array(*cuts)) if len(cuts) > 1 else cuts[0]).alias("piece"))
-    met = indexed(pieces, index).join(index, "piece")
-    start = F.col("before") + F.col("at") - F.col("place") + 1
-    met = met.filter((start >= 1) & (F.substring("window", start, F.length("head")) == F.col("head")))
+    places = places.select(key, "window", "before", "at", F.substring("reach", F.col("at"), F.lit(longest[-1][0])).alias("piece"))
+    if len(longest) > 1:
+        cuts = [F.left("piece", F.lit(size)) for size, _ in longest[:-1]]
+        places = places.withColumn("piece", F.explode(F.array(*cuts, F.col("piece"))))
+    # the most characters that a phrase has before or after a piece of that size
+    around = F.coalesce(*[F.when(F.length("piece") == size, F.lit(n - size)) for size, n in longest])
+    first = F.greatest(F.col("before") + F.col("at") - around, F.lit(1))
+    skip = F.col("before") + F.col("at") - first
+    # never null, or the join's test for null would cut it at every position before the index is asked
+    near = F.coalesce(F.substring("window", first, skip + F.length("piece") + around), F.lit(""))
+    met = indexed(places, index).select(key, "piece", skip.alias("skip"), near.alias("near")).distinct().join(index, "piece")
+    start = F.col("skip") - F.col("place") + 2
+    met = met.filter((start >= 1) & (F.substring("near", start, F.length("head")) == F.col("head")))
+    met = met.select(key, "phrase").distinct()
     whole = F.length("phrase") <= BLOCK
-    hits = met.filter(whole).select(key, "phrase").distinct()
     if index.filter(~whole).isEmpty():
-        return hits
-    long = met.filter(~whole).select(key, "phrase").distinct().join(texts.select(key, text), key)
-    return hits.unionByName(long.filter(F.contains(F.col(text), F.col("phrase"))).select(key, "phrase").distinct())
+        return met
+    met = cut(met)
+    long = met.filter(~whole).join(texts.select(key, text), key).filter(F.contains(F.col(text), F.col("phrase")))
+    return met.filter(whole).unionByName(long.select(key, "phrase").distinct())
 
 
 def rarest_pieces(phrases: DataFrame, texts: DataFrame, text: str) -> DataFrame:
-    """``(phrase, head, piece, place)``: the piece of each phrase's head that the texts hold least often.
+    """``(phrase, head, piece, place)``: of ``TRIES`` pieces of each phrase's head, the one that the texts hold least often.
 
-    Texts are counted in pieces side by side, which finds every position of a piece equally often in the long run and
-    makes a row of every ``PIECE`` characters.  The counts choose the piece and nothing else.
+    Texts are counted at every position that the longest size divides, which finds all positions of a piece equally often
+    in the long run, and in ``BUCKETS`` numbers.  The counts choose the piece and nothing else.
     """
-    heads = phrases.filter("phrase <> ''").select("phrase", F.left("phrase", F.lit(BLOCK)).alias("head"))
-    places = F.sequence(F.lit(1), F.greatest(F.length("head") - PIECE + 1, F.lit(1)))
-    pieces = heads.select("phrase", "head", F.explode(places).alias("place"))
-    pieces = cut(pieces.withColumn("piece", F.substring("head", F.col("place"), F.lit(PIECE))))
-    side_by_side = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{{PIECE}}}"), F.lit(0))
-    seen = indexed(texts.select(F.explode_outer(side_by_side).alias("piece")), pieces).groupBy("piece").agg(F.count("*").alias("n"))
-    counted = pieces.join(seen, "piece", "left")
+    heads = cut(phrases.filter("phrase <> ''")).select("phrase", F.left("phrase", F.lit(BLOCK)).alias("head"))
+    size = F.coalesce(*[F.when(F.length("head") >= n, n) for n in PIECES])
+    last = F.length("head") - size  # the first and the last piece are always among those tried
+    tried = F.least(last + 1, F.lit(TRIES))
+    steps = F.transform(F.sequence(F.lit(0), tried - 1), lambda i: F.floor(i * last / F.greatest(tried - 1, F.lit(1))).cast("int") + 1)
+    pieces = heads.select("phrase", "head", size.alias("size"), F.explode(steps).alias("place"))
+    pieces = pieces.select("phrase", "head", F.substring("head", F.col("place"), F.col("size")).alias("piece"), "place")
+    apart = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{{PIECES[0]}}}"), F.lit(0))
+    starts = F.explode(F.array(*[F.left("piece", F.lit(n)) for n in PIECES if n >= 4]))  # shorter ones are whole phrases
+    seen = indexed(texts.select(F.explode_outer(apart).alias("piece")).select(starts.alias("piece")), pieces)
+    seen = seen.groupBy(_bucket("piece").alias("bucket")).agg(F.count("*").alias("n"))
+    # at most BUCKETS rows
+    counted = pieces.withColumn("bucket", _bucket("piece")).join(F.broadcast(seen), "bucket", "left")
     best = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece", "place", "head")).alias("best")
     return counted.groupBy("phrase").agg(best).select("phrase", "best.head", "best.piece", "best.place")
 
 
 def blocks(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, window, before, reach, n)``: each block of a text between its neighbours.
+    """``(key, window, before, reach, n)``: each cell of a text with a block on each side.
 
-    It has ``n`` characters after ``before`` in the window; ``reach`` is the block and the end of its last piece.
+    It has ``n`` characters after ``before`` in the window; ``reach`` is the cell and the end of its last piece.
     (``explode`` would cut every text once more, to drop those without blocks before.)
     """
-    parts = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    parts = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{CELL}}}"), F.lit(0))
     each = texts.select(key, parts.alias("parts")).select(key, "parts", F.posexplode_outer("parts").alias("i", "part"))
-    before, after = (F.coalesce(F.get("parts", F.col("i") + step), F.lit("")) for step in (-1, 1))
+    before, after = (F.concat(*[F.coalesce(F.get("parts", F.col("i") + step), F.lit("")) for step in steps]) for steps in ((-2, -1), (1, 2)))
     return each.select(
         key, F.concat(before, "part", after).alias("window"), F.length(before).alias("before"),
-        F.concat("part", F.left(after, F.lit(PIECE - 1))).alias("reach"), F.length("part").alias("n"))
+        F.concat("part", F.left(after, F.lit(PIECES[0] - 1))).alias("reach"), F.length("part").alias("n"))
+
+
+def _bucket(piece: str) -> Column:
+    return F.pmod(F.xxhash64(piece), F.lit(BUCKETS))
 
 
 def indexed(rows: DataFrame, index: DataFrame) -> DataFrame:
-    """Rows whose ``piece`` may be one of the index: a broadcast of at most ``BUCKETS`` numbers, however large the index."""
-    def bucket(piece: str):
-        return F.pmod(F.xxhash64(piece), F.lit(BUCKETS))
+    """Rows whose ``piece`` may be one of the index: a broadcast of at most ``BUCKETS`` rows, however large the index.
 
-    numbers = index.select(bucket("piece").alias("bucket")).distinct()
-    return rows.withColumn("bucket", bucket("piece")).join(F.broadcast(numbers), "bucket", "left_semi").drop("bucket")
+    A row has 64 bits, and a piece sets four of them; so with several pieces in every bucket few others pass.
+    """
+    hashed = F.xxhash64("piece")
+    bits = [F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(hashed, 20 + 6 * i).bitwiseAND(63).cast("int")) for i in range(4)]
+    mask = reduce(lambda a, b: a.bitwiseOR(b), bits)
+    known = index.groupBy(_bucket("piece").alias("bucket")).agg(F.bit_or(mask).alias("bits"))
+    found = rows.withColumn("bucket", _bucket("piece")).join(F.broadcast(known), "bucket")
+    return found.filter(F.col("bits").bitwiseAND(mask) == mask).drop("bucket", "bits")
 
 
 def covered_by(term, phrases: list[str]):

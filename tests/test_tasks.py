@@ -40,3 +40,15 @@ def test_terms_are_counted_in_small_tasks(spark, monkeypatch):
     for terms in (tfidf.with_terms, tfidf.read_once):
         assert _most(terms(df)) <= 60
         assert sorted(tuple(r) for r in tfidf.term_counts(terms(df)).collect()) == expected
+
+
+def test_phrases_are_indexed_under_long_pieces(spark):
+    from oppflow.operators.matching import BLOCK, phrase_hits, rarest_pieces
+    words = [f"road works {i:03d} and bridge repair" for i in range(200)] + ["road", "roadworks ab", "x" * BLOCK + "y"]
+    phrases = spark.createDataFrame([(w,) for w in words], "phrase string")
+    texts = spark.createDataFrame([(i, f"about {w}, " * 3) for i, w in enumerate(words)], "pos bigint, text string")
+    index = {r.phrase: r.piece for r in rarest_pieces(phrases, texts, "text").collect()}
+    assert {len(index[w]) for w in words[:200]} == {16} and len({index[w] for w in words[:200]}) > 100
+    assert [len(index[w]) for w in words[200:]] == [4, 8, 16]
+    expected = sorted((i, w) for i, v in enumerate(words) for w in words if w in v)
+    assert sorted(tuple(r) for r in phrase_hits(texts, "pos", "text", phrases).collect()) == expected
