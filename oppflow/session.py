@@ -66,7 +66,7 @@ def spread(df: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     held = [r.n for r in df.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
     tasks = max(cores, -(-sum(held) // rows)) if rows else cores
-    if len(held) >= cores and max(held) <= 2 * max(rows or 0, sum(held) / cores):
+    if len(held) >= cores and max(held) <= 2 * (rows or sum(held) / cores):
         return df
     if keys:
         return df.repartition(tasks, *keys)

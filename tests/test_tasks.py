@@ -26,6 +26,8 @@ def test_a_row_group_makes_no_large_task(spark, one_group):
         assert _most(dealt) <= 200 and dealt.columns == df.columns
         assert dealt.agg(F.sum("k"), F.count("*")).first() == df.agg(F.sum("k"), F.count("*")).first()
     assert _most(spread(df, "k")) < 4000
+    even = df.repartition(2 * spark.sparkContext.defaultParallelism, "k")
+    assert _most(spread(even, rows=20)) <= 60  # alike, but too large
 
 
 def test_payloads_are_rendered_in_small_tasks(spark, one_group):
