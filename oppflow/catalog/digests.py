@@ -10,6 +10,7 @@ from oppflow.operators import preferences as P
 from oppflow.operators.matching import phrase_hits
 from oppflow.plans.preference_sync import PreferenceStore, digest_patterns, sync
 from oppflow.schema import RFP_TEXT_COLUMNS
+from oppflow.session import cut
 
 _EMPTY = ["status", "posted_date", "close_date", "url", "recipient", "recipient_state", "pi_name"]
 LABELS = "v_label(state, label, ord) as (values ('de', 'Germany', 0), ('en', 'England', 1), ('NATION_7', 'Seventh', 2), ('NATION_3', 'Third', 3))"
@@ -150,11 +151,14 @@ def _(spark, d):
     return phrase_hits(texts, "pos", "text", phrases).groupBy("phrase").agg(F.count("*").alias("n"))
 
 
+def _week(spark, d):
+    """Matched records of the week, tagged once and written."""
+    return cut(G.past_week(stored(spark, d), AS_OF).select("pos", "state", "title", "description", "agency"))
+
+
 @query("i5_personal_digest", with_sql(TAGGED, _WEEK, _MEMBER_SQL, _HITS, select="select email, pos, state from v_hit"))
 def _(spark, d):
-    week = G.past_week(stored(spark, d), AS_OF)
-    hits = G.personal_hits(week, "pos", base_patterns(spark))
-    return hits.join(week.select("pos", "state"), "pos").select("email", "pos", "state")
+    return G.personal_digest(_week(spark, d), "pos", base_patterns(spark), "state")
 
 
 @query("i6_personal_headers", with_sql(TAGGED, _WEEK, _MEMBER_SQL, LABELS, _HITS, select="""
@@ -165,9 +169,9 @@ select email, case email when 'a@example.org' then 'Ada' when 'b@example.org' th
 from (select email, h.state, coalesce(label, h.state) as label, coalesce(ord, 1000000) as ord, count(*) as n
   from v_hit h left join v_label l on h.state = l.state group by all) group by email"""))
 def _(spark, d):
-    week = G.past_week(stored(spark, d), AS_OF)
-    hits = G.personal_hits(week, "pos", base_patterns(spark))
-    return G.personal_headers(hits, week, "pos", members(spark), labels(spark), AS_OF)
+    week = _week(spark, d)
+    found = G.interests(week, "pos", base_patterns(spark))
+    return G.personal_headers(found, week, "pos", members(spark), labels(spark), AS_OF)
 
 
 @query("i6_daily_header", with_sql(TAGGED, _DAY, LABELS, select="""
@@ -347,9 +351,7 @@ v_own as (
 @query("i5_digest_of_effective_patterns", with_sql(TAGGED, _WEEK, _FORM, _FORM_OPS, _EFFECTIVE, select="select email, pos, state from v_own"))
 def _(spark, d):
     kept, members = _synced(spark, d)
-    week = G.past_week(stored(spark, d), AS_OF)
-    hits = G.personal_hits(week, "pos", digest_patterns(kept, members))
-    return hits.join(week.select("pos", "state"), "pos").select("email", "pos", "state")
+    return G.personal_digest(_week(spark, d), "pos", digest_patterns(kept, members), "state")
 
 
 @query("i6_headers_of_effective_patterns", with_sql(TAGGED, _WEEK, _FORM, _FORM_OPS, _EFFECTIVE, LABELS, select="""
@@ -358,6 +360,6 @@ from (select email, h.state, coalesce(label, h.state) as label, coalesce(ord, 10
   from v_own h left join v_label l on h.state = l.state group by all) group by email"""))
 def _(spark, d):
     kept, members = _synced(spark, d)
-    week = G.past_week(stored(spark, d), AS_OF)
-    hits = G.personal_hits(week, "pos", digest_patterns(kept, members))
-    return G.personal_headers(hits, week, "pos", members, labels(spark), AS_OF).select("email", "n", "summary")
+    week = _week(spark, d)
+    found = G.interests(week, "pos", digest_patterns(kept, members))
+    return G.personal_headers(found, week, "pos", members, labels(spark), AS_OF).select("email", "n", "summary")

@@ -1,4 +1,5 @@
 """Daily and personal digests as tables."""
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,8 @@ from oppflow.session import cut
 
 DASH = "—"
 UNLISTED = 1_000_000
+GROUP = 256  # records, or members, of one group that a list holds
+TASK_PAIRS = 4_000_000  # pairs of a member and a record that one task writes out
 
 
 def state_labels(spark: SparkSession) -> DataFrame:
@@ -109,18 +112,81 @@ def plain_entry() -> Column:
     )
 
 
-def personal_hits(rfps: DataFrame, key: str, patterns: DataFrame) -> DataFrame:
-    """Pairs ``(email, key)``: members and the records one of their patterns occurs in.
+@dataclass
+class Interests:
+    """Which groups of records go to which groups of members.
+
+    Records that hold the same patterns are one group, and so are members who look for the same patterns, as far as any
+    record holds them.  Members share base patterns and records common words, so groups are few where pairs are many:
+    a group's pairs are decided once, and only a result that lists every pair has a row for it.
+    """
+    records: DataFrame  # (key, held), one row per key
+    members: DataFrame  # (email, wanted), one row per member
+    pairs: DataFrame  # (held, wanted), distinct
+
+
+def interests(rfps: DataFrame, key: str, patterns: DataFrame) -> Interests:
+    """Search records for the patterns of all members.
 
-    ``patterns(email, pattern)`` holds effective patterns.  Records are searched for
-    the distinct patterns first and joined to members by pattern afterwards; a member
-    without patterns has no rows.
+    ``patterns(email, pattern)`` holds effective patterns.  Records are searched for the distinct patterns;
+    a member without patterns, or without a record, is in no group.
     """
-    lowered = patterns.select("email", F.lower("pattern").alias("phrase")).filter("phrase <> ''").distinct()
+    lowered = cut(patterns.select("email", F.lower("pattern").alias("phrase")).filter("phrase <> ''").distinct())
     texts = rfps.select(key, F.lower(match_text()).alias("text"))
-    hits = phrase_hits(texts, key, "text", lowered.select("phrase").distinct())
-    # many records can share a phrase; the list of patterns is sent to them where it is small
-    return hits.join(small(lowered, "phrase"), "phrase").select("email", key).distinct()
+    hits = cut(phrase_hits(texts, key, "text", lowered.select("phrase").distinct()))
+    met = hits.select("phrase").distinct()
+    records = cut(_by_phrases(hits, key, "held"))
+    members = cut(_by_phrases(lowered.join(small(met, "phrase"), "phrase", "left_semi"), "email", "wanted"))
+    held, wanted = (
+        cut(rows.select(name, "phrases").distinct()).select(name, F.explode("phrases").alias("phrase"))
+        for rows, name in ((records, "held"), (members, "wanted"))
+    )
+    # many groups can share a phrase; the patterns of the members' groups are sent to the records' where they are small
+    pairs = held.join(small(wanted, "phrase"), "phrase").select("held", "wanted").distinct()
+    return Interests(records.drop("phrases"), members.drop("phrases"), cut(pairs))
+
+
+def _by_phrases(rows: DataFrame, key: str, group: str) -> DataFrame:
+    """``(key, phrases, group)``: all phrases of a key; keys with the same phrases are one group, named by their digest."""
+    sets = rows.groupBy(key).agg(F.sort_array(F.collect_set("phrase")).alias("phrases"))
+    return sets.withColumn(group, F.sha2(F.to_json("phrases"), 256))
+
+
+def _blocks(rows: DataFrame, group: str, values: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """``(group, <name>_part, name)``: the rows of a group in lists of about ``GROUP``; and the size of each group."""
+    sizes = cut(rows.groupBy(group).agg(F.count("*").alias(f"{name}_n")))
+    part = F.pmod(F.xxhash64(*values), F.ceil(F.col(f"{name}_n") / GROUP)).alias(f"{name}_part")
+    each = rows.join(small(sizes, group), group).select(group, part, F.struct(*values).alias("row"))
+    return each.groupBy(group, f"{name}_part").agg(F.collect_list("row").alias(name)), sizes
+
+
+def personal_rows(found: Interests, records: DataFrame, *keep: str) -> DataFrame:
+    """``(email, *keep)``: the rows of each member, from records with their group ``held``.
+
+    Lists of records meet lists of members, and these pairs of lists are dealt by the number of rows that they stand for;
+    a list of pairs is written out where it is, so the pairs themselves are not shuffled.
+    """
+    theirs, held = _blocks(records, "held", list(keep), "theirs")
+    whose, wanted = _blocks(found.members, "wanted", ["email"], "whose")
+    counted = found.pairs.join(held, "held").join(wanted, "wanted")
+    n = counted.agg(F.sum(F.col("theirs_n") * F.col("whose_n"))).first()[0] or 0
+    tasks = max(records.sparkSession.sparkContext.defaultParallelism, -(-n // TASK_PAIRS))
+    met = found.pairs.join(theirs, "held").join(whose, "wanted")
+    met = met.repartition(tasks, "held", "theirs_part", "wanted", "whose_part")
+    each = met.select(F.col("whose.email").alias("emails"), F.inline("theirs"))
+    return each.select(F.explode("emails").alias("email"), *keep)
+
+
+def personal_hits(rfps: DataFrame, key: str, patterns: DataFrame) -> DataFrame:
+    """Pairs ``(email, key)``: members and the records one of their patterns occurs in; distinct."""
+    found = interests(rfps, key, patterns)
+    return personal_rows(found, found.records, key)
+
+
+def personal_digest(rfps: DataFrame, key: str, patterns: DataFrame, *keep: str) -> DataFrame:
+    """``(email, key, *keep)``: the same with columns of the records; every record of a key that is there twice."""
+    found = interests(rfps, key, patterns)
+    return personal_rows(found, rfps.select(key, *keep).join(found.records, key), key, *keep)
 
 
 def first_name(name: Column) -> Column:
@@ -136,11 +202,13 @@ def subject(kind: str, n: Column, day: str, name: Column | None = None) -> Colum
     return reduce(lambda a, b: F.concat(a, b), parts)
 
 
-def personal_headers(hits: DataFrame, rfps: DataFrame, key: str, members: DataFrame, labels: DataFrame, day: str) -> DataFrame:
-    """One header per member with matches: first name, count, counts line, subject."""
-    each = hits.join(rfps.select(key, "state"), key)
-    lines = counts_line(state_counts(each, labels, "email"), "email")
-    return lines.join(small(members.select("email", "name"), "email"), "email").select(
+def personal_headers(found: Interests, rfps: DataFrame, key: str, members: DataFrame, labels: DataFrame, day: str) -> DataFrame:
+    """One header per member with matches: first name, count, counts line, subject.  Records are counted by group."""
+    states = rfps.select(key, "state").join(found.records, key).groupBy("held", "state").agg(F.count("*").alias("n"))
+    counts = found.pairs.join(states, "held").groupBy("wanted", "state").agg(F.sum("n").alias("n"))
+    lines = cut(counts_line(_labelled(counts, labels), "wanted"))
+    own = found.members.join(small(lines, "summary"), "wanted")
+    return own.join(small(members.select("email", "name"), "email"), "email").select(
         "email", first_name(F.col("name")).alias("first_name"), "n", "summary",
         subject("weekly", F.col("n"), day, F.col("name")).alias("subject"),
     )

@@ -54,3 +54,30 @@ def test_phrases_are_indexed_under_long_pieces(spark):
     assert [len(index[w]) for w in words[200:]] == [4, 8, 16]
     expected = sorted((i, w) for i, v in enumerate(words) for w in words if w in v)
     assert sorted(tuple(r) for r in phrase_hits(texts, "pos", "text", phrases).collect()) == expected
+
+
+def test_members_get_records_by_group(spark, monkeypatch):
+    """Pairs are decided for groups, and no list or task of them is long, however many members share a pattern."""
+    from oppflow.operators import digest
+    monkeypatch.setattr(digest, "GROUP", 8)
+    monkeypatch.setattr(digest, "TASK_PAIRS", 500)
+    rows = [(i % 90 if i % 45 else None, ["a road", "Bridge", "road bridge", None][i % 4], None, "x", f"s{i % 3}") for i in range(200)]
+    rfps = spark.createDataFrame(rows, "pos bigint, title string, description string, agency string, state string")
+    own = [(f"m{i}" if i else None, p) for i in range(60) for p in (["ROAD"], ["bridge", "road"], ["tunnel"], ["", None], ["x"])[i % 5]]
+    patterns = spark.createDataFrame(own, "email string, pattern string")
+    expected = {(e, r[0]) for e, p in own if p for r in rows if p.lower() in f"{r[1] or ''}  x".lower()}
+
+    def in_order(pairs):
+        return sorted((tuple(p) for p in pairs), key=repr)
+
+    found = digest.interests(rfps, "pos", patterns)
+    assert found.pairs.count() <= 12 < len(expected)
+    hits = digest.personal_hits(rfps, "pos", patterns)
+    assert in_order(hits.collect()) == in_order(expected) and _most(hits) < len(expected) / 2
+    digested = digest.personal_digest(rfps, "pos", patterns, "state").collect()
+    assert in_order(digested) == in_order((e, k, r[4]) for e, k in expected for r in rows if k is not None and r[0] == k)
+    members = spark.createDataFrame([(f"m{i}", f"M{i} N") for i in range(60)], "email string, name string")
+    labels = spark.createDataFrame([("s1", "One", 0)], "state string, label string, ord int")
+    heads = {r.email: (r.n, r.summary) for r in digest.personal_headers(found, rfps, "pos", members, labels, "2024-01-20").collect()}
+    count = {e: [r.state for r in digested if r.email == e] for e in {e for e, _ in expected if e}}
+    assert heads == {e: (len(s), f"{s.count('s1')} One, {s.count('s0')} s0, {s.count('s2')} s2") for e, s in count.items()}
