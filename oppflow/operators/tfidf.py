@@ -22,7 +22,7 @@ from oppflow.fixed_values import (
 )
 from oppflow.functions.text import alpha_tokens, combined_text, runs, unigrams_and_bigrams
 from oppflow.operators.ranking import ranked, top_per_group
-from oppflow.session import cut, small_tasks
+from oppflow.session import cut, cut_in_tasks, small_tasks
 
 CORPUS = "corpus"  # the group of all documents
 TASK_ROWS = 8000  # documents whose distinct terms a task holds
@@ -40,7 +40,7 @@ def read_once(rfps: DataFrame, stop_words: list[str] = STOP_WORDS, *keep: str) -
     return small_tasks(words, TASK_ROWS).select(*keep, unigrams_and_bigrams(F.col("words")).alias("terms"))
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
+def _totals(docs: DataFrame) -> DataFrame:
     """``(term, tf, df)`` over all documents, one shuffle of term totals.
 
     A document becomes two rows, all its terms and its distinct terms, so both
@@ -54,14 +54,24 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return each.groupBy("term").agg(F.sum(1 - F.col("doc")).alias("tf"), F.sum("doc").alias("df"))
 
 
+def _tasks(docs: DataFrame) -> int:
+    """Shuffle tasks for what the documents hold, as many documents to each as a task reads before the shuffle."""
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-docs.select(F.lit(1)).count() // TASK_ROWS))
+
+
+def term_counts(docs: DataFrame) -> DataFrame:
+    """``(term, tf, df)`` over all documents, written once."""
+    return cut_in_tasks(_totals(docs), _tasks(docs))
+
+
 def vocabulary(docs: DataFrame, n_docs: Column | int) -> DataFrame:
-    """``(term, tf, df, idf)`` of the terms that are kept, at most 5000."""
+    """``(term, tf, df, idf)`` of the terms that are kept, at most 5000, written once."""
     n = n_docs if isinstance(n_docs, Column) else F.lit(n_docs)
-    kept = term_counts(docs).filter(
+    kept = _totals(docs).filter(
         (F.col("df") >= MIN_DOCUMENTS_PER_TERM) & (F.col("df") <= n * MAX_DOCUMENT_SHARE)
     )
     top = kept.orderBy(F.desc("tf"), "term").limit(VOCABULARY_SIZE)
-    return top.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1)
+    return cut_in_tasks(top.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1), _tasks(docs))
 
 
 @dataclass
@@ -139,12 +149,13 @@ def weigh_once(docs: DataFrame, by: Sequence[str] = ()) -> Weighing:
 def weights(docs: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
     """The same weights as rows ``(key, term, weight)`` for a given vocabulary table.
 
-    Terms are counted inside the row; the vocabulary (at most 5000 rows) is broadcast.
+    Terms are counted inside the row; the vocabulary (at most 5000 rows) is broadcast.  The rows of a document are
+    brought together once more, as a key may have several; in tasks of a bounded number of documents.
     """
     counted = docs.select(key, F.inline(runs(F.col("terms"))))
     raw = counted.join(F.broadcast(vocab.select("term", "idf")), "term").select(
         key, "term", (F.col("n") * F.col("idf")).alias("raw")
-    )
+    ).repartition(_tasks(docs), key)
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("raw") / norm).alias("weight"))
 

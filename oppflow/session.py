@@ -56,6 +56,24 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_in_tasks(df: DataFrame, tasks: int) -> DataFrame:
+    """``cut`` with that many tasks after each shuffle, whatever number the session has.
+
+    For sums over keys that grow with the input: partial sums are formed before the shuffle, which ``repartition`` would
+    not do, and the keys that a task holds after it stay few.  The session's settings are as before afterwards.
+    """
+    conf = df.sparkSession.conf
+    own = {"spark.sql.shuffle.partitions": str(tasks), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: conf.get(name) for name in own}
+    try:
+        for name, value in own.items():
+            conf.set(name, value)
+        return cut(df)
+    finally:
+        for name, value in before.items():
+            conf.set(name, value)
+
+
 def spread(df: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
     """One task per core at least, and where ``rows`` is given, tasks of about that many rows at most.
 

@@ -81,3 +81,18 @@ def test_members_get_records_by_group(spark, monkeypatch):
     heads = {r.email: (r.n, r.summary) for r in digest.personal_headers(found, rfps, "pos", members, labels, "2024-01-20").collect()}
     count = {e: [r.state for r in digested if r.email == e] for e in {e for e, _ in expected if e}}
     assert heads == {e: (len(s), f"{s.count('s1')} One, {s.count('s0')} s0, {s.count('s2')} s2") for e, s in count.items()}
+
+
+def test_terms_are_few_in_each_task_after_the_shuffle(spark, monkeypatch):
+    """Whatever number of shuffle tasks the session has, and its settings stay as they are."""
+    df = spark.range(400).select(F.lit("").alias("agency"), F.lit("").alias("description"), F.translate(F.format_string("w%d", "id"), "0123456789", "abcdefghij").alias("title"))
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    docs = tfidf.with_terms(df.select("*", F.monotonically_increasing_id().alias("pos")), tfidf.STOP_WORDS, "pos")
+    monkeypatch.setattr(tfidf, "TASK_ROWS", 10)
+    counts = tfidf.term_counts(docs)
+    held = counts.groupBy(F.input_file_name()).count().agg(F.max("count"), F.sum("count")).first()
+    assert held[1] == 390 and held[0] <= 40  # one word a document, of three letters from the number 10 on
+    vocab = tfidf.vocabulary(tfidf.with_terms(df.unionByName(df)), 800)
+    assert vocab.count() == 390 and _most(tfidf.weights(docs, vocab, "pos")) <= 40
+    assert before == [spark.conf.get(n) for n in names]
