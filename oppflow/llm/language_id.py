@@ -19,6 +19,7 @@ whole, in their row.  An empty table gives an empty result.
 """
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -106,14 +107,11 @@ def document_frequencies(docs: DataFrame, s: Settings) -> tuple[np.ndarray, int]
         slots = np.flatnonzero(seen)
         yield pd.DataFrame({"slot": np.append(slots, -1), "n": np.append(seen[slots], n)})
 
-    rows = docs.select("text").mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
-    out, total = np.zeros(s.features), 0
-    for slot, n in rows:
-        if slot < 0:
-            total = n
-        else:
-            out[slot] = n
-    return out, total
+    rows = docs.select("text").mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    slots, n = rows["slot"].to_numpy(), rows["n"].to_numpy()
+    out = np.zeros(s.features)
+    out[slots[slots >= 0]] = n[slots >= 0]
+    return out, int(n[slots < 0].sum())
 
 
 def weighed(found: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,8 +192,18 @@ class Model:
         return self.labels[best], float(p[best])
 
 
-def labelled_sample(rows: DataFrame, s: Settings) -> list:
-    """At most ``sample`` rows (lang, order, slots, counts), the same share for every label where it has that many."""
+class Sampled(NamedTuple):
+    lang: str
+    o: int
+    slots: np.ndarray
+    counts: np.ndarray
+
+
+def labelled_sample(rows: DataFrame, s: Settings) -> list[Sampled]:
+    """At most ``sample`` rows (lang, order, slots, counts), the same share for every label where it has that many.
+
+    They reach the driver as Arrow columns and are read where they are: as Python numbers they take several times the memory.
+    """
     common = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(s.labels)
     sizes = {r.lang: r.n for r in common.collect()}
     if not sizes:
@@ -213,7 +221,11 @@ def labelled_sample(rows: DataFrame, s: Settings) -> list:
             yield pd.DataFrame({"lang": batch["lang"], "o": batch["o"], "slots": [f[0] for f in found], "counts": [f[1] for f in found]})
 
     drawn = rows.select("lang", "text", order.alias("o"), limit.alias("limit")).where(F.col("o") < F.col("limit") * 2**40)
-    found = drawn.select("lang", "text", "o").mapInPandas(featurise, "lang string, o long, slots array<long>, counts array<long>").where("slots is not null").collect()
+    table = drawn.select("lang", "text", "o").mapInPandas(featurise, "lang string, o long, slots array<int>, counts array<int>").where("slots is not null").toArrow()
+    found = [
+        Sampled(lang.as_py(), o.as_py(), slots.values.to_numpy(), counts.values.to_numpy())
+        for lang, o, slots, counts in zip(*(table[c] for c in ("lang", "o", "slots", "counts")), strict=True)
+    ]
     out, taken = [], {}
     for row in sorted(found, key=lambda r: (r.o, r.lang)):
         taken[row.lang] = taken.get(row.lang, 0) + 1
@@ -239,7 +251,7 @@ def train(docs: DataFrame, s: Settings) -> Model:
     sample = labelled_sample(rows.where("lang is not null"), s)
     labels = sorted({r.lang for r in sample})
     at = {lang: i for i, lang in enumerate(labels)}
-    ready = [(weighed((np.array(r.slots), np.array(r.counts)), idf), at[r.lang]) for r in sample]
+    ready = [(weighed((r.slots, r.counts), idf), at[r.lang]) for r in sample]
     held = [x for i, x in enumerate(ready) if i % 5 == 4]
     learned = [x for i, x in enumerate(ready) if i % 5 != 4]
     truth = [label for _, label in held]

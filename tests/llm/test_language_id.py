@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 
 from oppflow.llm.language_id import (
-    FollowTheLeader, Settings, document_frequencies, gram_counts, identify, letters, recognised, temperature, train)
+    FollowTheLeader, Settings, document_frequencies, gram_counts, identify, labelled_sample, letters, recognised, temperature, train)
 
 FOLDER = "/root/testdata/sf0.01"
 PIECES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["sch", "ei", "ung", "ver"], "cc": ["é", "oi", "eau", "tre"]}
@@ -118,3 +118,15 @@ def test_dirty_labels_are_bounded(docs):
     rows = invented(120) + [(1000 + i, "kalo mitu", f"x{i}", "s") for i in range(300)]
     got = {r.lang_pred for r in identify(docs(rows), Settings(labels=3)).collect()}
     assert got <= set(PIECES)
+
+
+def test_the_sample_reaches_the_driver_as_columns(docs):
+    """Four bytes a number, not a Python object each, and the grams of the rows themselves."""
+    s, rows = Settings(sample=30), invented(120)
+    drawn = labelled_sample(docs(rows), s)
+    assert Counter(r.lang for r in drawn) == Counter({x: 10 for x in PIECES})
+    known = {(slots.tobytes(), counts.tobytes()) for slots, counts in (gram_counts(t, s) for _, t, _, _ in rows)}
+    for r in drawn:
+        assert r.slots.dtype.itemsize == r.counts.dtype.itemsize == 4 and r.slots.base is not None
+        assert (r.slots.astype(np.int64).tobytes(), r.counts.astype(np.int64).tobytes()) in known
+    assert labelled_sample(docs(rows).limit(0), s) == []
