@@ -96,3 +96,22 @@ def test_terms_are_few_in_each_task_after_the_shuffle(spark, monkeypatch):
     vocab = tfidf.vocabulary(tfidf.with_terms(df.unionByName(df)), 800)
     assert vocab.count() == 390 and _most(tfidf.weights(docs, vocab, "pos")) <= 40
     assert before == [spark.conf.get(n) for n in names]
+
+
+def test_phrases_sum_hot_and_rare_words(spark, monkeypatch):
+    """Whatever number of words every task holds; words of one frequency stay together, and a word may be there twice."""
+    from oppflow.operators import rake
+    rows = [("road works", 3), ("works road", 2), ("road repair works now", 1), ("new new bridge", 1), ("old lamp", 1), ("road lamp", 4)]
+    counted = spark.createDataFrame(rows, "phrase string, n bigint")
+    freq, long = {}, {}
+    for p, n in rows:
+        for w in p.split():
+            freq[w], long[w] = freq.get(w, 0) + n, long.get(w, 0) + n * len(p.split())
+    last = {tuple(sorted(p.split())): p for p, _ in sorted(rows)}
+    expected = {p: round(sum(long[w] / freq[w] for w in p.split()), 6) for p in last.values()}
+    for hot, held in ((0, 0), (1, 1), (5, 4), (100, 8)):
+        monkeypatch.setattr(rake, "HOT_WORDS", hot)
+        assert rake.hot_words(rake.word_scores(counted))[0].count() == held
+        got = [tuple(r) for r in rake.phrase_scores(counted).collect()]
+        assert dict(got) == expected and len(got) == len(expected)
+    assert rake.phrase_scores(counted.limit(0)).collect() == []
