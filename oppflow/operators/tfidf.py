@@ -25,7 +25,7 @@ from oppflow.operators.ranking import ranked, top_per_group
 from oppflow.session import cut, cut_in_tasks, small_tasks
 
 CORPUS = "corpus"  # the group of all documents
-TASK_ROWS = 8000  # documents whose distinct terms a task holds
+TASK_ROWS = 5000  # documents whose distinct terms a task holds; twice as many at most
 
 
 def with_terms(rfps: DataFrame, stop_words: list[str] = STOP_WORDS, *keep: str) -> DataFrame:

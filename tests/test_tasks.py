@@ -115,3 +115,11 @@ def test_phrases_sum_hot_and_rare_words(spark, monkeypatch):
         got = [tuple(r) for r in rake.phrase_scores(counted).collect()]
         assert dict(got) == expected and len(got) == len(expected)
     assert rake.phrase_scores(counted.limit(0)).collect() == []
+
+
+def test_ten_thousand_documents_are_the_most_of_a_task(spark):
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(0, 12_000 * cores, 1, cores).select(*[F.lit("water").alias(c) for c in ("title", "description", "agency")])
+    for terms in (tfidf.with_terms, tfidf.read_once):
+        assert _most(terms(df)) <= 2 * tfidf.TASK_ROWS <= 10_000
+    assert tfidf.term_counts(tfidf.with_terms(df)).first().df == 12_000 * cores
