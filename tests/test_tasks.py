@@ -123,3 +123,59 @@ def test_ten_thousand_documents_are_the_most_of_a_task(spark):
     for terms in (tfidf.with_terms, tfidf.read_once):
         assert _most(terms(df)) <= 2 * tfidf.TASK_ROWS <= 10_000
     assert tfidf.term_counts(tfidf.with_terms(df)).first().df == 12_000 * cores
+
+
+def _index(spark, words, texts):
+    from oppflow.operators import matching as M
+    index = M.spans(M.rarest_pieces(spark.createDataFrame([(w,) for w in words], "phrase string"), texts, "text"))
+    after = F.length("head") - F.col("place") - F.length("span")
+    sizes = index.groupBy(F.length("piece").alias("size")).agg(F.max("place").alias("before"), F.max(after).alias("after"))
+    return index, sizes.collect()
+
+
+def test_texts_are_read_a_step_apart(spark, monkeypatch):
+    """No row for every character and size, and whole texts however their cells end."""
+    from oppflow.operators import matching as M
+    monkeypatch.setattr(M, "CELL", 64)
+    rows = [(1, "abcdefgö" * 30), (2, None), (3, ""), (None, "ß")]
+    texts = spark.createDataFrame(rows, "pos bigint, text string")
+    got = M.read(texts, "pos", "text", {16: 8, 4: 1}).select("pos", "size", "piece").collect()
+    expected = [(k, size, bytes(raw[i: i + size])) for k, t in rows for raw in [(t or "").encode()] for size, step in ((16, 8), (4, 1)) for i in range(0, len(raw), step)]
+    # the places of a cell begin anew with it, which all steps divide
+    assert sorted(((r.pos, r.size, bytes(r.piece)) for r in got), key=repr) == sorted(expected, key=repr)
+
+
+def test_places_with_a_piece_of_a_phrase_only_are_not_shuffled(spark):
+    """What goes on to the index holds a whole span, not only a piece that many phrases and texts have."""
+    from oppflow.operators import matching as M
+    words = [f"{a}the department of water{b}" for a in "klmn" for b in "pqrs"]
+    texts = [f"x the department of water {i:03d} " * 20 for i in range(50)] + ["a kthe department of waterp, " * 3]
+    texts = spark.createDataFrame(list(enumerate(texts)), "pos bigint, text string")
+    index, sizes = _index(spark, words, texts)
+    going = M.near_places(texts, "pos", "text", index, sizes)
+    assert {r.pos for r in going.collect()} == {50} and going.count() <= 6
+    assert [tuple(r) for r in M.phrase_hits(texts, "pos", "text", index.select("phrase")).collect()] == [(50, "kthe department of waterp")]
+
+
+def test_phrases_of_all_lengths_at_all_places(spark, monkeypatch):
+    """Over cell ends, in several rounds of short phrases, with an index that is not broadcast; keys come twice or are null."""
+    import random
+
+    from oppflow.operators import matching as M
+    for name, value in (("CELL", 64), ("BLOCK", 80), ("SHORT_PHRASES", 40)):
+        monkeypatch.setattr(M, name, value)
+    rng = random.Random(7)
+    texts = [(i // 2 if i > 3 else None, "".join(rng.choices("abö ", weights=(4, 3, 1, 2), k=rng.choice((0, 1, 5, 63, 200, 300))))) for i in range(40)]
+    raw = [t for _, t in texts if len(t) > 150]
+    words = {t[a: a + n] for t in raw for n in (1, 2, 3, 4, 7, 10, 11, 15, 22, 23, 24, 40, 60, 78) for a in (0, rng.randrange(100), len(t) - n)}
+    words |= {w[:-1] + "z" for w in words} | {"a", " "}
+    df = spark.createDataFrame(texts, "pos bigint, text string").repartition(3)
+    expected = {(k, w) for k, t in texts for w in words if w in t and len(w.encode()) <= 80}
+    phrases = spark.createDataFrame([(w,) for w in words if len(w.encode()) <= 80], "phrase string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = [tuple(r) for r in M.phrase_hits(df, "pos", "text", phrases).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == len(expected) and set(got) == expected
