@@ -50,7 +50,7 @@ def rfps(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
         F.col("doc_id").cast("string").alias("rfp_id"),
         F.col("lang").alias("state"), "source", F.col("source").alias("agency"),
-        F.left(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit(120)).alias("title"),
+        F.left(F.substring_index("text", "\n", 1), F.lit(120)).alias("title"),
         F.col("text").alias("description"),
         F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int")), "yyyy-MM-dd").alias("scrape_date"),
         F.col("doc_id").alias("pos"),
